@@ -1 +1,87 @@
-"""text queries."""
+"""Text queries: cleaning, tokens, stop words, hashed term frequencies."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from forumlens.functions.tags import has_tag
+from forumlens.operators import text as X
+from forumlens.plans import sql
+from forumlens.plans.registry import query
+from forumlens.sources import fixtures as fx
+
+NUM_FEATURES = X.NUM_FEATURES
+
+# Java \s and \S written as explicit classes (RE2's \s lacks \x0B)
+_WS = "[ \\t\\n\\x0B\\f\\r]"
+_NWS = "[^ \\t\\n\\x0B\\f\\r]"
+
+
+def _sql_post_text(title: str, body: str) -> str:
+    t = (f"coalesce({title}, '') || ' ' || "
+         f"regexp_replace(coalesce({body}, ''), '<{_NWS}+>', ' ', 'g')")
+    t = f"replace({t}, chr(10), ' ')"
+    t = f"regexp_replace({t}, '( )+', ' ', 'g')"
+    return f"regexp_replace({t}, '\\W', ' ', 'g')"
+
+
+def _sql_tokens(text: str) -> str:
+    return f"list_filter(regexp_split_to_array(lower({text}), '{_WS}'), lambda x: x <> '')"
+
+
+def _sql_stop_list() -> str:
+    words = X.default_stop_words()
+    return "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
+
+
+def _sql_words(text: str) -> str:
+    return (f"list_filter({_sql_tokens(text)}, "
+            f"lambda x: NOT list_contains({_sql_stop_list()}, lower(x)))")
+
+
+@query("clean_text", f"""SELECT page_id AS Id, {_sql_post_text('url', 'html')} AS Text
+FROM pages""")
+def clean_text(spark, sf):
+    p = fx.page_posts(spark, sf)
+    return X.clean_text(p, "Title", "Body").select("Id", "Text")
+
+
+def _long_form_sql(array_sql: str) -> str:
+    return f"""SELECT Id, CAST(pos AS INTEGER) AS pos, token FROM (
+  SELECT Id, unnest(generate_series(0, len(a) - 1)) AS pos, unnest(a) AS token
+  FROM (SELECT doc_id AS Id, {array_sql} AS a FROM documents))"""
+
+
+@query("tokenize", _long_form_sql(_sql_tokens("text")))
+def tokenize(spark, sf):
+    d = fx.read_table(spark, sf, "documents").select(F.col("doc_id").alias("Id"), "text")
+    t = X.tokenize(d, "text")
+    return t.select("Id", F.posexplode("tokens").alias("pos", "token"))
+
+
+_CLEAN_DOC = _sql_post_text("NULL", "text")
+
+
+@query("tok_stopwords", _long_form_sql(_sql_words(_CLEAN_DOC)))
+def tok_stopwords(spark, sf):
+    d = fx.read_table(spark, sf, "documents").select(F.col("doc_id").alias("Id"), "text")
+    w = X.remove_stop_words(X.tokenize(X.clean_text(d, None, "text"), "Text"))
+    return w.select("Id", F.posexplode("words").alias("pos", "token"))
+
+
+@query("hashed_tf", f"""SELECT Id, {sql.md5_bucket('w', NUM_FEATURES)} AS bucket, count(*) AS tf
+FROM (SELECT doc_id AS Id, unnest({_sql_words(_CLEAN_DOC)}) AS w FROM documents)
+GROUP BY ALL""")
+def hashed_tf(spark, sf):
+    d = fx.read_table(spark, sf, "documents").select(F.col("doc_id").alias("Id"), "text")
+    return X.text_features(X.clean_text(d, None, "text"), "Id", "Text")
+
+
+@query("vectorize")
+def vectorize(spark, sf):
+    """X4/X6 ML form: (Id, label, features) with the Vector rendered as text."""
+    d = fx.document_posts(spark, sf)
+    d = X.clean_text(d, None, "Text", out="Clean").withColumn(
+        "label", has_tag("Tags", "en"))
+    v = X.vectorize(d, "Clean")
+    return v.select("Id", "label", F.col("features").cast("string").alias("features"))
