@@ -1 +1,60 @@
-"""graph queries."""
+"""User-tag graph queries on events (user x event type as tags)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from forumlens.operators import graph as G
+from forumlens.plans.registry import query
+from forumlens.sources import fixtures as fx
+
+STEPS = 3
+K = 3
+MAX_ITER = 10
+OFFSET = G.TAG_ID_OFFSET
+
+_EDGES = f"""t AS (SELECT CAST(row_number() OVER (ORDER BY event_type) AS BIGINT) AS Id,
+                  event_type AS TagName FROM (SELECT DISTINCT event_type FROM events)),
+e AS (SELECT user_id AS src, t.Id + {OFFSET} AS dst, abs(sum(value)) AS weight
+      FROM events JOIN t ON event_type = t.TagName GROUP BY user_id, t.Id)"""
+
+
+def _power_sql(steps: int) -> str:
+    parts = [f"""{_EDGES},
+sym AS (SELECT src, dst, weight FROM e UNION ALL SELECT dst, src, weight FROM e),
+deg AS (SELECT src AS id, sum(weight) AS d FROM sym GROUP BY src),
+a AS (SELECT sym.src, sym.dst, weight / d AS a FROM sym JOIN deg ON sym.src = deg.id),
+v0 AS (SELECT id, d / (SELECT sum(d) FROM deg) AS v FROM deg)"""]
+    for i in range(1, steps + 1):
+        parts.append(f"""n{i} AS (SELECT a.src AS id, sum(a.a * v{i-1}.v) AS v
+        FROM a JOIN v{i-1} ON a.dst = v{i-1}.id GROUP BY a.src),
+v{i} AS (SELECT id, v / (SELECT sum(abs(v)) FROM n{i}) AS v FROM n{i})""")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT id, round(v, 10) AS v FROM v{steps}"
+
+
+def edges(spark, sf):
+    return G.pic_edges(fx.event_user_tag(spark, sf), fx.event_tags(spark, sf))
+
+
+@query("pic_edges", f"""WITH {_EDGES}
+SELECT src, dst, round(weight, 6) AS weight FROM e""")
+def pic_edges(spark, sf):
+    return edges(spark, sf).select("src", "dst", F.round("weight", 6).alias("weight"))
+
+
+@query("power_iteration_vector", _power_sql(STEPS))
+def power_iteration_vector(spark, sf):
+    v = G.power_iteration_vector(edges(spark, sf), STEPS)
+    return v.select("id", F.round("v", 10).alias("v"))
+
+
+@query("pic_assign")
+def pic_assign(spark, sf):
+    return G.pic_assign(edges(spark, sf), K, MAX_ITER)
+
+
+@query("cluster_tags")
+def cluster_tags(spark, sf):
+    a = G.pic_assign(edges(spark, sf), K, MAX_ITER)
+    return G.cluster_tags(a, fx.event_tags(spark, sf)).select(
+        "cluster", F.array_join("tags", ",").alias("tags"))

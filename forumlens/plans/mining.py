@@ -1 +1,63 @@
-"""mining queries."""
+"""Frequent-pattern queries over order baskets (distinct part names)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from forumlens.operators import mining as MN
+from forumlens.plans.registry import query
+from forumlens.sources import fixtures as fx
+from forumlens.sources import formats as fmt
+
+# Fixture parameters: at support 0.01 no pair is frequent in these baskets
+# (64 single items, 0 pairs); 0.003 gives 64 items and 1520 pairs.
+MIN_SUPPORT = 0.003
+MIN_CONFIDENCE = 0.08
+
+_BASKETS = """b AS (SELECT DISTINCT l_orderkey AS id, p_name AS item
+            FROM lineitem JOIN part ON l_partkey = p_partkey),
+nb AS (SELECT count(DISTINCT id) AS n FROM b),
+mc AS (SELECT CAST(ceil({s} * n) AS BIGINT) AS m, n FROM nb),
+s1 AS (SELECT item, count(*) AS freq FROM b GROUP BY item),
+s2 AS (SELECT x.item AS a, y.item AS c, count(*) AS freq
+       FROM b x JOIN b y ON x.id = y.id AND x.item < y.item GROUP BY ALL)""".format(
+    s=MIN_SUPPORT)
+
+
+@query("basket_parse", """SELECT id AS basket_id, CAST(pos AS INTEGER) AS pos, item FROM (
+  SELECT id, unnest(generate_series(0, len(t) - 1)) AS pos, unnest(t) AS item FROM (
+    SELECT id, string_split(trim(array_to_string(list_sort(list(DISTINCT item)), ' ')), ' ') AS t
+    FROM (SELECT l_orderkey AS id, p_name AS item FROM lineitem JOIN part ON l_partkey = p_partkey)
+    GROUP BY id))""")
+def basket_parse(spark, sf):
+    """Baskets written as space-separated lines, parsed back to items
+    (multi-word names become separate items, as a space-split file would)."""
+    b = fx.order_baskets(spark, sf)
+    lines = b.select("basket_id", F.array_join("items", " ").alias("value"))
+    parsed = fmt.parse_basket_lines(lines, "value")
+    return parsed.select("basket_id", F.posexplode("items").alias("pos", "item"))
+
+
+@query("frequent_itemsets", f"""WITH {_BASKETS}
+SELECT '[' || item || ']' AS items, 1 AS size, freq FROM s1, mc WHERE freq >= m
+UNION ALL
+SELECT '[' || a || ',' || c || ']', 2, freq FROM s2, mc WHERE freq >= m""")
+def frequent_itemsets(spark, sf):
+    model = MN.fit_fpgrowth(fx.order_baskets(spark, sf), min_support=MIN_SUPPORT,
+                            min_confidence=MIN_CONFIDENCE)
+    return MN.frequent_itemsets(model)
+
+
+@query("association_rules", f"""WITH {_BASKETS},
+p AS (SELECT a, c, freq FROM s2, mc WHERE freq >= m),
+r AS (SELECT a AS x, c AS y, freq FROM p UNION ALL SELECT c, a, freq FROM p)
+SELECT '[' || x || ']' AS antecedent, '[' || y || ']' AS consequent,
+       round(r.freq / sx.freq, 10) AS confidence,
+       round((r.freq / sx.freq) / (sy.freq / mc.n), 10) AS lift,
+       round(r.freq / mc.n, 10) AS support
+FROM r JOIN s1 sx ON r.x = sx.item JOIN s1 sy ON r.y = sy.item, mc
+WHERE r.freq / sx.freq >= {MIN_CONFIDENCE}""")
+def association_rules(spark, sf):
+    model = MN.fit_fpgrowth(fx.order_baskets(spark, sf), min_support=MIN_SUPPORT,
+                            min_confidence=MIN_CONFIDENCE)
+    return MN.association_rules(model)

@@ -173,8 +173,10 @@ def java_trim_col(c: str) -> Column:
 
 
 def parse_basket_lines(df: DataFrame, col: str = "value") -> DataFrame:
-    """Space-separated items per line -> ``items array<string>``."""
-    return df.select(F.split(java_trim_col(col), " ").alias("items"))
+    """Space-separated items per line -> ``items array<string>``
+    (other columns kept)."""
+    keep = [c for c in df.columns if c != col]
+    return df.select(*keep, F.split(java_trim_col(col), " ").alias("items"))
 
 
 def read_baskets(spark: SparkSession, path: str) -> DataFrame:
@@ -182,9 +184,11 @@ def read_baskets(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_multilabel_lines(df: DataFrame, col: str = "value") -> DataFrame:
-    """``l1,l2#f1 f2 f3`` -> ``(labels array<double>, features array<double>)``."""
+    """``l1,l2#f1 f2 f3`` -> ``(labels array<double>, features array<double>)``
+    (other columns kept)."""
     parts = F.split(F.col(col), "#")
-    return df.select(
+    keep = [c for c in df.columns if c != col]
+    return df.select(*keep,
         F.transform(F.split(parts[0], ","), lambda x: x.cast("double")).alias("labels"),
         F.transform(F.split(parts[1], " "), lambda x: x.cast("double")).alias("features"))
 
