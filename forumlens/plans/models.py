@@ -1 +1,193 @@
-"""models queries."""
+"""Classifier queries on documents (text) with tags ``<lang><source>``."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from forumlens.functions.hashing import md5_int
+from forumlens.functions.tags import tag_array
+from forumlens.operators import classify as C
+from forumlens.operators import metrics as M
+from forumlens.operators import text as X
+from forumlens.plans import sql
+from forumlens.plans.registry import query
+from forumlens.plans.text import _CLEAN_DOC, _sql_words
+from forumlens.session import shared_path
+from forumlens.sources import fixtures as fx
+from forumlens.sources import formats as fmt
+from forumlens.sources.sinks import ModelStore
+
+V = X.NUM_FEATURES
+DIM = 4
+MIN_POSITIVE = 5
+
+
+def _lines(spark, sf):
+    """embeddings rendered as multi-label text lines ``l1,l2#f1 f2 f3 f4``
+    (integer features floor(x * 1000): float text differs between engines)."""
+    e = fx.read_table(spark, sf, "embeddings")
+    feats = F.array_join(F.transform(F.slice("embedding", 1, DIM), lambda x: F.floor(
+        x.cast("double") * 1000).cast("string")), " ")
+    line = F.concat(F.col("label").cast("string"), F.lit(","),
+                    (F.col("label") % 2).cast("string"), F.lit("#"), feats)
+    return e.select("vec_id", line.alias("value"))
+
+
+def _parsed(spark, sf):
+    return C.explode_labels(fmt.parse_multilabel_lines(_lines(spark, sf)))
+
+
+_NB_ROWS = "SELECT vec_id, CAST(l AS DOUBLE) AS label, " + ", ".join(
+    f"CAST(floor(CAST(embedding[{i + 1}] AS DOUBLE) * 1000) AS DOUBLE) AS f{i}"
+    for i in range(DIM)) + " FROM (SELECT *, unnest([label, label % 2]) AS l FROM embeddings)"
+
+
+@query("nb_parse", _NB_ROWS)
+def nb_parse(spark, sf):
+    p = _parsed(spark, sf)
+    return p.select("vec_id", "label",
+                    *[F.col("features")[i].alias(f"f{i}") for i in range(DIM)])
+
+
+@query("nb_label_stats", f"""SELECT label, count(*) AS n, """ + ", ".join(
+    f"sum(f{i}) AS s{i}" for i in range(DIM)) + f" FROM ({_NB_ROWS}) GROUP BY label")
+def nb_label_stats(spark, sf):
+    return C.label_feature_sums(_parsed(spark, sf), dim=DIM)
+
+
+_DOC_TF = f"""tf AS (SELECT Id, {sql.md5_bucket('w', V)} AS bucket, count(*) AS tf
+  FROM (SELECT doc_id AS Id, unnest({_sql_words(_CLEAN_DOC)}) AS w FROM documents)
+  GROUP BY ALL),
+dl AS (SELECT doc_id AS Id, unnest({sql.tag_array("'<' || lang || '><' || source || '>'")})
+       AS label FROM documents)"""
+
+
+def _doc_tf(spark, sf):
+    d = fx.document_posts(spark, sf)
+    tf = X.text_features(X.clean_text(d.select("Id", "Text"), None, "Text"), "Id", "Text")
+    labels = d.select("Id", F.explode(tag_array("Tags")).alias("label"))
+    return tf, labels
+
+
+@query("nb_train", f"""WITH {_DOC_TF},
+s AS (SELECT label, bucket, sum(tf) AS t_cj FROM tf JOIN dl USING (Id) GROUP BY ALL),
+tt AS (SELECT label, sum(t_cj) AS t_c FROM s GROUP BY label),
+nd AS (SELECT label, count(*) AS n_docs FROM dl GROUP BY label),
+g AS (SELECT sum(n_docs) AS n, count(*) AS L FROM nd)
+SELECT s.label, s.bucket, round(ln((t_cj + 1) / (t_c + {V})), 10) AS theta,
+       round(ln((n_docs + 1) / (n + L)), 10) AS pi,
+       round(ln(1 / (t_c + {V})), 10) AS theta_default
+FROM s JOIN tt USING (label) JOIN nd USING (label), g""")
+def nb_train(spark, sf):
+    tf, labels = _doc_tf(spark, sf)
+    theta, priors = C.nb_fit_long(tf, labels, V)
+    return theta.join(priors, "label").select(
+        "label", "bucket", F.round("theta", 10).alias("theta"),
+        F.round("pi", 10).alias("pi"),
+        F.round("theta_default", 10).alias("theta_default"))
+
+
+def _formula_weights(tf, labels):
+    """A fixed-formula linear model per tag over the buckets seen with it:
+    w = (md5(tag:bucket) mod 2001 - 1000) / 1000, b = (md5(tag) mod 200 - 150) / 100."""
+    seen = tf.select("Id", "bucket").join(labels, "Id").select(
+        F.col("label").alias("tag"), "bucket").distinct()
+    w = seen.select("tag", "bucket", ((md5_int(F.concat(
+        F.col("tag"), F.lit(":"), F.col("bucket").cast("string"))) % 2001 - 1000)
+        / F.lit(1000.0)).alias("w"))
+    b = labels.select(F.col("label").alias("tag")).distinct().select(
+        "tag", ((md5_int("tag") % 200 - 150) / F.lit(100.0)).alias("b"))
+    return w, b
+
+
+@query("score_linear_models", f"""WITH {_DOC_TF},
+seen AS (SELECT DISTINCT label AS tag, bucket FROM tf JOIN dl USING (Id)),
+w AS (SELECT tag, bucket, ({sql.md5_int("tag || ':' || CAST(bucket AS VARCHAR)")} % 2001 - 1000)
+      / 1000.0 AS w FROM seen),
+b AS (SELECT tag, ({sql.md5_int('tag')} % 200 - 150) / 100.0 AS b
+      FROM (SELECT DISTINCT label AS tag FROM dl)),
+dots AS (SELECT Id, tag, sum(tf * w) AS dot FROM tf JOIN w USING (bucket) GROUP BY ALL
+         UNION ALL
+         SELECT Id, tag, 0.0 FROM (SELECT DISTINCT Id FROM tf), (SELECT tag FROM b WHERE b > 0)),
+m AS (SELECT Id, tag, sum(dot) + any_value(b) AS margin FROM dots JOIN b USING (tag) GROUP BY Id, tag)
+SELECT Id, tag, round(margin, 6) AS margin FROM m WHERE round(margin, 6) > 0""")
+def score_linear_models(spark, sf):
+    tf, labels = _doc_tf(spark, sf)
+    w, b = _formula_weights(tf, labels)
+    out = C.score_linear(tf, w, b, positive_only=False)
+    out = out.select("Id", "tag", F.round("margin", 6).alias("margin"))
+    return out.where(F.col("margin") > 0)
+
+
+# ---- trained models (rows-only checks) --------------------------------------
+
+def _docs(spark, sf):
+    d = fx.document_posts(spark, sf)
+    return X.clean_text(d, None, "Text", out="Clean").select(
+        "Id", "Tags", F.col("Clean").alias("Text"))
+
+
+@query("train_one_tag")
+def train_one_tag(spark, sf):
+    """M2: LR by L-BFGS (no intercept, no regularisation), 70/30 hash split,
+    predictions on the held-out 30% with raw margins."""
+    _, pred = C.train_one_tag(_docs(spark, sf), "en", kind="lr_lbfgs")
+    return pred
+
+
+@query("train_pipeline_tag")
+def train_pipeline_tag(spark, sf):
+    """M1 + X5 + R1: hashing (64 000) + LR(30, 0.02) pipeline on a 0.9
+    per-class sample, substring label, evaluated on its own training rows."""
+    _, pred = C.train_one_tag(_docs(spark, sf), "src1", match="substring",
+                              kind="lr", num_features=64_000,
+                              sample={0.0: 0.9, 1.0: 0.9}, evaluate_on="train")
+    return pred
+
+
+@query("train_svm")
+def train_svm(spark, sf):
+    """M5: linear SVM (30 iterations, L2 0.01, no intercept), raw margins."""
+    _, pred = C.train_one_tag(_docs(spark, sf), "de", kind="svm")
+    return pred
+
+
+@query("svm_metrics")
+def svm_metrics(spark, sf):
+    """A11 + A12 on the SVM's held-out margins, plus accuracy."""
+    _, pred = C.train_one_tag(_docs(spark, sf), "de", kind="svm")
+    pred = pred.persist()
+    roc = M.auc_roc(pred).first()[0]
+    pr = M.auc_pr(pred).first()[0]
+    out = M.binary_metrics(pred).select(
+        "accuracy", F.lit(roc).alias("auc_roc"), F.lit(pr).alias("auc_pr"))
+    return out
+
+
+def _all_tags(spark, sf, store=None):
+    docs = _docs(spark, sf)
+    feats = X.vectorizer("Text").fit(docs).transform(docs).select(
+        "Id", "Tags", "features")
+    vocab = sorted(r[0] for r in docs.select(F.explode(tag_array("Tags")))
+                   .distinct().collect())
+    models, rows = C.train_all_tags(feats, vocab, kind="lr_lbfgs",
+                                    min_positive=MIN_POSITIVE, store=store)
+    return feats, models, rows
+
+
+@query("train_all_tags")
+def train_all_tags(spark, sf):
+    """M3 + S13 + S14: one model per tag, saved with a manifest, manifest
+    read back."""
+    store = ModelStore(shared_path(spark, "tag-models"))
+    _all_tags(spark, sf, store)
+    return store.manifest(spark).select("tag", "n_pos", "n", "nnz", "intercept")
+
+
+@query("predicted_tags")
+def predicted_tags(spark, sf):
+    """M4 with trained models: every model over every document in one job."""
+    feats, models, _ = _all_tags(spark, sf)
+    w, b = C.model_weights(spark, models)
+    long = C.vector_entries(feats, "Id", "features")
+    return C.score_linear(long, w, b)
