@@ -29,8 +29,8 @@ def post_text(title, body) -> Column:
     then every non-word char -> space (in this order, so new runs appear)."""
     text = F.concat(F.coalesce(_c(title), F.lit("")), F.lit(" "),
                     strip_markup(F.coalesce(_c(body), F.lit(""))))
-    text = F.regexp_replace(text, "\n", " ")
-    text = F.regexp_replace(text, "( )+", " ")
+    # newline -> space then space runs -> one space, in one pass
+    text = F.regexp_replace(text, "[ \n]+", " ")
     return F.regexp_replace(text, r"\W", " ")
 
 

@@ -10,6 +10,8 @@ from pyspark.ml.clustering import PowerIterationClustering
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forumlens.session import materialize
+
 TAG_ID_OFFSET = 1_000_000
 
 
@@ -51,27 +53,31 @@ def power_iteration_vector(edges: DataFrame, steps: int = 3,
                            checkpoint_every: int = 2) -> DataFrame:
     """M9: the power-iteration vector PIC starts from (degree init).
 
-    v0 = degree / sum(degree); then ``steps`` times v <- D^-1 W v followed by
-    L1 normalisation.  Each step is one equi-join of the (symmetric) edges
-    with v on the neighbour and one grouped sum (partial + final, so a hub
-    vertex is pre-summed per map task).  The lineage is cut with a reliable
-    ``checkpoint()`` every ``checkpoint_every`` steps.  ``(id, v)``.
+    v0 = degree / sum(degree); then ``steps`` times v <- D^-1 W v with L1
+    normalisation.  D^-1 W is row-stochastic, so each step is a weighted
+    average of neighbour values and cannot overflow: the per-step
+    normalisations are folded into one at the end (no driver round trip per
+    step).  Each step is one equi-join of the normalised edges with v on the
+    neighbour and one grouped sum (partial + final, so a hub vertex is
+    pre-summed in every map task; AQE splits a hub's join partition).  The
+    edge table is materialised once and the lineage of v is cut with a
+    reliable checkpoint every ``checkpoint_every`` steps.  ``(id, v)``.
     """
     sym = _symmetric(edges)
     deg = sym.groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("d"))
     a = (sym.join(deg.select(F.col("id").alias("src"), "d"), "src")
          .select("src", "dst", (F.col("weight") / F.col("d")).alias("a")))
-    total = deg.agg(F.sum("d")).first()[0]
-    v = deg.select("id", (F.col("d") / F.lit(total)).alias("v"))
+    if steps > 1:
+        a = materialize(a)
+    v = deg.select("id", F.col("d").alias("v"))
     for i in range(1, steps + 1):
-        nxt = (a.join(v.select(F.col("id").alias("dst"), "v"), "dst")
-               .groupBy(F.col("src").alias("id"))
-               .agg(F.sum(F.col("a") * F.col("v")).alias("v")))
-        norm = nxt.agg(F.sum(F.abs("v"))).first()[0]
-        v = nxt.select("id", (F.col("v") / F.lit(norm)).alias("v"))
+        v = (a.join(v.select(F.col("id").alias("dst"), "v"), "dst")
+             .groupBy(F.col("src").alias("id"))
+             .agg(F.sum(F.col("a") * F.col("v")).alias("v")))
         if checkpoint_every and i % checkpoint_every == 0 and i < steps:
-            v = v.checkpoint()
-    return v
+            v = materialize(v)
+    norm = v.agg(F.sum(F.abs("v"))).first()[0]
+    return v.select("id", (F.col("v") / F.lit(norm)).alias("v"))
 
 
 def pic_assign(edges: DataFrame, k: int = 3, max_iter: int = 10,

@@ -12,7 +12,7 @@ from forumlens.operators import text as X
 from forumlens.plans import sql
 from forumlens.plans.registry import query
 from forumlens.plans.text import _CLEAN_DOC, _sql_words
-from forumlens.session import shared_path
+from forumlens.session import materialize, shared_path
 from forumlens.sources import fixtures as fx
 from forumlens.sources import formats as fmt
 from forumlens.sources.sinks import ModelStore
@@ -100,6 +100,11 @@ def _formula_weights(tf, labels):
     return w, b
 
 
+def _doc_tf_materialized(spark, sf):
+    tf, labels = _doc_tf(spark, sf)
+    return materialize(tf), labels
+
+
 @query("score_linear_models", f"""WITH {_DOC_TF},
 seen AS (SELECT DISTINCT label AS tag, bucket FROM tf JOIN dl USING (Id)),
 w AS (SELECT tag, bucket, ({sql.md5_int("tag || ':' || CAST(bucket AS VARCHAR)")} % 2001 - 1000)
@@ -112,7 +117,8 @@ dots AS (SELECT Id, tag, sum(tf * w) AS dot FROM tf JOIN w USING (bucket) GROUP
 m AS (SELECT Id, tag, sum(dot) + any_value(b) AS margin FROM dots JOIN b USING (tag) GROUP BY Id, tag)
 SELECT Id, tag, round(margin, 6) AS margin FROM m WHERE round(margin, 6) > 0""")
 def score_linear_models(spark, sf):
-    tf, labels = _doc_tf(spark, sf)
+    # the features feed the weights, the scores and the post list: compute once
+    tf, labels = _doc_tf_materialized(spark, sf)
     w, b = _formula_weights(tf, labels)
     out = C.score_linear(tf, w, b, positive_only=False)
     out = out.select("Id", "tag", F.round("margin", 6).alias("margin"))

@@ -73,3 +73,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
+    the shared checkpoint folder (survives executor loss, unlike a local
+    checkpoint or an in-memory cache)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

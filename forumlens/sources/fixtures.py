@@ -19,9 +19,20 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations"]
 
-
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Tables whose rows feed CPU-heavy per-row text work.  Each driver file is a
+# single Parquet row group, so its scan yields one non-empty task; these are
+# spread round-robin over the session's parallelism right after the scan
+# (column pruning still applies below the exchange).  A table stored with
+# many row groups or files does not need it.
+TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str,
+               spread: bool | None = None) -> DataFrame:
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread if spread is not None else name in TEXT_TABLES:
+        df = df.repartition(spark.sparkContext.defaultParallelism)
+    return df
 
 
 def order_tags(priority="o_orderpriority", status="o_orderstatus"):
