@@ -82,10 +82,13 @@ def cumulative_by_score(counts: DataFrame, buckets: int = PREFIX_BUCKETS) -> Dat
     is a window partitioned by the range.  Adds ``cum_pos``/``cum_neg``.
     """
     qs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(counts.approxQuantile("score", qs, 0.001)))
-    splits = [-float("inf")] + cuts + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol="score", outputCol="_range",
-                   handleInvalid="keep").transform(counts)
+    cuts = sorted(set(counts.approxQuantile("score", qs, 0.001))) if qs else []
+    if cuts:
+        splits = [-float("inf")] + cuts + [float("inf")]
+        b = Bucketizer(splits=splits, inputCol="score", outputCol="_range",
+                       handleInvalid="keep").transform(counts)
+    else:
+        b = counts.withColumn("_range", F.lit(0.0))
     b = b.withColumn("_range", -F.col("_range"))  # descending score order
     totals = b.groupBy("_range").agg(F.sum("pos").alias("_rp"),
                                      F.sum("neg").alias("_rn"))

@@ -18,10 +18,19 @@ _BASKETS = """b AS (SELECT DISTINCT l_orderkey AS id, p_name AS item
             FROM lineitem JOIN part ON l_partkey = p_partkey),
 nb AS (SELECT count(DISTINCT id) AS n FROM b),
 mc AS (SELECT CAST(ceil({s} * n) AS BIGINT) AS m, n FROM nb),
-s1 AS (SELECT item, count(*) AS freq FROM b GROUP BY item),
-s2 AS (SELECT x.item AS a, y.item AS c, count(*) AS freq
-       FROM b x JOIN b y ON x.id = y.id AND x.item < y.item GROUP BY ALL)""".format(
-    s=MIN_SUPPORT)
+f1 AS (SELECT item FROM b GROUP BY item HAVING count(*) >= (SELECT m FROM mc)),
+bf AS (SELECT id, item FROM b WHERE item IN (SELECT item FROM f1)),
+subsets(id, items, last) AS (
+  SELECT id, [item], item FROM bf
+  UNION ALL
+  SELECT s.id, list_append(s.items, bf.item), bf.item
+  FROM subsets s JOIN bf ON bf.id = s.id AND bf.item > s.last),
+fi AS (SELECT items, count(*) AS freq FROM subsets GROUP BY items
+       HAVING count(*) >= (SELECT m FROM mc))""".format(s=MIN_SUPPORT)
+
+
+def _render(col: str) -> str:
+    return f"'[' || array_to_string({col}, ',') || ']'"
 
 
 @query("basket_parse", """SELECT id AS basket_id, CAST(pos AS INTEGER) AS pos, item FROM (
@@ -38,25 +47,23 @@ def basket_parse(spark, sf):
     return parsed.select("basket_id", F.posexplode("items").alias("pos", "item"))
 
 
-@query("frequent_itemsets", f"""WITH {_BASKETS}
-SELECT '[' || item || ']' AS items, 1 AS size, freq FROM s1, mc WHERE freq >= m
-UNION ALL
-SELECT '[' || a || ',' || c || ']', 2, freq FROM s2, mc WHERE freq >= m""")
+@query("frequent_itemsets", f"""WITH RECURSIVE {_BASKETS}
+SELECT {_render('items')} AS items, CAST(len(items) AS INTEGER) AS size, freq FROM fi""")
 def frequent_itemsets(spark, sf):
     model = MN.fit_fpgrowth(fx.order_baskets(spark, sf), min_support=MIN_SUPPORT,
                             min_confidence=MIN_CONFIDENCE)
     return MN.frequent_itemsets(model)
 
 
-@query("association_rules", f"""WITH {_BASKETS},
-p AS (SELECT a, c, freq FROM s2, mc WHERE freq >= m),
-r AS (SELECT a AS x, c AS y, freq FROM p UNION ALL SELECT c, a, freq FROM p)
-SELECT '[' || x || ']' AS antecedent, '[' || y || ']' AS consequent,
-       round(r.freq / sx.freq, 10) AS confidence,
-       round((r.freq / sx.freq) / (sy.freq / mc.n), 10) AS lift,
+@query("association_rules", f"""WITH RECURSIVE {_BASKETS},
+r AS (SELECT list_filter(items, lambda x: x <> y) AS ante, [y] AS cons, freq
+      FROM (SELECT items, freq, unnest(items) AS y FROM fi WHERE len(items) >= 2))
+SELECT {_render('r.ante')} AS antecedent, {_render('r.cons')} AS consequent,
+       round(r.freq / fa.freq, 10) AS confidence,
+       round((r.freq / fa.freq) / (fc.freq / mc.n), 10) AS lift,
        round(r.freq / mc.n, 10) AS support
-FROM r JOIN s1 sx ON r.x = sx.item JOIN s1 sy ON r.y = sy.item, mc
-WHERE r.freq / sx.freq >= {MIN_CONFIDENCE}""")
+FROM r JOIN fi fa ON fa.items = r.ante JOIN fi fc ON fc.items = r.cons, mc
+WHERE r.freq / fa.freq >= {MIN_CONFIDENCE}""")
 def association_rules(spark, sf):
     model = MN.fit_fpgrowth(fx.order_baskets(spark, sf), min_support=MIN_SUPPORT,
                             min_confidence=MIN_CONFIDENCE)
