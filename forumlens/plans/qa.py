@@ -267,3 +267,22 @@ def user_tag_csv(spark, sf):
     path = shared_path(spark, "user-tag-csv")
     sinks.write_user_tag_csv(scores, path)
     return fmt.typed_user_tag(fmt.read_user_tag_csv(spark, path))
+
+
+@query("user_tag_score_stream", f"""WITH {sql.USER_TAG_SCORE_CTE}
+SELECT UserId, TagId, TotalScore FROM uts""")
+def user_tag_score_stream(spark, sf):
+    """A1 as a Structured Streaming job: lineitem read as a file stream of
+    answers, joined to the static questions, state-store aggregation in
+    update mode, changelog compacted on read."""
+    from forumlens.streaming import scores as ST
+    li = fx.read_table(spark, sf, "lineitem")
+    stream = (spark.readStream.schema(li.schema).option("maxFilesPerTrigger", 1)
+              .option("pathGlobFilter", "lineitem.parquet").parquet(sf))
+    answers = fx.answer_posts(stream)
+    questions = fx.question_posts(fx.read_table(spark, sf, "orders"))
+    base = shared_path(spark, "uts-stream")
+    q = ST.start_changelog(ST.running_scores(answers, questions),
+                           f"{base}/changelog", f"{base}/checkpoint")
+    q.awaitTermination()
+    return ST.current(spark, f"{base}/changelog")
