@@ -69,7 +69,18 @@ def avg_by_key(df: DataFrame, key: str, value: str) -> DataFrame:
         F.avg(F.col(value).cast("double")).alias("mean"))
 
 
-def as_key_map(df: DataFrame, key: str, value: str) -> DataFrame:
-    """One-row key -> value map of a small keyed result."""
+# Largest keyed result folded into one map row by ``as_key_map``.
+MAX_MAP_ENTRIES = 100_000
+
+
+def as_key_map(df: DataFrame, key: str, value: str,
+               limit: int = MAX_MAP_ENTRIES) -> DataFrame:
+    """One-row key -> value map of a *small* keyed result (the
+    reference's ``collectAsMap``).  The row count is checked first; larger
+    results stay a keyed DataFrame."""
+    n = df.count()
+    if n > limit:
+        raise ValueError(f"{n} keys exceed the map limit {limit}; "
+                         "keep the keyed DataFrame instead")
     return df.agg(F.map_from_entries(F.collect_list(F.struct(
         F.col(key), F.col(value)))).alias("map"))

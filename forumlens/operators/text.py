@@ -62,7 +62,11 @@ def hashed_tf(df: DataFrame, id_col: str = "Id", words: str = "words",
     partial aggregate already leaves one row per (id, bucket) before the
     shuffle: shuffle volume equals output size.
     """
-    ex = df.select(id_col, F.explode(words).alias("_w"))
+    # explode_outer + null filter: a plain explode makes the optimizer infer
+    # ``size(words) > 0`` and push it below any exchange into the scan, where
+    # the whole tokenize/stop-word expression would run a second time
+    ex = df.select(id_col, F.explode_outer(words).alias("_w")).where(
+        F.col("_w").isNotNull())
     return (ex.groupBy(id_col, md5_bucket("_w", num_features).alias("bucket"))
             .agg(F.count(F.lit(1)).alias("tf")))
 
@@ -99,6 +103,14 @@ def vectorizer(input_col: str = "Text", words: list[str] | None = None,
     return Pipeline(stages=[tok, stop, tf])
 
 
+def explode_tokens(df: DataFrame, id_col: str, tokens: str,
+                   pos: str = "pos", out: str = "token") -> DataFrame:
+    """Long form ``(id, pos, token)`` of a token array (see ``hashed_tf`` for
+    why this uses the outer form plus a filter)."""
+    return (df.select(id_col, F.posexplode_outer(tokens).alias(pos, out))
+            .where(F.col(out).isNotNull()))
+
+
 def vectorize(df: DataFrame, text: str = "Text", **kw) -> DataFrame:
     """X4 + X6: add the feature vector; drop the intermediate columns."""
     out = vectorizer(text, **kw).fit(df).transform(df)

@@ -55,8 +55,7 @@ def _long_form_sql(array_sql: str) -> str:
 @query("tokenize", _long_form_sql(_sql_tokens("text")))
 def tokenize(spark, sf):
     d = fx.read_table(spark, sf, "documents").select(F.col("doc_id").alias("Id"), "text")
-    t = X.tokenize(d, "text")
-    return t.select("Id", F.posexplode("tokens").alias("pos", "token"))
+    return X.explode_tokens(X.tokenize(d, "text"), "Id", "tokens")
 
 
 _CLEAN_DOC = _sql_post_text("NULL", "text")
@@ -66,7 +65,7 @@ _CLEAN_DOC = _sql_post_text("NULL", "text")
 def tok_stopwords(spark, sf):
     d = fx.read_table(spark, sf, "documents").select(F.col("doc_id").alias("Id"), "text")
     w = X.remove_stop_words(X.tokenize(X.clean_text(d, None, "text"), "Text"))
-    return w.select("Id", F.posexplode("words").alias("pos", "token"))
+    return X.explode_tokens(w, "Id", "words")
 
 
 @query("hashed_tf", f"""SELECT Id, {sql.md5_bucket('w', NUM_FEATURES)} AS bucket, count(*) AS tf
