@@ -215,6 +215,23 @@ def xml_posts(spark, sf):
     return fmt.parse_posts_xml_lines(lines, "value")
 
 
+@query("xml_posts_file", f"""WITH {sql.POSTS_CTE}
+SELECT coalesce(CAST(Id AS VARCHAR), '') AS Id, CAST(PostTypeId AS VARCHAR) AS PostTypeId,
+       coalesce(CAST(ParentId AS VARCHAR), '') AS ParentId, coalesce(Tags, '') AS Tags,
+       coalesce(Title, '') AS Title, coalesce(Body, '') AS Body,
+       coalesce(CAST(CAST(Score AS BIGINT) AS VARCHAR), '') AS Score,
+       CAST(OwnerUserId AS VARCHAR) AS OwnerUserId
+FROM posts""")
+def xml_posts_file(spark, sf):
+    """The posts written as an XML dump (``<posts>`` of ``<row/>``) in
+    the shared folder, then read back with the XML data source."""
+    posts = _spread(spark, fx.qa_posts(spark, sf)).withColumn(
+        "Score", F.col("Score").cast("bigint").cast("string"))
+    path = shared_path(spark, "posts-xml")
+    sinks.write_posts_xml(posts, path)
+    return fmt.read_posts_xml(spark, path)
+
+
 @query("xml_tags", """SELECT CAST(row_number() OVER (ORDER BY event_type) AS BIGINT) AS Id,
        event_type AS TagName, count(*) AS Count FROM events GROUP BY event_type""")
 def xml_tags(spark, sf):
@@ -244,6 +261,15 @@ def json_qa_join(spark, sf):
     return fmt.json_qa_join(fmt.json_questions(rows), fmt.json_answers(rows))
 
 
+@query("json_questions_file", _JSON_Q)
+def json_questions_file(spark, sf):
+    """The posts written as JSON lines in the shared folder, read back
+    with the JSON data source and an explicit schema."""
+    path = shared_path(spark, "posts-json")
+    _json_lines(spark, sf).write.text(path)
+    return fmt.json_questions(fmt.read_posts_json(spark, path))
+
+
 def _spread(spark, df):
     """Text lines of a dump are split across tasks by the reader; the
     single-row-group fixture files are not, so spread them before the
