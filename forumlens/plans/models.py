@@ -162,7 +162,6 @@ def train_svm(spark, sf):
 def svm_metrics(spark, sf):
     """A11 + A12 on the SVM's held-out margins, plus accuracy."""
     _, pred = C.train_one_tag(_docs(spark, sf), "de", kind="svm")
-    pred = pred.persist()
     roc = M.auc_roc(pred).first()[0]
     pr = M.auc_pr(pred).first()[0]
     out = M.binary_metrics(pred).select(

@@ -272,9 +272,9 @@ def json_questions_file(spark, sf):
 
 def _spread(spark, df):
     """Text lines of a dump are split across tasks by the reader; the
-    single-row-group fixture files are not, so spread them before the
-    per-row serialise/parse work of the source queries."""
-    return df.repartition(spark.sparkContext.defaultParallelism)
+    single-row-group fixture files are not, so spread them (when the scan
+    has few files) before the per-row serialise/parse work."""
+    return fx.spread_if_few_files(df)
 
 
 def _json_lines(spark, sf):

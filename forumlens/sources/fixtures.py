@@ -20,18 +20,27 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations"]
 
 # Tables whose rows feed CPU-heavy per-row text work.  Each driver file is a
-# single Parquet row group, so its scan yields one non-empty task; these are
-# spread round-robin over the session's parallelism right after the scan
-# (column pruning still applies below the exchange).  A table stored with
-# many row groups or files does not need it.
+# single Parquet row group, so its scan yields one non-empty task.
 TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
 
 
+def spread_if_few_files(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the session's parallelism when the scan has
+    fewer input files than task slots (a few large single-row-group files
+    give one busy task each).  A table laid out in many files is returned
+    unchanged: no extra shuffle at scale.  Column pruning still applies
+    below the exchange."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) < par:
+        return df.repartition(par)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                spread: bool | None = None) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     if spread if spread is not None else name in TEXT_TABLES:
-        df = df.repartition(spark.sparkContext.defaultParallelism)
+        df = spread_if_few_files(df)
     return df
 
 
