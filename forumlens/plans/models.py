@@ -105,7 +105,7 @@ def _doc_tf_materialized(spark, sf):
     return materialize(tf), labels
 
 
-@query("score_linear_models", f"""WITH {_DOC_TF},
+_SCORE_SQL = f"""WITH {_DOC_TF},
 seen AS (SELECT DISTINCT label AS tag, bucket FROM tf JOIN dl USING (Id)),
 w AS (SELECT tag, bucket, ({sql.md5_int("tag || ':' || CAST(bucket AS VARCHAR)")} % 2001 - 1000)
       / 1000.0 AS w FROM seen),
@@ -115,16 +115,28 @@ dots AS (SELECT Id, tag, sum(tf * w) AS dot FROM tf JOIN w USING (bucket) GROUP
          UNION ALL
          SELECT Id, tag, 0.0 FROM (SELECT DISTINCT Id FROM tf), (SELECT tag FROM b WHERE b > 0)),
 m AS (SELECT Id, tag, sum(dot) + any_value(b) AS margin FROM dots JOIN b USING (tag) GROUP BY Id, tag)
-SELECT Id, tag, round(margin, 6) AS margin FROM m WHERE round(margin, 6) > 0""")
+SELECT Id, tag, round(margin, 6) AS margin FROM m WHERE round(margin, 6) > 0"""
+
+
+@query("score_linear_models", _SCORE_SQL)
 def score_linear_models(spark, sf):
     # the features feed the weights, the scores and the post list: compute once
     tf, labels = _doc_tf_materialized(spark, sf)
     w, b = _formula_weights(tf, labels)
+    # the weights are counted (broadcast size check) and then joined
+    w = materialize(w, "weights")
     out = C.score_linear(tf, w, b, positive_only=False)
     out = out.select("Id", "tag", F.round("margin", 6).alias("margin"))
     return out.where(F.col("margin") > 0)
 
 
+@query("predicted_tag_strings", f"""SELECT Id, string_agg(tag, ' ' ORDER BY tag) AS tags
+FROM ({_SCORE_SQL}) GROUP BY Id""")
+def predicted_tag_strings(spark, sf):
+    """F13 over the one-pass scores: each document's positive tags as text."""
+    return C.predicted_tag_list(score_linear_models(spark, sf))
+
+
 # ---- trained models (rows-only checks) --------------------------------------
 
 def _docs(spark, sf):
