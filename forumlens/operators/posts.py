@@ -36,7 +36,9 @@ def qa_join(posts: DataFrame, sort: bool = False) -> DataFrame:
     out = (child.join(_parents(posts), F.col("ParentId") == F.col("_parent_id"))
            .select("ParentId", "Id", "OwnerUserId", "Score",
                    F.col("_parent_tags").alias("Tags")))
-    return out.orderBy("ParentId") if sort else out
+    # ParentId order with tie-breakers: range bounds can then fall inside a
+    # hot ParentId, so one question's answers are sorted by several tasks
+    return out.orderBy("ParentId", "OwnerUserId", "Score", "Id") if sort else out
 
 
 def answers_inherit_tags(posts: DataFrame, text: str | None = None) -> DataFrame:

@@ -137,7 +137,8 @@ def json_qa_join(qs: DataFrame, ans: DataFrame, sort: bool = True) -> DataFrame:
     q = qs.select(F.col("Id").alias("_qid"), F.col("Tags"))
     out = (ans.join(q, F.col("ParentId") == F.col("_qid"))
            .select("ParentId", "OwnerUserId", "Score", "Tags"))
-    return out.orderBy("ParentId") if sort else out
+    # tie-breakers let range partitioning split a hot ParentId
+    return out.orderBy("ParentId", "OwnerUserId", "Score") if sort else out
 
 
 # ---- CSV and text ----------------------------------------------------------

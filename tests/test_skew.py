@@ -64,3 +64,20 @@ def test_hot_question_is_split_and_result_whole(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_sort_by_hot_parent_spreads_over_partitions(spark):
+    from forumlens.operators.posts import qa_join
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = qa_join(_skewed_posts(spark), sort=True)
+        sizes = out.rdd.glom().map(len).collect()
+        n = sum(sizes)
+        assert n == 30000
+        # question 0 holds 10 000 rows; no partition may hold all of them
+        assert max(sizes) < 10000
+        keys = [r["ParentId"] for r in out.select("ParentId").collect()]
+        assert keys == sorted(keys)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
