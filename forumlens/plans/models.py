@@ -18,15 +18,15 @@ from forumlens.sources import formats as fmt
 from forumlens.sources.sinks import ModelStore
 
 V = X.NUM_FEATURES
-DIM = 4
 MIN_POSITIVE = 5
 
 
 def _lines(spark, sf):
-    """embeddings rendered as multi-label text lines ``l1,l2#f1 f2 f3 f4``
-    (integer features floor(x * 1000): float text differs between engines)."""
+    """embeddings rendered as multi-label text lines ``l1,l2#f1 f2 ... f64``
+    over the whole vector (integer features floor(x * 1000): float text
+    differs between engines)."""
     e = fx.read_table(spark, sf, "embeddings")
-    feats = F.array_join(F.transform(F.slice("embedding", 1, DIM), lambda x: F.floor(
+    feats = F.array_join(F.transform("embedding", lambda x: F.floor(
         x.cast("double") * 1000).cast("string")), " ")
     line = F.concat(F.col("label").cast("string"), F.lit(","),
                     (F.col("label") % 2).cast("string"), F.lit("#"), feats)
@@ -37,22 +37,22 @@ def _parsed(spark, sf):
     return C.explode_labels(fmt.parse_multilabel_lines(_lines(spark, sf)))
 
 
-_NB_ROWS = "SELECT vec_id, CAST(l AS DOUBLE) AS label, " + ", ".join(
-    f"CAST(floor(CAST(embedding[{i + 1}] AS DOUBLE) * 1000) AS DOUBLE) AS f{i}"
-    for i in range(DIM)) + " FROM (SELECT *, unnest([label, label % 2]) AS l FROM embeddings)"
+_NB_ROWS = """SELECT vec_id, CAST(l AS DOUBLE) AS label, CAST(p - 1 AS INTEGER) AS pos,
+       CAST(floor(CAST(embedding[p] AS DOUBLE) * 1000) AS DOUBLE) AS value
+FROM (SELECT vec_id, embedding, unnest([label, label % 2]) AS l FROM embeddings),
+     LATERAL (SELECT unnest(generate_series(1, len(embedding))) AS p)"""
 
 
 @query("nb_parse", _NB_ROWS)
 def nb_parse(spark, sf):
     p = _parsed(spark, sf)
-    return p.select("vec_id", "label",
-                    *[F.col("features")[i].alias(f"f{i}") for i in range(DIM)])
+    return p.select("vec_id", "label", F.posexplode("features").alias("pos", "value"))
 
 
-@query("nb_label_stats", f"""SELECT label, count(*) AS n, """ + ", ".join(
-    f"sum(f{i}) AS s{i}" for i in range(DIM)) + f" FROM ({_NB_ROWS}) GROUP BY label")
+@query("nb_label_stats", f"""SELECT label, pos, count(*) AS n, sum(value) AS total
+FROM ({_NB_ROWS}) GROUP BY label, pos""")
 def nb_label_stats(spark, sf):
-    return C.label_feature_sums(_parsed(spark, sf), dim=DIM)
+    return C.label_feature_sums_long(_parsed(spark, sf))
 
 
 _DOC_TF = f"""tf AS (SELECT Id, {sql.md5_bucket('w', V)} AS bucket, count(*) AS tf
