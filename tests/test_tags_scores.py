@@ -98,3 +98,22 @@ def test_top_experts_plans_partial_group_limit(spark):
     # a per-partition top-k runs before the shuffle on the tag, so a hot tag
     # sends at most k rows per map partition
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_substring_large_vocab_matches_brute_force(spark):
+    import random
+    rng = random.Random(5)
+    alphabet = "abcde-+"
+    names = sorted({"".join(rng.choice(alphabet) for _ in range(rng.randint(1, 6)))
+                    for _ in range(300)})
+    rows = [(i, "".join(f"<{rng.choice(names)}>" for _ in range(rng.randint(0, 4))))
+            for i in range(400)]
+    vocab_names = names[::2] + ["a><b", "<a", "x"]
+    posts = spark.createDataFrame(rows, ["Id", "Tags"])
+    vocab = spark.createDataFrame([(v,) for v in vocab_names], ["TagName"])
+    got = sorted(map(tuple, TG.post_tag_labels(posts, vocab, match="substring",
+                                               inline_limit=3).collect()))
+    want = sorted((i, v) for i, t in rows for v in set(vocab_names) if v in t)
+    assert got == want
+    inline = sorted(map(tuple, TG.post_tag_labels(posts, vocab, match="substring").collect()))
+    assert inline == want
