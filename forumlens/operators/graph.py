@@ -81,23 +81,20 @@ def power_iteration_vector(edges: DataFrame, steps: int = 3,
 
 
 def pic_assign(edges: DataFrame, k: int = 3, max_iter: int = 10,
-               init_mode: str = "random", seed: int = 7,
+               init_mode: str = "random",
                partitions: int | None = None) -> DataFrame:
     """M8: power iteration clustering -> ``(id, cluster)``.
 
-    PIC's result depends on the input partitioning (its random init is
-    seeded per partition); edges are hash-partitioned to a fixed count and
-    sorted within partitions so a given input gives a given result.
+    PIC's result depends on the input partitioning (its random init and its
+    k-means step follow the partition layout; the estimator has no seed
+    parameter), so edges are hash-partitioned to a fixed count and sorted
+    within partitions: a given input gives a given result.
     """
     n = partitions or edges.sparkSession.sparkContext.defaultParallelism
     e = (edges.select("src", "dst", "weight").repartition(n, "src", "dst")
          .sortWithinPartitions("src", "dst"))
     pic = PowerIterationClustering(k=k, maxIter=max_iter, initMode=init_mode,
                                    srcCol="src", dstCol="dst", weightCol="weight")
-    # PIC's init draws from a seed parameter the Python wrapper does not
-    # expose in every version; set it when available.
-    if pic.hasParam("seed"):
-        pic._set(seed=seed)
     return pic.assignClusters(e)
 
 
