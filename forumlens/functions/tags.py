@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from forumlens.constants import TAG_BRACKET_PATTERN, TAG_SEPARATOR_PATTERN
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -12,7 +14,8 @@ def _c(c) -> Column:
 
 def clean_tags(tags) -> Column:
     """``<a><b>`` -> ``a b``: ``><`` becomes a space, then ``<``/``>`` go."""
-    return F.regexp_replace(F.regexp_replace(_c(tags), "><", " "), "<|>", "")
+    return F.regexp_replace(F.regexp_replace(_c(tags), TAG_SEPARATOR_PATTERN, " "),
+                            TAG_BRACKET_PATTERN, "")
 
 
 def tag_list(tags) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from forumlens.constants import MARKUP_PATTERN, NON_WORD_PATTERN
+
 # Java's \s: space, tab, newline, vertical tab, form feed, carriage return.
 WS = r"[ \t\n\x0B\f\r]"
 
@@ -21,7 +23,7 @@ def java_trim(s) -> Column:
 
 def strip_markup(body) -> Column:
     """Replace each greedy, whitespace-free ``<...>`` run by one space."""
-    return F.regexp_replace(_c(body), r"<\S+>", " ")
+    return F.regexp_replace(_c(body), MARKUP_PATTERN, " ")
 
 
 def post_text(title, body) -> Column:
@@ -31,7 +33,7 @@ def post_text(title, body) -> Column:
                     strip_markup(F.coalesce(_c(body), F.lit(""))))
     # newline -> space then space runs -> one space, in one pass
     text = F.regexp_replace(text, "[ \n]+", " ")
-    return F.regexp_replace(text, r"\W", " ")
+    return F.regexp_replace(text, NON_WORD_PATTERN, " ")
 
 
 def tokenize_expr(text, keep_empty: bool = False) -> Column:

@@ -10,6 +10,7 @@ from pyspark.ml.clustering import PowerIterationClustering
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forumlens.constants import PIC_K, PIC_MAX_ITER
 from forumlens.session import materialize
 
 TAG_ID_OFFSET = 1_000_000
@@ -80,7 +81,7 @@ def power_iteration_vector(edges: DataFrame, steps: int = 3,
     return v.select("id", (F.col("v") / F.lit(norm)).alias("v"))
 
 
-def pic_assign(edges: DataFrame, k: int = 3, max_iter: int = 10,
+def pic_assign(edges: DataFrame, k: int = PIC_K, max_iter: int = PIC_MAX_ITER,
                init_mode: str = "random",
                partitions: int | None = None) -> DataFrame:
     """M8: power iteration clustering -> ``(id, cluster)``.

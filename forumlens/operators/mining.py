@@ -6,6 +6,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forumlens.constants import FP_MIN_CONFIDENCE, FP_MIN_SUPPORT
+
 
 def render_items(items) -> F.Column:
     """``[a,b,c]`` with the items in sorted order (stable across runs)."""
@@ -14,7 +16,8 @@ def render_items(items) -> F.Column:
 
 
 def fit_fpgrowth(baskets: DataFrame, items: str = "items",
-                 min_support: float = 0.01, min_confidence: float = 0.8,
+                 min_support: float = FP_MIN_SUPPORT,
+                 min_confidence: float = FP_MIN_CONFIDENCE,
                  num_partitions: int | None = None):
     """M6: Spark ML FP-growth (parallel FP-growth, tree per item group).
 

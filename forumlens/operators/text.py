@@ -17,11 +17,10 @@ from pyspark.ml.feature import HashingTF, RegexTokenizer, StopWordsRemover, Toke
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forumlens.constants import NUM_FEATURES
 from forumlens.functions.hashing import md5_bucket
 from forumlens.functions.text import post_text, tokenize_expr
 
-NUM_FEATURES = 50_000
-
 
 def default_stop_words() -> list[str]:
     """Spark's public English stop-word list, shipped as a text file."""

@@ -9,8 +9,8 @@ from forumlens.plans.registry import query
 from forumlens.sources import fixtures as fx
 
 STEPS = 3
-K = 3
-MAX_ITER = 10
+K = G.PIC_K
+MAX_ITER = G.PIC_MAX_ITER
 OFFSET = G.TAG_ID_OFFSET
 
 _EDGES = f"""t AS (SELECT CAST(row_number() OVER (ORDER BY event_type) AS BIGINT) AS Id,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from forumlens import constants as K
 from forumlens.functions.hashing import md5_int
 from forumlens.functions.tags import tag_array
 from forumlens.operators import classify as C
@@ -157,9 +158,10 @@ def train_one_tag(spark, sf):
 def train_pipeline_tag(spark, sf):
     """M1 + X5 + R1: hashing (64 000) + LR(30, 0.02) pipeline on a 0.9
     per-class sample, substring label, evaluated on its own training rows."""
+    f = K.CLASS_SAMPLE_FRACTION
     _, pred = C.train_one_tag(_docs(spark, sf), "src1", match="substring",
-                              kind="lr", num_features=64_000,
-                              sample={0.0: 0.9, 1.0: 0.9}, evaluate_on="train")
+                              kind="lr", num_features=K.PIPELINE_NUM_FEATURES,
+                              sample={0.0: f, 1.0: f}, evaluate_on="train")
     return pred
 
 

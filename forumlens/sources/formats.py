@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forumlens.constants import POSTS_WRAPPER, XML_PROLOG_PREFIX
 from forumlens.schemas import (JSON_POSTS, POST_FIELDS, RAW_POSTS, RAW_TAGS,
                                TAG_FIELDS, USER_TAG)
 
@@ -95,11 +96,11 @@ def typed_tags(raw: DataFrame) -> DataFrame:
                       _to_long("Count").alias("Count"))
 
 
-def filter_wrapper_lines(df: DataFrame, col: str, wrapper: str = "posts") -> DataFrame:
+def filter_wrapper_lines(df: DataFrame, col: str, wrapper: str = POSTS_WRAPPER) -> DataFrame:
     """Drop the XML prolog and the wrapper element lines of a text dump
     (needed only on a raw-text path; the XML reader does it itself)."""
     c = F.col(col)
-    return df.where(~c.startswith("<?xml version=") & ~c.startswith("﻿<?xml version=")
+    return df.where(~c.startswith(XML_PROLOG_PREFIX) & ~c.startswith("﻿" + XML_PROLOG_PREFIX)
                     & (c != f"<{wrapper}>") & (c != f"</{wrapper}>"))
 
 
