@@ -22,11 +22,26 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
 
+# Target bytes per shuffle partition for the largest stage; AQE coalesces
+# smaller stages back towards ``advisoryPartitionSizeInBytes``.
+SHUFFLE_TARGET_BYTES = 256 << 20
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = SHUFFLE_TARGET_BYTES,
+                           minimum: int = 8) -> int:
+    """Initial ``spark.sql.shuffle.partitions`` for an input of ``input_bytes``
+    (compressed Parquet grows a few times in memory; 256 MB compressed per
+    partition keeps a task's shuffle block well inside executor memory).
+    100 TB gives ~400 000 partitions; AQE merges the small ones at runtime."""
+    return max(minimum, -(-int(input_bytes) // int(target_bytes)))
+
+
 def recommended_conf(shuffle_partitions: int | None = None) -> dict[str, str]:
     conf = dict(RECOMMENDED_CONF)
     if shuffle_partitions is not None:
