@@ -16,7 +16,7 @@ from forumlens.plans.registry import query
 from forumlens.sources import fixtures as fx
 from forumlens.sources import formats as fmt
 from forumlens.sources import sinks
-from forumlens.session import shared_path
+from forumlens.session import materialize, shared_path
 
 # Parameters of the registered queries (fixed values of this fixture set).
 TOP_N = 10
@@ -257,7 +257,10 @@ def json_questions(spark, sf):
 FROM lineitem JOIN ({_JSON_Q}) q ON q.Id = CAST(l_orderkey AS VARCHAR)
 ORDER BY ParentId""")
 def json_qa_join(spark, sf):
-    rows = fmt.parse_posts_json_lines(_json_lines(spark, sf), "value")
+    # both join sides read the same JSON source: parse it once into a staged
+    # Parquet table in the shared folder instead of parsing it twice
+    rows = materialize(fmt.parse_posts_json_lines(_json_lines(spark, sf), "value"),
+                       "json-posts")
     return fmt.json_qa_join(fmt.json_questions(rows), fmt.json_answers(rows))
 
 
