@@ -114,3 +114,20 @@ SELECT round(sum((cp / P - (cp - pos) / P) *
 FROM c, t""")
 def auc_pr(spark, sf):
     return M.auc_pr(scored_labels(spark, sf)).select(F.round("auc_pr", 10).alias("auc_pr"))
+
+
+@query("holdout_tag_counts", f"""SELECT CASE WHEN {sql.md5_unit('Id')} < 0.7 THEN 'train' ELSE 'test' END
+         AS split, count(*) AS n
+FROM (SELECT doc_id AS Id, 1 AS PostTypeId, '<' || lang || '><' || source || '>' AS Tags,
+             text AS Text FROM documents)
+WHERE contains('[' || CAST(Id AS VARCHAR) || ',' || CAST(PostTypeId AS VARCHAR) || ','
+               || coalesce(Tags, 'null') || ',' || coalesce(Text, 'null') || ']', 'src1')
+GROUP BY ALL""")
+def holdout_tag_counts(spark, sf):
+    """P8 + A4 per split: rows of the 70/30 hash split whose rendered row
+    mentions the target tag, counted in one grouped pass."""
+    from forumlens.operators.posts import any_column_contains
+    d = fx.document_posts(spark, sf)
+    hits = any_column_contains(d, "src1")
+    return (R.split_label(hits, "Id", 0.7).groupBy("split")
+            .agg(F.count(F.lit(1)).alias("n")))

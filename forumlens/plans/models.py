@@ -154,6 +154,19 @@ def train_one_tag(spark, sf):
     return pred
 
 
+@query("one_tag_metrics")
+def one_tag_metrics(spark, sf):
+    """A8-A11 as the hold-out program reports them: confusion counts,
+    accuracy (also printed as precision and recall), and AUC on the hard 0/1
+    predictions of the L-BFGS model."""
+    _, pred = C.train_one_tag(_docs(spark, sf), "en", kind="lr_lbfgs", score="hard")
+    pred = materialize(pred, "one-tag-pred")
+    auc = M.auc_roc(pred).first()[0]
+    return M.binary_metrics(pred).select("tp", "fp", "fn", "tn", "accuracy",
+                                         "precision", "recall",
+                                         F.lit(auc).alias("auc_roc"))
+
+
 @query("train_pipeline_tag")
 def train_pipeline_tag(spark, sf):
     """M1 + X5 + R1: hashing (64 000) + LR(30, 0.02) pipeline on a 0.9
