@@ -218,8 +218,11 @@ def train_all_tags(spark, sf):
 
 @query("predicted_tags")
 def predicted_tags(spark, sf):
-    """M4 with trained models: every model over every document in one job."""
-    feats, models, _ = _all_tags(spark, sf)
-    w, b = C.model_weights(spark, models)
+    """M4 + S14 with trained models: the models are saved to a model store,
+    their weights read back by one distributed scan of the store, and every
+    model is scored over every document in one job."""
+    store = ModelStore(shared_path(spark, "tag-models"))
+    feats, _, _ = _all_tags(spark, sf, store)
+    w, b = store.weights(spark)
     long = C.vector_entries(feats, "Id", "features")
-    return C.score_linear(long, w, b)
+    return C.score_linear(long, materialize(w, "model-weights"), b)

@@ -122,3 +122,24 @@ def test_model_store_roundtrip(spark, tmp_path):
     loaded = store.load(spark, LogisticRegressionModel)
     assert list(loaded) == ["c++/odd tag"]
     assert loaded["c++/odd tag"].coefficients == m.coefficients
+
+
+def test_model_store_weights_distributed(spark, tmp_path):
+    from pyspark.ml.classification import LinearSVC, LogisticRegression
+    from pyspark.ml.linalg import Vectors
+    rows = [(Vectors.sparse(6, [0, 1], [1.0, 2.0]), 1.0), (Vectors.sparse(6, [3], [1.0]), 0.0),
+            (Vectors.sparse(6, [0], [3.0]), 1.0), (Vectors.sparse(6, [3, 4], [1.0, 1.0]), 0.0)]
+    df = spark.createDataFrame(rows, ["features", "label"])
+    for cls, kw in ((LogisticRegression, {"maxIter": 10}), (LinearSVC, {"maxIter": 10})):
+        store = sinks.ModelStore(str(tmp_path / cls.__name__))
+        models = {"a/b c%": cls(**kw).fit(df), "plain": cls(regParam=0.5, **kw).fit(df)}
+        for t, m in models.items():
+            store.save(t, m)
+        w, b = store.weights(spark)
+        got = {(r["tag"], r["bucket"]): r["w"] for r in w.collect()}
+        want = {(t, int(i)): float(m.coefficients[int(i)]) for t, m in models.items()
+                for i in range(6) if m.coefficients[int(i)] != 0}
+        assert got.keys() == want.keys()
+        assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
+        bias = {r["tag"]: r["b"] for r in b.collect()}
+        assert all(abs(bias[t] - m.intercept) < 1e-12 for t, m in models.items())
