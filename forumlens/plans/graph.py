@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from forumlens.operators import graph as G
+from forumlens.plans import sql
 from forumlens.plans.registry import query
 from forumlens.sources import fixtures as fx
 
@@ -19,8 +20,8 @@ e AS (SELECT user_id AS src, t.Id + {OFFSET} AS dst, abs(sum(value)) AS weight
       FROM events JOIN t ON event_type = t.TagName GROUP BY user_id, t.Id)"""
 
 
-def _power_sql(steps: int) -> str:
-    parts = [f"""{_EDGES},
+def _power_sql(steps: int, edges: str = _EDGES) -> str:
+    parts = [f"""{edges},
 sym AS (SELECT src, dst, weight FROM e UNION ALL SELECT dst, src, weight FROM e),
 deg AS (SELECT src AS id, sum(weight) AS d FROM sym GROUP BY src),
 a AS (SELECT sym.src, sym.dst, weight / d AS a FROM sym JOIN deg ON sym.src = deg.id),
@@ -58,3 +59,35 @@ def cluster_tags(spark, sf):
     a = G.pic_assign(edges(spark, sf), K, MAX_ITER)
     return G.cluster_tags(a, fx.event_tags(spark, sf)).select(
         "cluster", F.array_join("tags", ",").alias("tags"))
+
+
+_UTS_EDGES = f"""{sql.USER_TAG_SCORE_CTE},
+t AS (SELECT CAST(row_number() OVER (ORDER BY TagId) AS BIGINT) AS Id, TagId AS TagName
+      FROM (SELECT DISTINCT TagId FROM uts)),
+e AS (SELECT UserId AS src, t.Id + {OFFSET} AS dst, abs(TotalScore) AS weight
+      FROM uts JOIN t ON uts.TagId = t.TagName)"""
+
+
+@query("uts_power_iteration", _power_sql(STEPS, _UTS_EDGES))
+def uts_power_iteration(spark, sf):
+    """The scores -> communities hand-off: user-tag scores written as CSV in
+    the shared folder (real CSV, T9), read back as string triples, tag names
+    mapped to ids through the tags vocabulary, then the power-iteration
+    vector."""
+    from pyspark.sql import Window
+    from forumlens.operators.scores import user_tag_score
+    from forumlens.session import shared_path
+    from forumlens.sources import formats as fmt
+    from forumlens.sources import sinks
+    path = shared_path(spark, "uts-csv")
+    sinks.write_user_tag_csv(user_tag_score(fx.qa_posts(spark, sf)), path)
+    triples = fmt.read_user_tag_csv(spark, path)
+    # the vocabulary is the distinct tag names: small by nature
+    tags = triples.select(F.col("TagId").alias("TagName")).distinct().select(
+        F.row_number().over(Window.orderBy("TagName")).cast("bigint").alias("Id"),
+        "TagName")
+    e = G.pic_edges(triples.select(F.col("UserId").cast("bigint").alias("UserId"),
+                                   "TagId", F.col("Score").cast("double").alias("Score")),
+                    tags)
+    v = G.power_iteration_vector(e, STEPS)
+    return v.select("id", F.round("v", 10).alias("v"))

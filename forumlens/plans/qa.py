@@ -315,3 +315,17 @@ def user_tag_score_stream(spark, sf):
                            f"{base}/changelog", f"{base}/checkpoint")
     q.awaitTermination()
     return ST.current(spark, f"{base}/changelog")
+
+
+@query("user_tag_score_xml", f"""WITH {sql.USER_TAG_SCORE_CTE}
+SELECT UserId, TagId, TotalScore FROM uts""")
+def user_tag_score_xml(spark, sf):
+    """The whole user-tag score program: posts written as an XML dump in the
+    shared folder, read back with the XML source (raw strings), typed with
+    try_cast, joined, exploded and summed."""
+    posts = _spread(spark, fx.qa_posts(spark, sf)).withColumn(
+        "Score", F.col("Score").cast("bigint").cast("string"))
+    path = shared_path(spark, "posts-xml")
+    sinks.write_posts_xml(posts, path)
+    typed = fmt.typed_posts(fmt.read_posts_xml(spark, path))
+    return S.user_tag_score(typed, sort=True)
