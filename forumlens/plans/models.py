@@ -167,8 +167,8 @@ def one_tag_metrics(spark, sf):
                                          F.lit(auc).alias("auc_roc"))
 
 
-@query("train_pipeline_tag")
-def train_pipeline_tag(spark, sf):
+@query("train_sampled_tag")
+def train_sampled_tag(spark, sf):
     """M1 + X5 + R1: hashing (64 000) + LR(30, 0.02) pipeline on a 0.9
     per-class sample, substring label, evaluated on its own training rows."""
     f = K.CLASS_SAMPLE_FRACTION
