@@ -1,7 +1,6 @@
 """Hand-written XML / JSON / CSV / text inputs (FIXTURES.md section 2)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from forumlens.sources import formats as fmt
 from forumlens.sources import sinks

@@ -2,8 +2,7 @@
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.ml.feature import StopWordsRemover, Tokenizer
-from pyspark.sql import functions as F
+from pyspark.ml.feature import Tokenizer
 
 from forumlens.functions.text import post_text, strip_markup, tokenize_expr
 from forumlens.operators import text as X
