@@ -66,8 +66,10 @@ def power_iteration_vector(edges: DataFrame, steps: int = 3,
     """
     sym = _symmetric(edges)
     deg = sym.groupBy(F.col("src").alias("id")).agg(F.sum("weight").alias("d"))
+    # a vertex whose edges all weigh 0 has degree 0: its row of D^-1 W is 0
     a = (sym.join(deg.select(F.col("id").alias("src"), "d"), "src")
-         .select("src", "dst", (F.col("weight") / F.col("d")).alias("a")))
+         .select("src", "dst", F.when(F.col("d") != 0, F.col("weight") / F.col("d"))
+                 .otherwise(F.lit(0.0)).alias("a")))
     if steps > 1:
         a = materialize(a)
     v = deg.select("id", F.col("d").alias("v"))
@@ -77,7 +79,9 @@ def power_iteration_vector(edges: DataFrame, steps: int = 3,
              .agg(F.sum(F.col("a") * F.col("v")).alias("v")))
         if checkpoint_every and i % checkpoint_every == 0 and i < steps:
             v = materialize(v)
-    norm = v.agg(F.sum(F.abs("v"))).first()[0]
+    norm = v.agg(F.sum(F.abs("v"))).first()[0] or 0.0
+    if norm == 0.0:
+        return v.select("id", F.lit(0.0).alias("v"))
     return v.select("id", (F.col("v") / F.lit(norm)).alias("v"))
 
 

@@ -108,12 +108,21 @@ def cumulative_by_score(counts: DataFrame, buckets: int = PREFIX_BUCKETS) -> Dat
                     (F.col("_in") + F.col("_on")).alias("cum_neg")))
 
 
-def _curve(df: DataFrame, label: str, score: str, buckets: int) -> DataFrame:
+def _curve(df: DataFrame, label: str, score: str, buckets: int):
+    """Cumulative curve table, or None when a class is absent (the curve is
+    undefined; returning null avoids an ANSI divide-by-zero)."""
     counts = score_counts(df, label, score)
     # class totals: one aggregate row, read as two literals
     tot = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
+    P, N = tot["P"] or 0, tot["N"] or 0
+    if P == 0 or N == 0:
+        return None
     return cumulative_by_score(counts, buckets).select(
-        "*", F.lit(tot["P"] or 0).alias("P"), F.lit(tot["N"] or 0).alias("N"))
+        "*", F.lit(float(P)).alias("P"), F.lit(float(N)).alias("N"))
+
+
+def _undefined(df: DataFrame, name: str) -> DataFrame:
+    return df.sparkSession.range(1).select(F.lit(None).cast("double").alias(name))
 
 
 def auc_roc(df: DataFrame, label: str = "label", score: str = "score",
@@ -121,6 +130,8 @@ def auc_roc(df: DataFrame, label: str = "label", score: str = "score",
     """Exact area under ROC, trapezoids between consecutive distinct
     scores (ties get half credit, as Mann-Whitney with mid-ranks)."""
     c = _curve(df, label, score, buckets)
+    if c is None:
+        return _undefined(df, "auc_roc")
     tpr, fpr = F.col("cum_pos") / F.col("P"), F.col("cum_neg") / F.col("N")
     ptpr = (F.col("cum_pos") - F.col("pos")) / F.col("P")
     pfpr = (F.col("cum_neg") - F.col("neg")) / F.col("N")
@@ -132,10 +143,13 @@ def auc_pr(df: DataFrame, label: str = "label", score: str = "score",
     """Area under the precision-recall curve; the curve starts at
     (recall 0, first precision) and trapezoids join consecutive points."""
     c = _curve(df, label, score, buckets)
+    if c is None:
+        return _undefined(df, "auc_pr")
     prec = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
     rec = F.col("cum_pos") / F.col("P")
     prev_tp = F.col("cum_pos") - F.col("pos")
     prev_all = prev_tp + F.col("cum_neg") - F.col("neg")
-    pprec = F.when(prev_all == 0, prec).otherwise(prev_tp / prev_all)
+    pprec = F.when(prev_all == 0, prec).otherwise(
+        prev_tp / F.when(prev_all != 0, prev_all))
     prec_ = prev_tp / F.col("P")
     return c.agg(F.sum((rec - prec_) * (prec + pprec) / 2).alias("auc_pr"))

@@ -69,3 +69,9 @@ def test_stratified_sample_fractions(spark):
     assert 2550 < got[0.0] < 2850 and 400 < got[1.0] < 600
     s2 = R.stratified_sample(df.repartition(5), "label", {0.0: 0.9, 1.0: 0.5}, id_col="Id")
     assert sorted(s.collect()) == sorted(s2.collect())
+
+
+def test_auc_undefined_with_one_class(spark):
+    df = spark.createDataFrame([(1.0, 0.3), (1.0, 0.7)], "label double, score double")
+    assert M.auc_roc(df).first()[0] is None
+    assert M.auc_pr(df).first()[0] is None
