@@ -57,17 +57,29 @@ def hashed_tf(df: DataFrame, id_col: str = "Id", words: str = "words",
               num_features: int = NUM_FEATURES) -> DataFrame:
     """X3 long form: ``(id, bucket, tf)`` term counts per hashed bucket.
 
-    All tokens of a row live in one partition after the explode, so the
-    partial aggregate already leaves one row per (id, bucket) before the
-    shuffle: shuffle volume equals output size.
+    Documents are independent, so the counting happens inside each row with
+    built-in array functions and no shuffle: the bucket array is sorted once
+    (its own column, so the lambdas below do not recompute it), run starts
+    are found by comparing neighbours, and run lengths are the counts.  The
+    rows of a document stay in its partition, so a later per-document
+    aggregation (e.g. scoring) combines them map-side.
     """
-    # explode_outer + null filter: a plain explode makes the optimizer infer
-    # ``size(words) > 0`` and push it below any exchange into the scan, where
-    # the whole tokenize/stop-word expression would run a second time
-    ex = df.select(id_col, F.explode_outer(words).alias("_w")).where(
-        F.col("_w").isNotNull())
-    return (ex.groupBy(id_col, md5_bucket("_w", num_features).alias("bucket"))
-            .agg(F.count(F.lit(1)).alias("tf")))
+    b = F.col("_b")
+    with_b = df.select(id_col, F.array_sort(F.transform(
+        words, lambda w: md5_bucket(w, num_features))).alias("_b"))
+    starts = with_b.select(id_col, "_b", F.filter(
+        F.sequence(F.lit(1), F.greatest(F.size(b), F.lit(1))),
+        lambda i: (i == 1) | (F.element_at(b, i) != F.element_at(b, i - 1))).alias("_s"))
+    st = F.col("_s")
+    ends = F.concat(F.slice(st, 2, F.greatest(F.size(st), F.lit(1))),
+                    F.array(F.size(b) + 1))
+    pairs = F.arrays_zip(
+        F.transform(st, lambda i: F.element_at(b, i)).alias("bucket"),
+        F.zip_with(st, ends, lambda a, e: (e - a).cast("bigint")).alias("tf"))
+    # explode_outer + null filter: see ``explode_tokens``
+    out = starts.select(id_col, F.explode_outer(F.when(F.size(b) > 0, pairs)).alias("_p"))
+    return out.where(F.col("_p").isNotNull()).select(
+        id_col, F.col("_p.bucket").alias("bucket"), F.col("_p.tf").alias("tf"))
 
 
 def text_features(df: DataFrame, id_col: str = "Id", text: str = "Text",
