@@ -28,12 +28,16 @@ def strip_markup(body) -> Column:
 
 def post_text(title, body) -> Column:
     """Title + " " + plain body; newlines -> space; space runs -> one space;
-    then every non-word char -> space (in this order, so new runs appear)."""
+    then every non-word char -> space (in this order, so new runs appear).
+
+    The last three steps are one regex pass: ``[ \\n]+`` (a run of spaces and
+    newlines, which the first two steps turn into one space) or else one
+    ``\\W`` char, each replaced by a space.  The markup pass stays separate:
+    its inserted spaces take part in the run collapsing.
+    """
     text = F.concat(F.coalesce(_c(title), F.lit("")), F.lit(" "),
                     strip_markup(F.coalesce(_c(body), F.lit(""))))
-    # newline -> space then space runs -> one space, in one pass
-    text = F.regexp_replace(text, "[ \n]+", " ")
-    return F.regexp_replace(text, NON_WORD_PATTERN, " ")
+    return F.regexp_replace(text, "[ \n]+|" + NON_WORD_PATTERN, " ")
 
 
 def tokenize_expr(text, keep_empty: bool = False) -> Column:

@@ -60,3 +60,18 @@ def test_vectorizer_matches_ml_stages(spark):
     assert v.size == X.NUM_FEATURES and sorted(v.values) == [1.0, 1.0, 2.0]  # '' kept
     v2 = X.vectorize(df, "Text").first()["features"]
     assert sorted(v2.values) == [1.0, 2.0]
+
+
+def _reference_steps(title: str, body: str) -> str:
+    import re
+    plain = re.sub(r"<\S+>", " ", body, flags=re.ASCII)
+    text = (title + " " + plain).replace("\n", " ")
+    text = re.sub("( )+", " ", text)
+    return re.sub(r"\W", " ", text, flags=re.ASCII)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="a_1 <>/p\n\t.é", max_size=16), st.text(alphabet="a <\n.", max_size=6))
+def test_post_text_single_pass_equals_four_steps(spark, body, title):
+    df = spark.createDataFrame([(title, body)], "t string, b string")
+    assert df.select(post_text("t", "b")).first()[0] == _reference_steps(title, body)
