@@ -74,14 +74,16 @@ r AS (SELECT *, (a + d_) / (a + b + c_ + d_) AS accuracy,
       CASE WHEN a + c_ <> 0 THEN a / (a + c_) END AS r1,
       CASE WHEN d_ + c_ <> 0 THEN d_ / (d_ + c_) END AS p0,
       CASE WHEN d_ + b <> 0 THEN d_ / (d_ + b) END AS r0 FROM d)
-SELECT tp, fp, fn, tn, accuracy, accuracy AS precision, accuracy AS recall,
-       p1 AS precision_1, r1 AS recall_1,
-       CASE WHEN p1 + r1 <> 0 THEN 2 * p1 * r1 / (p1 + r1) END AS f1_1,
-       p0 AS precision_0, r0 AS recall_0,
-       CASE WHEN p0 + r0 <> 0 THEN 2 * p0 * r0 / (p0 + r0) END AS f1_0
+SELECT tp, fp, fn, tn, round(accuracy, 10) AS accuracy, round(accuracy, 10) AS precision,
+       round(accuracy, 10) AS recall,
+       round(p1, 10) AS precision_1, round(r1, 10) AS recall_1,
+       round(CASE WHEN p1 + r1 <> 0 THEN 2 * p1 * r1 / (p1 + r1) END, 10) AS f1_1,
+       round(p0, 10) AS precision_0, round(r0, 10) AS recall_0,
+       round(CASE WHEN p0 + r0 <> 0 THEN 2 * p0 * r0 / (p0 + r0) END, 10) AS f1_0
 FROM r""")
 def binary_metrics(spark, sf):
-    return M.binary_metrics(scored_labels(spark, sf))
+    m = M.binary_metrics(scored_labels(spark, sf))
+    return m.select("tp", "fp", "fn", "tn", *[F.round(c, 10).alias(c) for c in m.columns[4:]])
 
 
 @query("misclassified", f"""WITH {_SCORED}
