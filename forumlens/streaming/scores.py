@@ -10,6 +10,11 @@ compacts the changelog with a grouped ``max_by`` (no driver collect, no
 single-partition window).  The stream's checkpoint makes a restarted query
 resume exactly where it stopped, and a batch that is re-run after a failure
 rewrites the same ``batch_id`` partition.
+
+Scale note: a stream-static join reads the static side for every
+micro-batch.  With a very large question table, keep it in a layout that
+makes that cheap (partitioned/bucketed by question id, or a table of only
+the questions still receiving answers), or use longer triggers.
 """
 
 from __future__ import annotations
