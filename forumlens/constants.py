@@ -28,6 +28,7 @@ LBFGS_MAX_ITER = 100
 LBFGS_REG_PARAM = 0.0
 LBFGS_FIT_INTERCEPT = False
 LBFGS_THRESHOLD = 0.5
+LBFGS_TOL = 1e-4                      # the RDD-API L-BFGS default convergence tolerance
 SVM_MAX_ITER = 30
 SVM_REG_PARAM = 0.01
 SVM_FIT_INTERCEPT = False
