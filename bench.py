@@ -1,6 +1,8 @@
 """Benchmark: run the headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS]
 and print one JSON line.  Each query is fully executed with the ``noop``
-sink (every row produced, nothing collected to the driver)."""
+sink (every row produced, nothing collected to the driver).  Set
+$BENCH_EVENT_LOG_DIR to a scratch folder to keep Spark's event log (stage
+and task times)."""
 
 from __future__ import annotations
 
@@ -28,8 +30,14 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
+    extra = {}
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if log_dir:  # stage/task times for later inspection (no UI is started)
+        os.makedirs(log_dir, exist_ok=True)
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir}
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=cpus * 2,
-                          driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
+                          driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+                          extra=extra)
     qs = all_queries()
     times = {}
     # warm-up: JVM, parquet footers, codegen caches
