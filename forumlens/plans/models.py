@@ -13,13 +13,14 @@ from forumlens.operators import text as X
 from forumlens.plans import sql
 from forumlens.plans.registry import query
 from forumlens.plans.text import _CLEAN_DOC, _sql_words
-from forumlens.session import materialize, shared_path
+from forumlens.session import collect_bounded, materialize, shared_path
 from forumlens.sources import fixtures as fx
 from forumlens.sources import formats as fmt
 from forumlens.sources.sinks import ModelStore
 
 V = X.NUM_FEATURES
 MIN_POSITIVE = 5
+MAX_VOCABULARY = 100_000   # one model per tag: the vocabulary must stay bounded
 
 
 def _lines(spark, sf):
@@ -200,8 +201,9 @@ def _all_tags(spark, sf, store=None):
     docs = _docs(spark, sf)
     feats = X.vectorizer("Text").fit(docs).transform(docs).select(
         "Id", "Tags", "features")
-    vocab = sorted(r[0] for r in docs.select(F.explode(tag_array("Tags")))
-                   .distinct().collect())
+    vocab = sorted(collect_bounded(
+        docs.select(F.explode(tag_array("Tags")).alias("tag")).distinct(), "tag",
+        MAX_VOCABULARY, "tags"))
     models, rows = C.train_all_tags(feats, vocab, kind="lr_lbfgs",
                                     min_positive=MIN_POSITIVE, store=store)
     return feats, models, rows

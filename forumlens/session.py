@@ -100,3 +100,13 @@ def materialize(df, name: str = "stage"):
     path = shared_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def collect_bounded(df, column: str, limit: int, what: str = "values") -> list:
+    """Collect one column of a result that is small by nature (a vocabulary,
+    a model list), counting it first and refusing more than ``limit`` rows."""
+    n = df.count()
+    if n > limit:
+        raise ValueError(f"{n} {what} exceed the limit of {limit}; "
+                         "keep them as a DataFrame instead")
+    return [r[0] for r in df.select(column).collect()]
