@@ -16,6 +16,7 @@ from forumlens.plans import all_queries  # noqa: E402
 from forumlens.session import build_session  # noqa: E402
 
 QUERIES = ["user_tag_score", "top_experts", "recommend_users", "post_tag_labels",
+           "post_tag_labels_substring", "score_linear_models",
            "hashed_tf", "nb_train", "power_iteration_vector", "auc_roc"]
 
 
