@@ -5,21 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forumlens.operators.posts import qa_join
-from forumlens.operators.tags import explode_tags
+from forumlens.functions.tags import tag_array, tag_list
 
 
 def user_tag_score(posts: DataFrame, exact: bool = False,
                    sort: bool = False) -> DataFrame:
     """A1: total answer score per (user, tag) -> ``(UserId, TagId, TotalScore)``.
 
-    J1 (answers with their question's tags) -> explode tags -> sum.  The
-    aggregate is planned partial + final, so a user or tag holding a large
-    share of the rows is pre-summed inside each map task before the shuffle.
+    Answers join their question (J1) and each of the question's tags gets
+    the answer's score, summed per (user, tag).  The tag string is cleaned
+    and split on the question side, once per question rather than once per
+    answer, before the shuffle.  The aggregate is planned partial + final, so
+    a user or tag holding a large share of the rows is pre-summed inside
+    each map task; a hot question is split by AQE's skew join.
     """
-    qa = qa_join(posts).select(F.col("OwnerUserId").alias("UserId"),
-                               "Score", "Tags")
-    ex = explode_tags(qa, out="TagId", exact=exact)
+    tag_fn = tag_array if exact else tag_list
+    parents = posts.select(F.col("Id").alias("_parent_id"),
+                           tag_fn("Tags").alias("_tags"))
+    child = posts.where(F.col("ParentId").isNotNull()).select(
+        "ParentId", F.col("OwnerUserId").alias("UserId"), "Score")
+    ex = (child.join(parents, F.col("ParentId") == F.col("_parent_id"))
+          .select("UserId", "Score", F.explode("_tags").alias("TagId")))
     out = ex.groupBy("UserId", "TagId").agg(
         F.sum(F.col("Score").cast("double")).alias("TotalScore"))
     return out.orderBy("UserId", "TagId") if sort else out
