@@ -329,3 +329,19 @@ def user_tag_score_xml(spark, sf):
     sinks.write_posts_xml(posts, path)
     typed = fmt.typed_posts(fmt.read_posts_xml(spark, path))
     return S.user_tag_score(typed, sort=True)
+
+
+@query("json_user_tag_score", f"""WITH {sql.USER_TAG_SCORE_CTE}
+SELECT UserId, TagId, TotalScore FROM uts""")
+def json_user_tag_score(spark, sf):
+    """The JSON program's intended (commented-out) end: posts as JSON lines
+    in the shared folder, tagged questions joined to answers, tags exploded,
+    scores summed per (user, tag)."""
+    path = shared_path(spark, "posts-json")
+    _json_lines(spark, sf).write.text(path)
+    rows = materialize(fmt.read_posts_json(spark, path), "json-posts")
+    j = fmt.json_qa_join(fmt.json_questions(rows), fmt.json_answers(rows), sort=False)
+    typed = j.select(F.expr("try_cast(OwnerUserId AS BIGINT)").alias("UserId"),
+                     F.expr("try_cast(Score AS DOUBLE)").alias("Score"), "Tags")
+    ex = TG.explode_tags(typed, out="TagId")
+    return ex.groupBy("UserId", "TagId").agg(F.sum("Score").alias("TotalScore"))
