@@ -54,7 +54,8 @@ def remove_stop_words(df: DataFrame, tokens: str = "tokens",
 
 
 def hashed_tf(df: DataFrame, id_col: str = "Id", words: str = "words",
-              num_features: int = NUM_FEATURES) -> DataFrame:
+              num_features: int = NUM_FEATURES,
+              keep: tuple[str, ...] = ()) -> DataFrame:
     """X3 long form: ``(id, bucket, tf)`` term counts per hashed bucket.
 
     Documents are independent, so the counting happens inside each row with
@@ -62,12 +63,14 @@ def hashed_tf(df: DataFrame, id_col: str = "Id", words: str = "words",
     (its own column, so the lambdas below do not recompute it), run starts
     are found by comparing neighbours, and run lengths are the counts.  The
     rows of a document stay in its partition, so a later per-document
-    aggregation (e.g. scoring) combines them map-side.
+    aggregation (e.g. scoring) combines them map-side.  Columns in ``keep``
+    (per-document attributes such as labels) are carried to every output row.
     """
     b = F.col("_b")
-    with_b = df.select(id_col, F.array_sort(F.transform(
+    keep = list(keep)
+    with_b = df.select(id_col, *keep, F.array_sort(F.transform(
         words, lambda w: md5_bucket(w, num_features))).alias("_b"))
-    starts = with_b.select(id_col, "_b", F.filter(
+    starts = with_b.select(id_col, *keep, "_b", F.filter(
         F.sequence(F.lit(1), F.greatest(F.size(b), F.lit(1))),
         lambda i: (i == 1) | (F.element_at(b, i) != F.element_at(b, i - 1))).alias("_s"))
     st = F.col("_s")
@@ -77,9 +80,10 @@ def hashed_tf(df: DataFrame, id_col: str = "Id", words: str = "words",
         F.transform(st, lambda i: F.element_at(b, i)).alias("bucket"),
         F.zip_with(st, ends, lambda a, e: (e - a).cast("bigint")).alias("tf"))
     # explode_outer + null filter: see ``explode_tokens``
-    out = starts.select(id_col, F.explode_outer(F.when(F.size(b) > 0, pairs)).alias("_p"))
+    out = starts.select(id_col, *keep,
+                        F.explode_outer(F.when(F.size(b) > 0, pairs)).alias("_p"))
     return out.where(F.col("_p").isNotNull()).select(
-        id_col, F.col("_p.bucket").alias("bucket"), F.col("_p.tf").alias("tf"))
+        id_col, *keep, F.col("_p.bucket").alias("bucket"), F.col("_p.tf").alias("tf"))
 
 
 def text_features(df: DataFrame, id_col: str = "Id", text: str = "Text",

@@ -81,8 +81,10 @@ SELECT s.label, s.bucket, round(ln((t_cj + 1) / (t_c + {V})), 10) AS theta,
        round(ln(1 / (t_c + {V})), 10) AS theta_default
 FROM s JOIN tt USING (label) JOIN nd USING (label), g""")
 def nb_train(spark, sf):
-    tf, labels = _doc_tf(spark, sf)
-    theta, priors = C.nb_fit_long(tf, labels, V)
+    d = fx.document_posts(spark, sf)
+    words = X.remove_stop_words(X.tokenize(X.clean_text(d, None, "Text"), "Text"))
+    docs = words.select("Id", "words", tag_array("Tags").alias("labels"))
+    theta, priors = C.nb_fit_docs(docs, "words", "labels", V)
     return theta.join(priors, "label").select(
         "label", "bucket", F.round("theta", 10).alias("theta"),
         F.round("pi", 10).alias("pi"),
