@@ -41,7 +41,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.llm import textbytes as tb
@@ -54,7 +54,7 @@ SKETCH_BITS = 20              # counters of hashed shingles
 SKETCH_SLICES = 64
 BUCKET_ENTRIES = 2_000_000    # prefix shingles gathered by one task
 SALT_CLASS = 20               # shingles seen 2**20 times or more are salted
-STAR_ROUNDS = 4               # at most; later rounds only if links remain
+STAR_ROUNDS = 3               # at most; later rounds only if links remain
 TREE_BLOCK = 512              # classes in one tree
 FANOUT = 8
 
@@ -226,35 +226,60 @@ def _joined(column, dtype):
     return np.frombuffer(b"".join(x.as_py() for x in column), dtype)
 
 
-def _gather(table: pa.Table) -> pa.Table:
-    """(token, cid, n) of the tokens of a bucket that several classes share."""
-    tok, count = _joined(table["tokens"], np.uint64), _joined(table["counts"], np.int32)
-    cid = np.repeat(_joined(table["cids"], np.int64), count)
-    size = np.repeat(_joined(table["sizes"], np.int32), count).astype(np.int64)
-    order = np.argsort(tok, kind="stable")
-    tok, cid, size = tok[order], cid[order], size[order]
-    start = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]]))
-    many = np.minimum.reduceat(cid, start) != np.maximum.reduceat(cid, start)
-    keep = np.repeat(many, np.diff(np.append(start, len(tok))))
-    tok, cid, size = tok[keep], cid[keep], size[keep]
-    order = np.lexsort((cid, tok))
-    tok, cid, size = tok[order], cid[order], size[order]
-    new = np.ones(len(tok), bool)
-    new[1:] = (tok[1:] != tok[:-1]) | (cid[1:] != cid[:-1])
-    return pa.table({"token": tok[new].astype(np.int64), "cid": cid[new], "n": size[new]})
+def _gather(order):
+    """(token, cid, n, h1, h2) of the tokens of a bucket that several classes
+    share; h1 and h2 name the set of these classes."""
+    def run(table: pa.Table) -> pa.Table:
+        tok, count = _joined(table["tokens"], np.uint64), _joined(table["counts"], np.int32)
+        cid = np.repeat(_joined(table["cids"], np.int64), count)
+        size = np.repeat(_joined(table["sizes"], np.int32), count).astype(np.int64)
+        by = np.argsort(tok, kind="stable")
+        tok, cid, size = tok[by], cid[by], size[by]
+        start = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]]))
+        many = np.minimum.reduceat(cid, start) != np.maximum.reduceat(cid, start)
+        keep = np.repeat(many, np.diff(np.append(start, len(tok))))
+        tok, cid, size = tok[keep], cid[keep], size[keep]
+        by = np.lexsort((cid, tok))
+        tok, cid, size = tok[by], cid[by], size[by]
+        new = np.ones(len(tok), bool)
+        new[1:] = (tok[1:] != tok[:-1]) | (cid[1:] != cid[:-1])
+        tok, cid, size = tok[new], cid[new], size[new]
+        start = np.flatnonzero(np.append(True, tok[1:] != tok[:-1])[:len(tok)])
+        length = np.diff(np.append(start, len(tok)))
+        h = np.zeros((2, len(start)), np.uint64)
+        if len(start):
+            with np.errstate(over="ignore"):
+                for k, salt in enumerate((_K1, _K2)):
+                    h[k] = np.add.reduceat(tb.mix(cid.astype(np.uint64) ^ salt), start)
+            # a salted shingle is here in part only: it stands for itself
+            hot = order.value[(tok[start] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] >= SALT_CLASS
+            h[0][hot], h[1][hot] = tok[start][hot], 0
+        _, first = np.unique(h, axis=1, return_index=True)
+        keep = np.zeros(len(start), bool)
+        keep[first] = True
+        keep = np.repeat(keep, length)
+        h = np.repeat(h, length, axis=1)[:, keep].astype(np.int64)
+        return pa.table({"token": tok[keep].astype(np.int64), "cid": cid[keep], "n": size[keep],
+                         "h1": h[0], "h2": h[1]})
+    return run
 
 
 def buckets(texts: DataFrame, sets: DataFrame, threshold=THRESHOLD) -> DataFrame:
-    """(token, cid, n): classes that share a prefix shingle with others."""
+    """(token, cid, n): classes that share a prefix shingle with others.  Of
+    buckets with the same classes (the shingles of one shared passage) one is
+    kept."""
     spark = texts.sparkSession
-    order = shingle_order(sets)
+    order = spark.sparkContext.broadcast(shingle_order(sets))
     p, q = threshold
     entries = sets.where("n > 0").agg(F.sum(F.col("n") - F.ceil(F.col("n") * p / q) + 1)).first()[0] or 0
     at_least = int(spark.conf.get("spark.sql.shuffle.partitions")) // 4
     n_buckets = max(1, at_least, -(-int(entries) // BUCKET_ENTRIES))
-    return (texts.select("text").mapInArrow(
-                _prefixes(spark.sparkContext.broadcast(order), n_buckets, threshold), _BLOB_DDL)
-            .groupBy("bucket").applyInArrow(_gather, "token long, cid long, n long"))
+    rows = materialize(
+        texts.select("text").mapInArrow(_prefixes(order, n_buckets, threshold), _BLOB_DDL)
+        .groupBy("bucket").applyInArrow(_gather(order), "token long, cid long, n long, h1 long, h2 long"),
+        "shared")
+    one = rows.groupBy("h1", "h2").agg(F.min("token").alias("token"))
+    return rows.join(one, ["h1", "h2", "token"]).select("token", "cid", "n")
 
 
 # ------------------------------------------------------------- verification
@@ -387,14 +412,12 @@ def star_pairs(bucket: DataFrame, seed: int) -> DataFrame:
     """(a, b): every class of a bucket with its centres.  Within a band of
     set sizes (a factor of 1.25) the centre is the class of smallest hash, one
     per component of the bucket that is not the centre's; centres of
-    neighbouring bands are paired too.  ``bucket``: token, cid, n, comp."""
-    band = F.floor(F.log(F.col("n").cast("double")) / math.log(1.25)).alias("band")
-    b = bucket.select("token", "cid", "n", "comp", band)
+    neighbouring bands are paired too.  ``bucket``: as ``_with_comp`` returns."""
     pick = F.struct(F.xxhash64(F.lit(seed), "cid").alias("h"), "cid", "n", "comp")
-    centre = b.groupBy("token", "band").agg(F.min(pick).alias("x")).select(
+    centre = bucket.groupBy("token", "band").agg(F.min(pick).alias("x")).select(
         "token", "band", F.col("x.cid").alias("a"), F.col("x.n").alias("na"), F.col("x.comp").alias("ca"))
     near = centre.unionByName(centre.withColumn("band", F.col("band") + 1))
-    pairs = b.join(near, ["token", "band"]).where(
+    pairs = bucket.join(near, ["token", "band"]).where(
         (F.col("comp") != F.col("ca")) & (F.col("a") != F.col("cid"))
         & (F.least("n", "na") * THRESHOLD[1] >= F.greatest("n", "na") * THRESHOLD[0]))
     return pairs.select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct()
@@ -549,14 +572,25 @@ def tree_pairs(bucket: DataFrame, sets: DataFrame, threshold=THRESHOLD) -> DataF
 
 # -------------------------------------------------------------------- joins
 
+def _band() -> Column:
+    """Sets that link differ by a factor of 1.25 in size at most, so by one
+    band."""
+    return F.floor(F.log(F.col("n").cast("double")) / math.log(1.25)).alias("band")
+
+
 def _with_comp(bucket: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """Buckets that span several components, with each class's component."""
+    """(token, cid, n, comp, band): the rows of buckets that meet another
+    component among the sizes near their own."""
     if comps is None:
-        return bucket.withColumn("comp", F.col("cid"))
-    b = (bucket.join(comps.withColumnRenamed("node", "cid"), "cid", "left")
-         .select("token", "cid", "n", F.coalesce("comp", "cid").alias("comp")))
-    mixed = b.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
-    return b.join(mixed.select("token"), "token")
+        b = bucket.select("token", "cid", "n", F.col("cid").alias("comp"), _band())
+    else:
+        b = (bucket.join(comps.withColumnRenamed("node", "cid"), "cid", "left")
+             .select("token", "cid", "n", F.coalesce("comp", "cid").alias("comp"), _band()))
+    # bands k - 1, k and k + 1 matter to band k
+    per = b.groupBy("token", "band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+    per = per.select("token", F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1)))).alias("band"), "x", "y")
+    mixed = per.groupBy("token", "band").agg(F.min("x").alias("x"), F.max("y").alias("y")).where("x <> y")
+    return b.join(mixed.select("token", "band"), ["token", "band"])
 
 
 def components(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -572,7 +606,7 @@ def components(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     bucket = materialize(buckets(docs, sets), "buckets")
     links, comps = None, None
     for k in range(STAR_ROUNDS):
-        found = verified(star_pairs(_with_comp(bucket, comps), k), rows, docs)
+        found = verified(star_pairs(materialize(_with_comp(bucket, comps), "mixed"), k), rows, docs)
         if found.isEmpty():
             break
         links = found if links is None else links.union(found)
