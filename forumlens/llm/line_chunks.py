@@ -43,9 +43,9 @@ def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def with_chunks(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``chunks`` array<struct<lines, chunk>>, null texts dropped."""
-    df = _once(df.where(F.col(text).isNotNull()), F.split(F.col(text), "\n", -1), "_lines")
+def with_chunks(df: DataFrame, text: Column) -> DataFrame:
+    """Add ``chunks`` array<struct<lines, chunk>>, null for a null text."""
+    df = _once(df, F.split(text, "\n", -1), "_lines")
     df = _once(df, F.transform("_lines", _line_hash), "_hash")
     before = F.concat(F.array(F.lit(0).cast("long")), F.slice("_hash", 1, F.size("_hash") - 1))
     cut = F.zip_with(before, "_hash", lambda p, h: (p * FACTOR + h) % MODULUS % DIVISOR == 0)
@@ -79,7 +79,7 @@ def dedup(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -
     hashed = F.transform("chunks", lambda c, i: F.struct(
         i.alias("pos"), c["lines"].alias("lines"),
         F.xxhash64(F.lit(1), c["chunk"]).alias("c1"), F.xxhash64(F.lit(2), c["chunk"]).alias("c2")))
-    places = (with_chunks(texts).select("d", "r1", "r2", F.inline(F.filter(hashed, lambda c: c["lines"] >= MIN_LINES))))
+    places = (with_chunks(texts, F.col("text")).select("d", "r1", "r2", F.inline(F.filter(hashed, lambda c: c["lines"] >= MIN_LINES))))
     places = materialize(places, "chunks")
     place = F.struct("d", "r1", "r2", "pos")
     again = (places.groupBy("c1", "c2").agg(F.count("*").alias("n"), F.min(place).alias("first"))
@@ -88,7 +88,7 @@ def dedup(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -
                         .withColumn("extra", place != F.col("first")).drop("first"), "repeats")
     # byte comparison of all repeats of a hash
     at = found.groupBy("r1", "r2").agg(F.collect_set(F.struct("pos", "c1", "c2")).alias("at"))
-    whole = with_chunks(texts.join(at, ["r1", "r2"]))
+    whole = with_chunks(texts.join(at, ["r1", "r2"]), F.col("text"))
     same = whole.select("d", "r1", "r2", F.inline(F.transform("at", lambda a: F.struct(
         a["pos"].alias("pos"), a["c1"].alias("c1"), a["c2"].alias("c2"),
         F.get("chunks", a["pos"])["chunk"].alias("chunk")))))
@@ -103,18 +103,17 @@ def dedup(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -
         extra = extra.join(differ, ["c1", "c2"], "left_anti").unionByName(
             odd.join(lines, ["r1", "r2", "pos"]))
     drop = extra.groupBy("r1", "r2").agg(F.collect_set("pos").alias("drop"))
-    rows = docs.drop("d").join(drop, ["r1", "r2"], "left")
-    clean = rows.where("drop is null").select(
-        row(F.col("text")), F.lit(0).cast("long").alias("chunks_removed"), F.lit(0).cast("long").alias("lines_removed"))
-    edited = with_chunks(rows.where("drop is not null").drop(body))
-    kept = F.filter("chunks", lambda c, i: ~F.array_contains("drop", i))
-    edited = _once(edited, kept, "_kept")
+    # one shuffle of the texts; only texts with something to remove are cut
+    rows = docs.drop("d", "text").join(drop, ["r1", "r2"], "left")
+    rows = with_chunks(rows, F.when(F.col("drop").isNotNull(), F.col(body)))
+    rows = _once(rows, F.filter("chunks", lambda c, i: ~F.array_contains("drop", i)), "_kept")
     size = F.aggregate("chunks", F.lit(0).cast("long"), lambda s, c: s + c["lines"])
     left = F.aggregate("_kept", F.lit(0).cast("long"), lambda s, c: s + c["lines"])
-    edited = edited.select(
-        row(F.array_join(F.transform("_kept", lambda c: c["chunk"]), "\n")),
-        F.size("drop").cast("long").alias("chunks_removed"), (size - left).alias("lines_removed"))
-    return clean.unionByName(edited)
+    edited = F.array_join(F.transform("_kept", lambda c: c["chunk"]), "\n")
+    return rows.select(
+        row(F.when(F.col("drop").isNull(), F.col(body)).otherwise(edited)),
+        F.when(F.col("drop").isNull(), 0).otherwise(F.size("drop")).cast("long").alias("chunks_removed"),
+        F.coalesce(size - left, F.lit(0).cast("long")).alias("lines_removed"))
 
 
 ORACLE = f"""
