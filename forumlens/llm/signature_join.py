@@ -416,8 +416,11 @@ def star_pairs(bucket: DataFrame, seed: int) -> DataFrame:
     pick = F.struct(F.xxhash64(F.lit(seed), "cid").alias("h"), "cid", "n", "comp")
     centre = bucket.groupBy("token", "band").agg(F.min(pick).alias("x")).select(
         "token", "band", F.col("x.cid").alias("a"), F.col("x.n").alias("na"), F.col("x.comp").alias("ca"))
-    near = centre.unionByName(centre.withColumn("band", F.col("band") + 1))
-    pairs = bucket.join(near, ["token", "band"]).where(
+    # each class with its band's centre, each centre with the next band's
+    below = centre.select("token", (F.col("band") + 1).alias("band"), F.col("a").alias("cid"),
+                          F.col("na").alias("n"), F.col("ca").alias("comp"))
+    one = bucket.select("token", "band", "cid", "n", "comp").unionByName(below)
+    pairs = one.join(centre, ["token", "band"]).where(
         (F.col("comp") != F.col("ca")) & (F.col("a") != F.col("cid"))
         & (F.least("n", "na") * THRESHOLD[1] >= F.greatest("n", "na") * THRESHOLD[0]))
     return pairs.select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct()
