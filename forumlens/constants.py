@@ -43,3 +43,8 @@ FP_MIN_SUPPORT = 0.01
 FP_MIN_CONFIDENCE = 0.8
 PIC_K = 3
 PIC_MAX_ITER = 10
+
+# one dialect for writing and reading, under which every string and null
+# comes back as it was
+USER_TAG_CSV = {"header": "false", "nullValue": "\\N", "emptyValue": "", "escape": '"', "quoteAll": "true",
+                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}

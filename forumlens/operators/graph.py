@@ -7,40 +7,51 @@ built by this module (Spark's PIC builds its own internally).
 from __future__ import annotations
 
 from pyspark.ml.clustering import PowerIterationClustering
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.constants import PIC_K, PIC_MAX_ITER
 from forumlens.session import materialize
 
-TAG_ID_OFFSET = 1_000_000
+# edges are dealt to so many partitions before clustering, whatever the number
+# of cores: PIC's answer follows the partition layout
+PIC_PARTITIONS = 16
+
+
+def user_vertex(id: Column) -> Column:
+    """Even vertex ids are users ..."""
+    return id.cast("bigint") * 2
+
+
+def tag_vertex(id: Column) -> Column:
+    """... odd ones are tags, so the two cannot collide at any size."""
+    return id.cast("bigint") * 2 + 1
 
 
 def pic_edges(triples: DataFrame, tags: DataFrame, user: str = "UserId",
               tag: str = "TagId", score: str = "Score",
-              offset: int = TAG_ID_OFFSET, unmatched: str = "error") -> DataFrame:
+              unmatched: str = "error") -> DataFrame:
     """``(user, tag name, score)`` -> ``(src, dst, weight)``.
 
     The tag name is looked up in the tags table ``(Id, TagName)`` by an
     equi-join (broadcast when the vocabulary is small, chosen by AQE from its
-    size).  Tag ids are shifted by ``offset`` so they cannot collide with
-    user ids.  Weight is ``abs(score)`` (PIC rejects negative weights).
+    size).  User and tag ids become disjoint vertex ids (``user_vertex``,
+    ``tag_vertex``).  Weight is ``abs(score)`` (PIC rejects negative weights).
     ``unmatched="error"`` fails on a tag missing from the vocabulary, as the
     reference's map lookup does; ``"drop"`` drops such rows.
     """
     t = tags.select(F.col("TagName").alias("_name"), F.col("Id").alias("_tid"))
     j = triples.join(t, F.col(tag) == F.col("_name"), "left")
     if unmatched == "error":
-        j = j.withColumn("_tid", F.when(
-            F.col("_tid").isNull(),
-            F.raise_error(F.concat(F.lit("unknown tag: "), F.col(tag).cast("string"))))
-            .otherwise(F.col("_tid")))
+        # in a filter, where no projection can prune it
+        j = j.where(F.when(F.col("_tid").isNotNull(), F.lit(True)).otherwise(
+            F.raise_error(F.concat(F.lit("unknown tag: "), F.coalesce(F.col(tag).cast("string"), F.lit("null"))))
+            .cast("boolean")))
     elif unmatched == "drop":
         j = j.where(F.col("_tid").isNotNull())
     else:
         raise ValueError("unmatched must be 'error' or 'drop'")
-    return j.select(F.col(user).cast("bigint").alias("src"),
-                    (F.col("_tid") + F.lit(offset)).cast("bigint").alias("dst"),
+    return j.select(user_vertex(F.col(user)).alias("src"), tag_vertex(F.col("_tid")).alias("dst"),
                     F.abs(F.col(score).cast("double")).alias("weight"))
 
 
@@ -87,7 +98,7 @@ def power_iteration_vector(edges: DataFrame, steps: int = 3,
 
 def pic_assign(edges: DataFrame, k: int = PIC_K, max_iter: int = PIC_MAX_ITER,
                init_mode: str = "random",
-               partitions: int | None = None) -> DataFrame:
+               partitions: int = PIC_PARTITIONS) -> DataFrame:
     """M8: power iteration clustering -> ``(id, cluster)``.
 
     PIC's result depends on the input partitioning (its random init and its
@@ -95,22 +106,20 @@ def pic_assign(edges: DataFrame, k: int = PIC_K, max_iter: int = PIC_MAX_ITER,
     parameter), so edges are hash-partitioned to a fixed count and sorted
     within partitions: a given input gives a given result.
     """
-    n = partitions or edges.sparkSession.sparkContext.defaultParallelism
-    e = (edges.select("src", "dst", "weight").repartition(n, "src", "dst")
+    e = (edges.select("src", "dst", "weight").repartition(partitions, "src", "dst")
          .sortWithinPartitions("src", "dst"))
     pic = PowerIterationClustering(k=k, maxIter=max_iter, initMode=init_mode,
                                    srcCol="src", dstCol="dst", weightCol="weight")
     return pic.assignClusters(e)
 
 
-def cluster_tags(assignments: DataFrame, tags: DataFrame,
-                 offset: int = TAG_ID_OFFSET) -> DataFrame:
+def cluster_tags(assignments: DataFrame, tags: DataFrame) -> DataFrame:
     """J5 + P11 + A6: keep the members that are tags, name them, and list
     each cluster's tag names ``(cluster, tags)``.
 
     Users are dropped by the inner join, so each list is bounded by the tag
     vocabulary, not by the number of users.
     """
-    t = tags.select((F.col("Id") + F.lit(offset)).alias("id"), "TagName")
+    t = tags.select(tag_vertex(F.col("Id")).alias("id"), "TagName")
     return (assignments.join(t, "id").groupBy("cluster")
             .agg(F.sort_array(F.collect_list("TagName")).alias("tags")))

@@ -9,14 +9,13 @@ from forumlens.plans import sql
 from forumlens.plans.registry import query
 from forumlens.sources import fixtures as fx
 
-STEPS = 3
 K = G.PIC_K
+STEPS = G.PIC_MAX_ITER      # as many as the reference iterates at most
 MAX_ITER = G.PIC_MAX_ITER
-OFFSET = G.TAG_ID_OFFSET
 
 _EDGES = f"""t AS (SELECT CAST(row_number() OVER (ORDER BY event_type) AS BIGINT) AS Id,
                   event_type AS TagName FROM (SELECT DISTINCT event_type FROM events)),
-e AS (SELECT user_id AS src, t.Id + {OFFSET} AS dst, abs(sum(value)) AS weight
+e AS (SELECT user_id * 2 AS src, t.Id * 2 + 1 AS dst, abs(sum(value)) AS weight
       FROM events JOIN t ON event_type = t.TagName GROUP BY user_id, t.Id)"""
 
 
@@ -64,7 +63,7 @@ def cluster_tags(spark, sf):
 _UTS_EDGES = f"""{sql.USER_TAG_SCORE_CTE},
 t AS (SELECT CAST(row_number() OVER (ORDER BY TagId) AS BIGINT) AS Id, TagId AS TagName
       FROM (SELECT DISTINCT TagId FROM uts)),
-e AS (SELECT UserId AS src, t.Id + {OFFSET} AS dst, abs(TotalScore) AS weight
+e AS (SELECT UserId * 2 AS src, t.Id * 2 + 1 AS dst, abs(TotalScore) AS weight
       FROM uts JOIN t ON uts.TagId = t.TagName)"""
 
 

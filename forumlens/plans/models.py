@@ -19,7 +19,7 @@ from forumlens.sources import formats as fmt
 from forumlens.sources.sinks import ModelStore
 
 V = X.NUM_FEATURES
-MIN_POSITIVE = 5
+MIN_POSITIVE = 1              # every tag in use gets a model
 MAX_VOCABULARY = 100_000   # one model per tag: the vocabulary must stay bounded
 
 

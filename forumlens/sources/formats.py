@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.constants import POSTS_WRAPPER, XML_PROLOG_PREFIX
+from forumlens.constants import USER_TAG_CSV, POSTS_WRAPPER, XML_PROLOG_PREFIX
 from forumlens.schemas import (JSON_POSTS, POST_FIELDS, RAW_POSTS, RAW_TAGS,
                                TAG_FIELDS, USER_TAG)
 
@@ -145,8 +145,9 @@ def json_qa_join(qs: DataFrame, ans: DataFrame, sort: bool = True) -> DataFrame:
 # ---- CSV and text ----------------------------------------------------------
 
 def read_user_tag_csv(spark: SparkSession, path: str) -> DataFrame:
-    """``user,tag,score`` lines without header, as strings."""
-    return spark.read.schema(USER_TAG).option("header", "false").csv(path)
+    """``user,tag,score`` lines without header, as strings, in the dialect
+    of ``write_user_tag_csv``."""
+    return spark.read.schema(USER_TAG).options(**USER_TAG_CSV).csv(path)
 
 
 def typed_user_tag(df: DataFrame) -> DataFrame:

@@ -82,6 +82,15 @@ def test_user_tag_csv_roundtrip(spark, tmp_path):
     assert "[" not in text  # real CSV, not Row.toString
 
 
+def test_user_tag_csv_keeps_every_string(spark, tmp_path):
+    tags = ["", " a ", 'q"uo"te', "c,omma", "back\\slash", None, "\\", "é"]
+    df = spark.createDataFrame([(i, t, 1.0) for i, t in enumerate(tags)],
+                               "UserId long, TagId string, TotalScore double")
+    sinks.write_user_tag_csv(df, str(tmp_path / "ut"))
+    back = fmt.typed_user_tag(fmt.read_user_tag_csv(spark, str(tmp_path / "ut")))
+    assert {r["UserId"]: r["TagId"] for r in back.collect()} == dict(enumerate(tags))
+
+
 def test_word_list_and_limit(spark, tmp_path):
     p = tmp_path / "en.txt"
     p.write_text("a\nthe \n\n\tof\n")
@@ -134,6 +143,8 @@ def test_model_store_weights_distributed(spark, tmp_path):
         models = {"a/b c%": cls(**kw).fit(df), "plain": cls(regParam=0.5, **kw).fit(df)}
         for t, m in models.items():
             store.save(t, m)
+        store.save("stale", models["plain"])        # of an earlier vocabulary
+        store.write_manifest(spark, [{"tag": t, "path": "models"} for t in models])
         w, b = store.weights(spark)
         got = {(r["tag"], r["bucket"]): r["w"] for r in w.collect()}
         want = {(t, int(i)): float(m.coefficients[int(i)]) for t, m in models.items()
