@@ -53,10 +53,3 @@ def tokenize_expr(text, keep_empty: bool = False) -> Column:
     stripped = F.regexp_replace(low, WS + "+$", "")
     return (F.when(low.rlike("^" + WS + "+$"), F.array().cast("array<string>"))
             .otherwise(F.split(stripped, WS)))
-
-
-def remove_words_expr(tokens, words: list[str]) -> Column:
-    """Drop tokens found (case-insensitively) in a small, bounded word list."""
-    stop = F.array(*[F.lit(w.lower()) for w in words]) if words else \
-        F.array().cast("array<string>")
-    return F.filter(_c(tokens), lambda w: ~F.array_contains(stop, F.lower(w)))

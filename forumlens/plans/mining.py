@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from forumlens.operators import mining as MN
 from forumlens.plans.registry import query
+from forumlens.session import materialize
 from forumlens.sources import fixtures as fx
 from forumlens.sources import formats as fmt
 
@@ -50,7 +51,8 @@ def basket_parse(spark, sf):
 @query("frequent_itemsets", f"""WITH RECURSIVE {_BASKETS}
 SELECT {_render('items')} AS items, CAST(len(items) AS INTEGER) AS size, freq FROM fi""")
 def frequent_itemsets(spark, sf):
-    model = MN.fit_fpgrowth(fx.order_baskets(spark, sf), min_support=MIN_SUPPORT,
+    # the fit reads its input more than once: join and group the baskets once
+    model = MN.fit_fpgrowth(materialize(fx.order_baskets(spark, sf), "baskets"), min_support=MIN_SUPPORT,
                             min_confidence=MIN_CONFIDENCE)
     return MN.frequent_itemsets(model)
 
@@ -65,6 +67,6 @@ SELECT {_render('r.ante')} AS antecedent, {_render('r.cons')} AS consequent,
 FROM r JOIN fi fa ON fa.items = r.ante JOIN fi fc ON fc.items = r.cons, mc
 WHERE r.freq / fa.freq >= {MIN_CONFIDENCE}""")
 def association_rules(spark, sf):
-    model = MN.fit_fpgrowth(fx.order_baskets(spark, sf), min_support=MIN_SUPPORT,
+    model = MN.fit_fpgrowth(materialize(fx.order_baskets(spark, sf), "baskets"), min_support=MIN_SUPPORT,
                             min_confidence=MIN_CONFIDENCE)
     return MN.association_rules(model)

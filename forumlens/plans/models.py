@@ -117,7 +117,7 @@ b AS (SELECT tag, ({sql.md5_int('tag')} % 200 - 150) / 100.0 AS b
       FROM (SELECT DISTINCT label AS tag FROM dl)),
 dots AS (SELECT Id, tag, sum(tf * w) AS dot FROM tf JOIN w USING (bucket) GROUP BY ALL
          UNION ALL
-         SELECT Id, tag, 0.0 FROM (SELECT DISTINCT Id FROM tf), (SELECT tag FROM b WHERE b > 0)),
+         SELECT Id, tag, 0.0 FROM (SELECT DISTINCT doc_id AS Id FROM documents), (SELECT tag FROM b WHERE b > 0)),
 m AS (SELECT Id, tag, sum(dot) + any_value(b) AS margin FROM dots JOIN b USING (tag) GROUP BY Id, tag)
 SELECT Id, tag, round(margin, 6) AS margin FROM m WHERE round(margin, 6) > 0"""
 
@@ -127,9 +127,8 @@ def score_linear_models(spark, sf):
     # the features feed the weights, the scores and the post list: compute once
     tf, labels = _doc_tf_materialized(spark, sf)
     w, b = _formula_weights(tf, labels)
-    # the weights are counted (broadcast size check) and then joined
-    w = materialize(w, "weights")
-    out = C.score_linear(tf, w, b, positive_only=False)
+    out = C.score_linear(tf, w, b, positive_only=False,
+                         posts=fx.document_posts(spark, sf).select("Id"))
     out = out.select("Id", "tag", F.round("margin", 6).alias("margin"))
     return out.where(F.col("margin") > 0)
 
@@ -229,4 +228,4 @@ def predicted_tags(spark, sf):
     feats, _, _ = _all_tags(spark, sf, store)
     w, b = store.weights(spark)
     long = C.vector_entries(feats, "Id", "features")
-    return C.score_linear(long, materialize(w, "model-weights"), b)
+    return C.score_linear(long, w, b, posts=feats.select("Id"))

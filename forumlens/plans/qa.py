@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.functions.tags import clean_tags
+from forumlens.functions.tags import clean_tags, tag_array
 from forumlens.functions.text import java_trim
 from forumlens.operators import posts as P
 from forumlens.operators import scores as S
@@ -63,8 +63,8 @@ SELECT p.Id, p.TagId, t.UserId, t.TotalScore, CAST(t.rank AS INTEGER) AS rank
 FROM pred p JOIN top t ON p.TagId = t.TagId""")
 def recommend_users_q(spark, sf):
     posts = fx.qa_posts(spark, sf)
-    predicted = TG.explode_tags(P.questions(posts).select("Id", "Tags"),
-                                exact=True).distinct()
+    predicted = P.questions(posts).select(
+        "Id", F.explode(F.array_distinct(tag_array("Tags"))).alias("TagId"))
     return recommend_users(predicted, S.user_tag_score(posts), TOP_K)
 
 
@@ -75,9 +75,12 @@ def qa_join(spark, sf):
     return P.qa_join(fx.qa_posts(spark, sf), sort=True)
 
 
-@query("answers_inherit_tags", f"""WITH {sql.POSTS_CTE}
+@query("answers_inherit_tags", f"""WITH {sql.POSTS_CTE},
+a AS (SELECT Id, PostTypeId, ParentId, OwnerUserId, Score FROM posts
+      WHERE PostTypeId = 2 AND ParentId IS NOT NULL),
+q AS (SELECT Id AS qid, Tags FROM posts WHERE Id IS NOT NULL)
 SELECT a.Id, a.PostTypeId, a.ParentId, q.Tags, a.OwnerUserId, a.Score
-FROM posts a JOIN posts q ON a.ParentId = q.Id WHERE a.PostTypeId = 2""")
+FROM a JOIN q ON a.ParentId = q.qid""")
 def answers_inherit_tags(spark, sf):
     return P.answers_inherit_tags(fx.qa_posts(spark, sf))
 
