@@ -9,7 +9,7 @@ centroid than the training texts were (``reject_share`` of the ``reject_quantile
 of their cosines) is rejected.
 
 The model is fitted on a bounded sample of the labelled rows:
-``PER_LANGUAGE`` per language, chosen by hash.  Everything that leaves the
+``PER_LANGUAGE`` distinct texts per language, chosen by hash.  Everything that leaves the
 tasks (document frequencies, centroids, cosines) has a fixed size per language.
 
 Defined results: a null text, or one without any Unicode letter, is ``und``
@@ -30,7 +30,8 @@ from forumlens.llm import textbytes as tb
 from forumlens.llm.common import arrow_session, materialize, row_struct, struct_field
 
 DIM_BITS = 13                # hashed n-gram dimensions
-PER_LANGUAGE = 1500          # training texts sampled per language
+PER_LANGUAGE = 1500          # distinct training texts sampled per language
+SPARE = 4                    # times as many hashes are ranked for the sample
 CENTROIDS = 4                # clusters per language
 ROUNDS = 8                   # of k-means
 REJECT_QUANTILE = 0.001      # of the training cosines ...
@@ -110,16 +111,28 @@ def _cluster(x: np.ndarray, k: int) -> np.ndarray:
     return c
 
 
+def _sampled(rows: DataFrame, per_language: int) -> DataFrame:
+    """(lang, h): the ``per_language`` smallest text hashes of each language.
+    Only keys move.  The hashes are even, so a share of their range that holds
+    ``SPARE`` times as many as wanted leaves a bounded number to rank."""
+    keys = materialize(rows.select("lang", "h").distinct(), "keys")
+    n = keys.groupBy("lang").agg(F.count("*").alias("n"))
+    place = F.col("h") / F.lit(2.0 ** 64) + 0.5                 # 0 to 1
+    near = keys.join(F.broadcast(n), "lang").where(place * F.col("n") <= SPARE * per_language)
+    order = Window.partitionBy("lang").orderBy("h")
+    return near.withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language).select("lang", "h")
+
+
 def fit(docs: DataFrame, *, train: Column, text: str = "text", lang: str = "lang",
         per_language: int = PER_LANGUAGE, centroids: int = CENTROIDS) -> Model:
     """Learn from the rows where ``train`` holds and text and lang are given."""
     arrow_session(docs)
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    sample = (docs.where(train).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-              .where(r"text is not null and lang is not null and text rlike '\\p{L}'")
-              .withColumn("h", F.xxhash64("text"))
-              .withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_language))
-    sample = materialize(sample.select("lang", "text"), "sample")
+    rows = (docs.where(train).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+            .where(r"text is not null and lang is not null and text rlike '\\p{L}'")
+            .withColumn("h", F.xxhash64("text")))
+    sample = materialize(rows.join(F.broadcast(_sampled(rows, per_language)), ["lang", "h"])
+                         .groupBy("lang", "h").agg(F.min("text").alias("text"))
+                         .select("lang", "text"), "sample")
     dim = 1 << DIM_BITS
 
     def frequency(batches):
