@@ -56,6 +56,7 @@ BUCKET_ENTRIES = 2_000_000    # prefix shingles gathered by one task
 SALT_CLASS = 20               # shingles seen 2**20 times or more are salted
 STAR_ROUNDS = 3               # at most; later rounds only if links remain
 TREE_BLOCK = 512              # classes in one tree
+TREE_BYTES = 16 << 20         # bitmaps compared at once
 FANOUT = 8
 
 _C = tb.mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
@@ -96,8 +97,9 @@ def class_key(s: np.ndarray) -> tuple[int, int]:
 
 
 def bitmap(s: np.ndarray) -> bytes:
-    """Token bitmap of 2 to 4 bits per shingle (a power of two, 64 at least)."""
-    width = max(64, 1 << (2 * len(s) - 1).bit_length())
+    """Token bitmap of 8 to 16 bits per shingle (a power of two, 64 at least):
+    two sets that share few shingles then share few bits."""
+    width = max(64, 1 << (8 * len(s) - 1).bit_length())
     bits = np.zeros(width, np.uint8)
     bits[(s & np.uint64(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -468,8 +470,9 @@ def dual_traversal(x: Tree, y: Tree, threshold=THRESHOLD):
         elif same and level == 0:
             return i[:0], j[:0]
         keep = np.zeros(len(i), bool)
-        for lo in range(0, len(i), 4096):
-            a, b = i[lo:lo + 4096], j[lo:lo + 4096]
+        step = max(1, min(4096, TREE_BYTES // lx[0][0].nbytes))
+        for lo in range(0, len(i), step):
+            a, b = i[lo:lo + step], j[lo:lo + step]
             need = min_overlap(lx[1][a], ly[1][b], threshold)
             # the sizes nearest to each other decide the best possible ratio
             need = np.maximum(need, -(-threshold[0] * np.maximum(lx[1][a], ly[1][b]) // threshold[1]))
@@ -479,7 +482,7 @@ def dual_traversal(x: Tree, y: Tree, threshold=THRESHOLD):
             at = np.flatnonzero(ok)
             shared = np.bitwise_count(lx[0][a[at]] & ly[0][b[at]]).sum(1).astype(np.int64)
             ok[at] = shared + np.minimum(lx[3][a[at]], ly[3][b[at]]) >= need[at]
-            keep[lo:lo + 4096] = ok
+            keep[lo:lo + step] = ok
         i, j = i[keep], j[keep]
         if not len(i):
             break
