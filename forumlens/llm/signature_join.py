@@ -12,7 +12,8 @@ at least ``threshold``.  The join returns each document's component.
    salted over several tasks.
 3. Star rounds: in each bucket every class is compared with a few centres, a
    number of pairs in proportion to the bucket.  Verified links are closed
-   into components; classes already connected need no comparison.
+   into components; classes already connected need no comparison.  Another
+   round follows while rounds settle a good part of the rows.
 4. Signature trees: the classes of each bucket that still spans several
    components are put into trees.  A leaf holds a token bitmap, its set size
    and component; a node the OR of its children's bitmaps, their size range
@@ -54,7 +55,8 @@ SKETCH_BITS = 20              # counters of hashed shingles
 SKETCH_SLICES = 64
 BUCKET_ENTRIES = 2_000_000    # prefix shingles gathered by one task
 SALT_CLASS = 20               # shingles seen 2**20 times or more are salted
-STAR_ROUNDS = 3               # at most; later rounds only if links remain
+STAR_ROUNDS = 3               # at most
+SETTLED = 0.25                # share of rows a round settles, else the trees follow
 TREE_BLOCK = 512              # classes in one tree
 TREE_BYTES = 16 << 20         # bitmaps compared at once
 FANOUT = 8
@@ -355,9 +357,12 @@ def _texts_of(cids: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words=WORDS,
-             threshold=THRESHOLD) -> DataFrame:
-    """The ``pairs`` (a, b) of classes that link."""
-    pairs = _possible(materialize(pairs, "candidates"), sets, threshold)
+             threshold=THRESHOLD, screened: bool = False) -> DataFrame:
+    """The ``pairs`` (a, b) of classes that link.  ``screened``: their bitmaps
+    have been compared already."""
+    pairs = materialize(pairs, "candidates")
+    if not screened:
+        pairs = _possible(pairs, sets, threshold)
     cids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
     t = _texts_of(cids, sets, docs)
     both = (pairs.join(t.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
@@ -611,14 +616,19 @@ def components(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         raise RuntimeError("two shingle sets share a 64-bit class id")
     bucket = materialize(buckets(docs, sets), "buckets")
     links, comps = None, None
+    left = materialize(_with_comp(bucket, comps), "mixed")
+    n_left = left.count()
     for k in range(STAR_ROUNDS):
-        found = verified(star_pairs(materialize(_with_comp(bucket, comps), "mixed"), k), rows, docs)
+        found = verified(star_pairs(left, k), rows, docs)
         if found.isEmpty():
             break
         links = found if links is None else links.union(found)
         comps = materialize(connected_components(links), "comps")
-    left = materialize(_with_comp(bucket, comps), "mixed")
-    found = verified(tree_pairs(left, rows), rows, docs)
+        left = materialize(_with_comp(bucket, comps), "mixed")
+        before, n_left = n_left, left.count()
+        if n_left > (1 - SETTLED) * before:
+            break
+    found = verified(tree_pairs(left, rows), rows, docs, screened=True)
     if not found.isEmpty():
         comps = connected_components(found if links is None else links.union(found))
     classes = rows.groupBy("cid").agg(F.min("doc_id").alias("least")).where("cid is not null")
