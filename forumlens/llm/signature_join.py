@@ -506,8 +506,15 @@ def _children(i, j, split_i, split_j, ni, nj):
     return a[on], b[on]
 
 
+def _first_shared(token: int, x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether ``token`` is the smallest that two sorted arrays share."""
+    x, y = x[:np.searchsorted(x, token)], y[:np.searchsorted(y, token)]
+    return not np.isin(x, y, assume_unique=True).any()
+
+
 def _trees(threshold):
-    """Traverse the trees of each (token, i, j) run of sorted rows."""
+    """Traverse the trees of each (token, i, j) run of sorted rows.  A pair
+    that shares several buckets comes from that of its smallest token only."""
     def one(cols, lo, hi):
         """Linked sets differ by at most 1.25 in size, so by at most 2 in
         bitmap width: trees of equal width meet, and each meets the next."""
@@ -515,6 +522,9 @@ def _trees(threshold):
         bits = [np.frombuffer(x, np.uint64) for x in cols[4][lo:hi]]
         width = np.array([len(x) for x in bits])
         two = bool(cols[5][lo])
+        token = cols[6][lo]
+        flat, off = cols[7], cols[8]
+        own = {c: flat[off[k]:off[k + 1]] for k, c in enumerate(cid.tolist(), lo)}
 
         def tree(s, w, folded):
             at = np.flatnonzero((side == s) & (width == w))
@@ -527,8 +537,10 @@ def _trees(threshold):
             for x, y in meets:
                 if x is not None and y is not None:
                     i, j = dual_traversal(x, y, threshold)
-                    if len(i):
-                        yield x.cid[i], y.cid[j]
+                    a, b = x.cid[i], y.cid[j]
+                    on = [_first_shared(token, own[u], own[v]) for u, v in zip(a.tolist(), b.tolist())]
+                    if any(on):
+                        yield a[on], b[on]
 
     def run(batches):
         held = None
@@ -549,6 +561,8 @@ def _trees(threshold):
         cut = np.concatenate([[0], np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]])
         cols = [t[c].combine_chunks().to_numpy() for c in ("cid", "n", "side", "comp")]
         cols += [t["bits"].to_pylist(), t["two"].combine_chunks().to_numpy(zero_copy_only=False)]
+        tokens = t["tokens"].combine_chunks()
+        cols += [t["token"].combine_chunks().to_numpy(), tokens.values.to_numpy(), tokens.offsets.to_numpy()]
         a, b = [], []
         for lo, hi in zip(cut[:-1], cut[1:]):
             if hi - lo > 1:
@@ -571,13 +585,16 @@ def tree_pairs(bucket: DataFrame, sets: DataFrame, threshold=THRESHOLD) -> DataF
     # block k meets every block m: as side 0 of (k, m) for k <= m, else side 1
     rows = rows.withColumn("m", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select(
-        "cid", "n", "comp", (F.col("block") > F.col("m")).cast("int").alias("side"),
+        "token", "cid", "n", "comp", (F.col("block") > F.col("m")).cast("int").alias("side"),
         (F.col("block") != F.col("m")).alias("two"),
         F.struct("token", F.least("block", "m"), F.greatest("block", "m")).alias("k"))
     bits = _bits(bucket.select("cid").distinct(), sets).select("cid", "bits")
+    # the tokens of a class are at most its own prefix
+    own = bucket.groupBy("cid").agg(F.sort_array(F.collect_set("token")).alias("tokens"))
+    bits = bits.join(own, "cid")
     rows = (rows.join(bits, "cid").withColumn("group", F.xxhash64("k"))
             .repartition("k").sortWithinPartitions("group", "k"))
-    return rows.select("group", "cid", "n", "comp", "side", "two", "bits").mapInArrow(
+    return rows.select("group", "cid", "n", "comp", "side", "two", "bits", "token", "tokens").mapInArrow(
         _trees(threshold), "a long, b long").distinct()
 
 
