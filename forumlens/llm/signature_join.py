@@ -241,6 +241,8 @@ def _gather(order):
         tok, cid, size = tok[by], cid[by], size[by]
         start = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]]))
         many = np.minimum.reduceat(cid, start) != np.maximum.reduceat(cid, start)
+        # a salted shingle may have its other classes in other buckets
+        many |= order.value[(tok[start] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] >= SALT_CLASS
         keep = np.repeat(many, np.diff(np.append(start, len(tok))))
         tok, cid, size = tok[keep], cid[keep], size[keep]
         by = np.lexsort((cid, tok))
