@@ -280,6 +280,26 @@ def test_pivot_index(spark):
     assert got[360]["component_id"] == 0 and got[None]["component_id"] == 0
 
 
+def test_pivot_index_with_a_large_group_of_near_copies(spark):
+    rng = np.random.default_rng(5)
+    centre = rng.normal(size=64)
+    centre /= np.linalg.norm(centre)
+    near = centre + 0.175 / 8 * rng.normal(size=(1000, 64))     # cosines of about 0.97
+    rest = rng.normal(size=(1000, 64))
+    x = np.concatenate([near, rest, rest + 0.1 * rng.normal(size=rest.shape)])
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in PI.near_duplicates(df, list_block=256).collect()}
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = (x @ x.T >= PI.COSINE).sum(1) - 1
+    found = np.array([got[i]["n_links"] for i in range(len(x))])
+    assert (found <= links).all()
+    assert found[:1000].sum() >= 0.99 * links[:1000].sum() and found[1000:].sum() >= 0.9 * links[1000:].sum()
+    pivots = PI.spread_out(x, 64, PI.spread(PI.COSINE))
+    cos = pivots @ pivots.T - 2 * np.eye(len(pivots))
+    assert len(pivots) == 64 and cos.max() < PI.spread(PI.COSINE)
+
+
 def test_warc(spark):
     big = "é" * 600
     rows = [(1, "http://b.example.com/x", big), (2, "http://a.example.com/x", big), (3, None, None), (4, "u", "small"),
