@@ -18,6 +18,13 @@ chunks all repeat earlier ones becomes empty; single lines are never removed;
 null doc_ids come last in the order of places; rows that repeat both doc_id
 and text are one document and are edited alike; other columns are unchanged,
 whatever their names.
+
+A near copy would be cut to the lines in which it differs.
+``without_copies`` therefore takes copies away whole, before ``dedup``: a
+document that shares a repeated chunk with the document of the chunk's first
+place, and has at least ``COPY`` of the word 5-grams of both in common with
+it (by 64-bit hashes).  Copies of copies go with them; the first document of
+such a chain stays.
 """
 
 from __future__ import annotations
@@ -31,6 +38,8 @@ from forumlens.plans.sql import md5_int
 DIVISOR = 3                   # a chunk has about three lines
 MIN_LINES = 2                 # "multi-line"
 MODULUS, FACTOR = 1_000_003, 31   # of the rolling hash
+WORDS, COPY = 5, (4, 5)       # words of a shingle, Jaccard similarity of a copy
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _line_hash(x: Column) -> Column:
@@ -59,6 +68,66 @@ def with_chunks(df: DataFrame, text: Column) -> DataFrame:
     return _once(df, chunks, "chunks").drop("_lines", "_hash", "_ends")
 
 
+def _keyed(docs: DataFrame, key: str, body: str) -> DataFrame:
+    """Add the text, the place in order (d) and the name of the document."""
+    return docs.select(
+        "*", F.col(body).alias("text"),
+        F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias("d"),
+        F.xxhash64(F.lit(1), key, body).alias("r1"), F.xxhash64(F.lit(2), key, body).alias("r2"))
+
+
+def _places(texts: DataFrame) -> DataFrame:
+    """(d, r1, r2, pos, lines, c1, c2) of every chunk of several lines."""
+    hashed = F.transform("chunks", lambda c, i: F.struct(
+        i.alias("pos"), c["lines"].alias("lines"),
+        F.xxhash64(F.lit(1), c["chunk"]).alias("c1"), F.xxhash64(F.lit(2), c["chunk"]).alias("c2")))
+    places = (with_chunks(texts, F.col("text")).select("d", "r1", "r2", F.inline(F.filter(hashed, lambda c: c["lines"] >= MIN_LINES))))
+    return materialize(places, "chunks")
+
+
+def _again(places: DataFrame) -> DataFrame:
+    """(c1, c2, first): the first place of each chunk that occurs again."""
+    return (places.groupBy("c1", "c2").agg(F.count("*").alias("n"), F.min(F.struct("d", "r1", "r2", "pos")).alias("first"))
+            .where("n > 1").select("c1", "c2", "first"))
+
+
+def _with_shingles(df: DataFrame, text: Column) -> DataFrame:
+    """Add ``s``: distinct hashes of the word 5-grams (of all words, if fewer)."""
+    words = F.filter(F.split(F.translate(text, UPPER, LOWER), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    at = F.sequence(F.lit(1), F.greatest(F.size("_words") - (WORDS - 1), F.lit(1)))
+    shingles = F.array_distinct(F.transform(at, lambda i: F.xxhash64(F.slice("_words", i, WORDS))))
+    return _once(_once(df, words, "_words"), shingles, "s").drop("_words")
+
+
+def without_copies(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents that are no near copy of an earlier one with which they
+    share a chunk; columns unchanged."""
+    arrow_session(documents)
+    names = documents.columns
+    docs = documents.toDF(*(f"_c{i}" for i in range(len(names))))
+    docs = _keyed(docs, f"_c{names.index(doc_id)}", f"_c{names.index(text)}")
+    texts = docs.select("text", "d", "r1", "r2")
+    places = _places(texts)
+    pairs = places.join(_again(places), ["c1", "c2"]).select(
+        "r1", "r2", F.col("first.r1").alias("f1"), F.col("first.r2").alias("f2"))
+    pairs = materialize(pairs.where("r1 <> f1 or r2 <> f2").distinct(), "pairs")
+    some = pairs.select("r1", "r2").union(pairs.select("f1", "f2")).distinct()
+    sets = _with_shingles(texts.join(some, ["r1", "r2"]).dropDuplicates(["r1", "r2"]), F.col("text"))
+    sets = materialize(sets.select("r1", "r2", "s", F.size("s").alias("n")), "shingles")
+    # sizes first: a pair that can be a copy has two sets of about one size
+    sizes = sets.select("r1", "r2", "n")
+    other = sizes.toDF("f1", "f2", "fn")
+    p, q = COPY
+    pairs = materialize(pairs.join(sizes, ["r1", "r2"]).join(other, ["f1", "f2"])
+                        .where(q * F.least("n", "fn") >= p * F.greatest("n", "fn")), "near")
+    both = pairs.join(sets.drop("n"), ["r1", "r2"]).join(
+        sets.select(F.col("r1").alias("f1"), F.col("r2").alias("f2"), F.col("s").alias("fs")), ["f1", "f2"])
+    both = both.select("r1", "r2", "n", "fn", F.size(F.array_intersect("s", "fs")).alias("i"))
+    copies = both.where(q * F.col("i") >= p * (F.col("n") + F.col("fn") - F.col("i"))).select("r1", "r2").distinct()
+    left = docs.join(materialize(copies, "copies"), ["r1", "r2"], "left_anti")
+    return left.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(names)))
+
+
 def dedup(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(row, chunks_removed, lines_removed): ``row`` holds the document's
     columns with the repeated chunks gone from ``text``."""
@@ -66,25 +135,16 @@ def dedup(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -
     names = documents.columns                # numbered meanwhile: none can clash
     docs = documents.toDF(*(f"_c{i}" for i in range(len(names))))
     key, body = f"_c{names.index(doc_id)}", f"_c{names.index(text)}"
-    docs = docs.select(
-        "*", F.col(body).alias("text"),
-        F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias("d"),
-        F.xxhash64(F.lit(1), key, body).alias("r1"), F.xxhash64(F.lit(2), key, body).alias("r2"))
+    docs = _keyed(docs, key, body)
 
     def row(new_text: Column) -> Column:
         return F.struct(*((new_text if c == text else F.col(f"_c{i}")).alias(c)
                           for i, c in enumerate(names))).alias("row")
 
     texts = docs.select("text", "d", "r1", "r2")
-    hashed = F.transform("chunks", lambda c, i: F.struct(
-        i.alias("pos"), c["lines"].alias("lines"),
-        F.xxhash64(F.lit(1), c["chunk"]).alias("c1"), F.xxhash64(F.lit(2), c["chunk"]).alias("c2")))
-    places = (with_chunks(texts, F.col("text")).select("d", "r1", "r2", F.inline(F.filter(hashed, lambda c: c["lines"] >= MIN_LINES))))
-    places = materialize(places, "chunks")
+    places = _places(texts)
     place = F.struct("d", "r1", "r2", "pos")
-    again = (places.groupBy("c1", "c2").agg(F.count("*").alias("n"), F.min(place).alias("first"))
-             .where("n > 1").select("c1", "c2", "first"))
-    found = materialize(places.join(again, ["c1", "c2"])
+    found = materialize(places.join(_again(places), ["c1", "c2"])
                         .withColumn("extra", place != F.col("first")).drop("first"), "repeats")
     # byte comparison of all repeats of a hash
     at = found.groupBy("r1", "r2").agg(F.collect_set(F.struct("pos", "c1", "c2")).alias("at"))

@@ -350,6 +350,26 @@ def test_pipeline(spark):
     assert {r["doc_id"] for r in docs.collect()} == set(out) and all(r["lossless"] for r in out.values())
 
 
+def test_pipeline_leaves_no_part_of_a_copy(spark, docs):
+    def lines(k, n):
+        return [" ".join(f"w{k}x{i}x{j}" for j in range(8)) for i in range(n)]
+
+    planted = []
+    for k in range(6):
+        own = lines(k, 30)
+        near = own[:14] + [own[14].replace("x3", "y3")] + own[15:25] + ["new " + own[25]] + own[26:]
+        planted += [(10 ** 6 + 10 * k + i, "\n".join(t)) for i, t in enumerate((own, own, near))]
+    text = dict(planted)
+    more = spark.createDataFrame(planted, "doc_id long, text string")
+    more = docs.limit(1).drop("doc_id", "text").crossJoin(more).select(
+        *(F.col(c).cast(docs.schema[c].dataType) for c in docs.columns))
+    out = docs.union(more)
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        out = stage(spark, out, SMALL)
+    got = {r["doc_id"]: r["text"] for r in out.where(F.col("doc_id") >= 10 ** 6).collect()}
+    assert got == {d: t for d, t in text.items() if d % 10 == 0}
+
+
 def test_every_operator_has_a_query():
     assert {re.match(r"op(\d+)_", k)[1] for k in Q.queries()} == {str(i) for i in range(1, 11)}
     assert set(Q.oracle_sql()) <= set(Q.queries())
