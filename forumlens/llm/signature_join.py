@@ -7,7 +7,8 @@ at least ``threshold``.  The join returns each document's component.
    sets form one class (128 bits of the set); only classes are joined.
 2. Candidate buckets: under one global order of shingles (commonest last, by a
    fixed-size count of hashed shingles), linked sets share a shingle among
-   their first ``n - ceil(t n) + 1``.  Buckets with a single class disappear
+   their first ``n - ceil(t n) + 1``.  One text of each class is put into
+   buckets, so copies of a text meet in no task.  Buckets with a single class disappear
    in the task that gathers them; shingles that are extremely common are
    salted over several tasks.
 3. Star rounds: in each bucket every class is compared with a few centres, a
@@ -270,6 +271,25 @@ def _gather(order):
     return run
 
 
+def prefix_entries(docs: DataFrame, order, n_buckets: int, chosen: DataFrame, kinds: DataFrame,
+                   threshold=THRESHOLD) -> DataFrame:
+    """Prefix shingles of one text of each class.  A fixed-size Bloom filter
+    holds the texts of classes with several rows: texts outside it are alone
+    in their class and stay where they are, the others are joined with the
+    ``chosen`` texts."""
+    bloom = _bloom(kinds.join(chosen.where("m > 1").select("cid"), "cid"))
+    texts = docs.select("text", "th2", "th1", F.coalesce("doc_id", F.lit(-1)).alias("d"))
+    # rows that repeat id and text go before the join
+    rest = texts.mapInArrow(_in_bloom(bloom, True), texts.schema).dropDuplicates(["d", "th1", "th2"])
+    rest = rest.join(chosen.select("d", "th1", "th2"), ["d", "th1", "th2"])
+    run, outside = _prefixes(order, n_buckets, threshold), _in_bloom(bloom, False)
+
+    def alone(batches):                  # one Python worker filters and shingles
+        return run(outside(batches))
+
+    return texts.mapInArrow(alone, _BLOB_DDL).union(rest.select("text").mapInArrow(run, _BLOB_DDL))
+
+
 def buckets(texts: DataFrame, sets: DataFrame, threshold=THRESHOLD) -> DataFrame:
     """(token, cid, n): classes that share a prefix shingle with others.  Of
     buckets with the same classes (the shingles of one shared passage) one is
@@ -277,11 +297,16 @@ def buckets(texts: DataFrame, sets: DataFrame, threshold=THRESHOLD) -> DataFrame
     spark = texts.sparkSession
     order = spark.sparkContext.broadcast(shingle_order(sets))
     p, q = threshold
-    entries = sets.where("n > 0").agg(F.sum(F.col("n") - F.ceil(F.col("n") * p / q) + 1)).first()[0] or 0
+    kinds = materialize(sets.where("n > 0").groupBy("cid", "n", "th1", "th2").agg(
+        F.min(F.coalesce("doc_id", F.lit(-1))).alias("d"), F.count("*").alias("m")), "kinds")
+    chosen = materialize(kinds.groupBy("cid", "n").agg(
+        F.min(F.struct("d", "th1", "th2")).alias("r"), F.sum("m").alias("m"))
+        .select("cid", "n", "r.d", "r.th1", "r.th2", "m"), "classes")
+    entries = chosen.agg(F.sum(F.col("n") - F.ceil(F.col("n") * p / q) + 1)).first()[0] or 0
     at_least = int(spark.conf.get("spark.sql.shuffle.partitions")) // 4
     n_buckets = max(1, at_least, -(-int(entries) // BUCKET_ENTRIES))
     rows = materialize(
-        texts.select("text").mapInArrow(_prefixes(order, n_buckets, threshold), _BLOB_DDL)
+        prefix_entries(texts, order, n_buckets, chosen, kinds, threshold)
         .groupBy("bucket").applyInArrow(_gather(order), "token long, cid long, n long, h1 long, h2 long"),
         "shared")
     one = rows.groupBy("h1", "h2").agg(F.min("token").alias("token"))
@@ -330,30 +355,37 @@ def _verify(words, threshold):
 BLOOM_WORDS = 20              # 2**20 words of 64 bits: 8 MB, whatever the corpus
 
 
-def _texts_of(cids: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """(cid, text): the text of one document of each class in ``cids``.  A
-    fixed-size Bloom filter of text hashes keeps most other texts out of the
-    shuffle; the join decides."""
-    sc = docs.sparkSession.sparkContext
-    chosen = materialize(
-        sets.where("n > 0").join(cids, "cid").groupBy("cid").agg(
-            F.min(F.struct(F.coalesce("doc_id", F.lit(-1)).alias("d"), "th1", "th2")).alias("r"))
-        .select("cid", "r.d", "r.th1", "r.th2"), "chosen")
-    words = (chosen.select(F.shiftrightunsigned("th2", 64 - BLOOM_WORDS).alias("w"),
-                           F.expr("shiftleft(1L, cast(th2 & 63 as int))").alias("bit"))
+def _bloom(texts: DataFrame):
+    """Broadcast Bloom filter of the text hashes th2."""
+    words = (texts.select(F.shiftrightunsigned("th2", 64 - BLOOM_WORDS).alias("w"),
+                          F.expr("shiftleft(1L, cast(th2 & 63 as int))").alias("bit"))
              .groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow())
     bloom = np.zeros(1 << BLOOM_WORDS, np.int64)
     bloom[words["w"].to_numpy()] = words["bits"].to_numpy()
-    bloom = sc.broadcast(bloom)
+    return texts.sparkSession.sparkContext.broadcast(bloom)
+
 
+def _in_bloom(bloom, hit: bool):
+    """Rows whose th2 is (or is not) in the filter."""
     def some(batches):
         for b in batches:
             h = b.column(b.schema.get_field_index("th2")).to_numpy()
             word = bloom.value[(h.astype(np.uint64) >> np.uint64(64 - BLOOM_WORDS)).astype(np.int64)]
-            yield b.filter(pa.array((word >> (h & 63)) & 1 == 1))
+            yield b.filter(pa.array(((word >> (h & 63)) & 1 == 1) == hit))
+    return some
+
 
+def _texts_of(cids: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """(cid, text): the text of one document of each class in ``cids``.  A
+    fixed-size Bloom filter of text hashes keeps most other texts out of the
+    shuffle; the join decides."""
+    chosen = materialize(
+        sets.where("n > 0").join(cids, "cid").groupBy("cid").agg(
+            F.min(F.struct(F.coalesce("doc_id", F.lit(-1)).alias("d"), "th1", "th2")).alias("r"))
+        .select("cid", "r.d", "r.th1", "r.th2"), "chosen")
+    bloom = _bloom(chosen)
     kept = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("d"), "text", "th1", "th2")
-    kept = kept.mapInArrow(some, kept.schema)
+    kept = kept.mapInArrow(_in_bloom(bloom, True), kept.schema)
     return materialize(kept.join(chosen, ["d", "th1", "th2"]).select("cid", "text")
                        .dropDuplicates(["cid"]), "texts")
 

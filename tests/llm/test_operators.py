@@ -95,6 +95,28 @@ def test_jaccard_join(spark, edge):
     assert SJ.components(df.limit(0)).count() == 0
 
 
+def test_jaccard_join_buckets_one_text_of_a_class(spark, monkeypatch):
+    gather = SJ._gather
+
+    def once(order):
+        run = gather(order)
+
+        def checked(table):
+            tok, cid = SJ._joined(table["tokens"], np.uint64), SJ._joined(table["cids"], np.int64)
+            cid = np.repeat(cid, SJ._joined(table["counts"], np.int32)).astype(np.uint64)
+            assert len(np.unique(np.stack([tok, cid]), axis=1).T) == len(tok), "a class came twice"
+            return run(table)
+        return checked
+
+    monkeypatch.setattr(SJ, "_gather", once)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i % 20 if i % 3 else None, " ".join(base).upper() if i % 2 else " ".join(base)) for i in range(40)]
+    rows += [(100 + k, " ".join(base[:50] + [f"v{k}x{i}" for i in range(k)])) for k in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((str(r[0]), r[1], str(r[2])) for r in SJ.components(df).collect())
+    assert got == _components(rows)
+
+
 def test_signature_tree_loses_no_pair():
     rng = np.random.default_rng(0)
     sets = []
