@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.llm import (chat_format, decontaminate, html_text, language_id, lattice_lm, line_chunks,
-                           pivot_index, sampling_tokenizer, signature_join, warc)
+from forumlens.llm import (chat_format, collocations, decontaminate, html_text, language_id, lattice_lm,
+                           line_chunks, pivot_index, prefix_trie, sampling_tokenizer, secret_scan,
+                           signature_join, warc)
 from forumlens.llm.common import held_out, read_table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -74,6 +75,18 @@ def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "train_tokens", "base_score", "score")
 
 
+def op11_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op12_quotient_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read_table(spark, sf_dir, "conversations"))
+
+
 OP2_ORACLE = f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w
@@ -128,10 +141,13 @@ LEFT JOIN (SELECT a, min(b) AS b FROM r GROUP BY a) m ON m.a = e.vec_id"""
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_html_text, op2_signature_trees, op3_suffix_arrays, op4_chat_format, op5_centroid_langid,
-        op6_lattice_sampling, op7_line_chunks, op8_pivot_index, op9_warc_index, op10_lattice_lm)}
+        op6_lattice_sampling, op7_line_chunks, op8_pivot_index, op9_warc_index, op10_lattice_lm,
+        op11_trigram_secrets, op12_quotient_collocations, op13_prefix_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_signature_trees": OP2_ORACLE, "op3_suffix_arrays": OP3_ORACLE,
             "op4_chat_format": chat_format.ORACLE, "op7_line_chunks": line_chunks.ORACLE,
-            "op8_pivot_index": OP8_ORACLE, "op9_warc_index": warc.ORACLE}
+            "op8_pivot_index": OP8_ORACLE, "op9_warc_index": warc.ORACLE,
+            "op11_trigram_secrets": secret_scan.ORACLE, "op12_quotient_collocations": collocations.ORACLE,
+            "op13_prefix_trie": prefix_trie.ORACLE}
