@@ -41,31 +41,24 @@ def qa_join(posts: DataFrame, sort: bool = False) -> DataFrame:
     return out.orderBy("ParentId", "OwnerUserId", "Score", "Id") if sort else out
 
 
-def answers_inherit_tags(posts: DataFrame, text: str | None = None) -> DataFrame:
+def answers_inherit_tags(posts: DataFrame, *text: str) -> DataFrame:
     """Answers carry their question's tags.
 
-    ``(Id, PostTypeId, ParentId, Tags[, Text])`` with the answer's own id, kind,
-    parent and text but the parent's tags.
+    ``(Id, PostTypeId, ParentId, Tags, OwnerUserId, Score, *text)`` with the
+    answer's own columns but the parent's tags; ``text`` names the text
+    columns to keep (Title, Body).
     """
-    cols = ["Id", "PostTypeId", "ParentId", "OwnerUserId", "Score"]
-    if text:
-        cols.append(text)
-    a = answers(posts).select(*cols)
+    a = answers(posts).select("Id", "PostTypeId", "ParentId", "OwnerUserId", "Score", *text)
     out = a.join(_parents(posts), F.col("ParentId") == F.col("_parent_id"))
-    sel = ["Id", "PostTypeId", "ParentId", F.col("_parent_tags").alias("Tags"),
-           "OwnerUserId", "Score"]
-    if text:
-        sel.append(text)
-    return out.select(*sel)
-
-
-def training_set(posts: DataFrame, text: str | None = None) -> DataFrame:
-    """Questions unioned with answers that inherit their question's tags."""
-    cols = ["Id", "PostTypeId", "ParentId", "Tags", "OwnerUserId", "Score"]
-    if text:
-        cols.append(text)
-    return questions(posts).select(*cols).unionByName(
-        answers_inherit_tags(posts, text).select(*cols))
+    return out.select("Id", "PostTypeId", "ParentId", F.col("_parent_tags").alias("Tags"),
+                      "OwnerUserId", "Score", *text)
+
+
+def training_set(posts: DataFrame, *text: str) -> DataFrame:
+    """Questions unioned with answers that inherit their question's tags,
+    with the ``text`` columns (Title, Body) of each post."""
+    cols = ["Id", "PostTypeId", "ParentId", "Tags", "OwnerUserId", "Score", *text]
+    return questions(posts).select(*cols).unionByName(answers_inherit_tags(posts, *text).select(*cols))
 
 
 def any_column_contains(df: DataFrame, term: str) -> DataFrame:

@@ -86,6 +86,23 @@ def hashed_tf(df: DataFrame, id_col: str = "Id", words: str = "words",
         id_col, *keep, F.col("_p.bucket").alias("bucket"), F.col("_p.tf").alias("tf"))
 
 
+def hashed_tf_arrays(df: DataFrame, words: str = "words", num_features: int = NUM_FEATURES) -> DataFrame:
+    """X3 as two arrays per row, ``buckets`` (sorted) and ``tf``; the other
+    columns are kept.  The layout of ``joint.score_posts``."""
+    keep = [c for c in df.columns if c != words]
+    rows = df.select(*keep, F.array_sort(F.transform(words, lambda w: md5_bucket(w, num_features))).alias("_b"))
+    b = F.col("_b")
+    first = F.filter(F.transform(b, lambda x, i: F.when((i == 0) | (x != F.get(b, i - 1)), i + 1)), lambda x: x.isNotNull())
+    rows = rows.select("*", F.explode_outer(F.array(first)).alias("_s"))
+    st = F.col("_s")
+    ends = F.concat(F.slice(st, 2, F.greatest(F.size(st), F.lit(1))), F.array(F.size(b) + 1))
+    some = F.size(b) > 0
+    return rows.select(
+        *keep, F.when(some, F.transform(st, lambda i: F.get(b, i - 1))).otherwise(F.array().cast("array<int>")).alias("buckets"),
+        F.when(some, F.zip_with(st, ends, lambda a, e: (e - a).cast("double")))
+        .otherwise(F.array().cast("array<double>")).alias("tf"))
+
+
 def text_features(df: DataFrame, id_col: str = "Id", text: str = "Text",
                   words: list[str] | None = None,
                   num_features: int = NUM_FEATURES,

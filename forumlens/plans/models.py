@@ -10,17 +10,16 @@ from forumlens.functions.tags import tag_array
 from forumlens.operators import classify as C
 from forumlens.operators import metrics as M
 from forumlens.operators import text as X
+from forumlens.operators.joint import score_posts
 from forumlens.plans import sql
 from forumlens.plans.registry import query
 from forumlens.plans.text import _CLEAN_DOC, _sql_words
-from forumlens.session import collect_bounded, materialize, shared_path
+from forumlens.session import materialize, shared_path
 from forumlens.sources import fixtures as fx
 from forumlens.sources import formats as fmt
 from forumlens.sources.sinks import ModelStore
 
 V = X.NUM_FEATURES
-MIN_POSITIVE = 1              # every tag in use gets a model
-MAX_VOCABULARY = 100_000   # one model per tag: the vocabulary must stay bounded
 
 
 def _lines(spark, sf):
@@ -91,24 +90,26 @@ def nb_train(spark, sf):
         F.round("theta_default", 10).alias("theta_default"))
 
 
-def _formula_weights(tf, labels):
+def _doc_arrays(spark, sf):
+    """(Id, Tags, buckets, tf) of every document, staged."""
+    d = fx.document_posts(spark, sf)
+    words = X.remove_stop_words(X.tokenize(X.clean_text(d, None, "Text"), "Text"))
+    return materialize(X.hashed_tf_arrays(words.select("Id", "Tags", "words"), "words", V), "arrays")
+
+
+def _formula_weights(docs):
     """A fixed-formula linear model per tag over the buckets seen with it:
     w = (md5(tag:bucket) mod 2001 - 1000) / 1000, b = (md5(tag) mod 200 - 150) / 100."""
-    seen = tf.select("Id", "bucket").join(labels, "Id").select(
-        F.col("label").alias("tag"), "bucket").distinct()
+    labels = docs.select(F.explode(tag_array("Tags")).alias("tag"), "buckets")
+    seen = labels.select("tag", F.explode("buckets").alias("bucket")).distinct()
     w = seen.select("tag", "bucket", ((md5_int(F.concat(
         F.col("tag"), F.lit(":"), F.col("bucket").cast("string"))) % 2001 - 1000)
         / F.lit(1000.0)).alias("w"))
-    b = labels.select(F.col("label").alias("tag")).distinct().select(
+    b = labels.select("tag").distinct().select(
         "tag", ((md5_int("tag") % 200 - 150) / F.lit(100.0)).alias("b"))
     return w, b
 
 
-def _doc_tf_materialized(spark, sf):
-    tf, labels = _doc_tf(spark, sf)
-    return materialize(tf), labels
-
-
 _SCORE_SQL = f"""WITH {_DOC_TF},
 seen AS (SELECT DISTINCT label AS tag, bucket FROM tf JOIN dl USING (Id)),
 w AS (SELECT tag, bucket, ({sql.md5_int("tag || ':' || CAST(bucket AS VARCHAR)")} % 2001 - 1000)
@@ -124,11 +125,9 @@ SELECT Id, tag, round(margin, 6) AS margin FROM m WHERE round(margin, 6) > 0"""
 
 @query("score_linear_models", _SCORE_SQL)
 def score_linear_models(spark, sf):
-    # the features feed the weights, the scores and the post list: compute once
-    tf, labels = _doc_tf_materialized(spark, sf)
-    w, b = _formula_weights(tf, labels)
-    out = C.score_linear(tf, w, b, positive_only=False,
-                         posts=fx.document_posts(spark, sf).select("Id"))
+    # the arrays feed the weights and the scores: compute them once
+    docs = _doc_arrays(spark, sf)
+    out = score_posts(docs, *_formula_weights(docs))
     out = out.select("Id", "tag", F.round("margin", 6).alias("margin"))
     return out.where(F.col("margin") > 0)
 
@@ -198,34 +197,41 @@ def svm_metrics(spark, sf):
     return out
 
 
-def _all_tags(spark, sf, store=None):
-    docs = _docs(spark, sf)
-    feats = X.vectorizer("Text").fit(docs).transform(docs).select(
-        "Id", "Tags", "features")
-    vocab = sorted(collect_bounded(
-        docs.select(F.explode(tag_array("Tags")).alias("tag")).distinct(), "tag",
-        MAX_VOCABULARY, "tags"))
-    models, rows = C.train_all_tags(feats, vocab, kind="lr_lbfgs",
-                                    min_positive=MIN_POSITIVE, store=store)
-    return feats, models, rows
+def _vocabulary(docs):
+    return docs.select(F.explode(tag_array("Tags")).alias("TagName")).distinct()
 
 
-@query("train_all_tags")
+@query("train_all_tags", f"""SELECT tag, count(*) AS n_pos, (SELECT count(*) FROM documents) AS n, TRUE AS converged
+FROM (SELECT doc_id, unnest(list_distinct({sql.tag_array("'<' || lang || '><' || source || '>'")})) AS tag FROM documents)
+GROUP BY tag""")
 def train_all_tags(spark, sf):
-    """M3 + S13 + S14: one model per tag, saved with a manifest, manifest
-    read back."""
+    """M3 + S13 + S14: one model per tag, fitted together, committed to a
+    model store as one version and read back from it."""
+    docs = _doc_arrays(spark, sf)
+    _, manifest = C.train_all_tags(docs, _vocabulary(docs), store=ModelStore(shared_path(spark, "tag-models")))
+    return manifest.select("tag", "n_pos", "n", "converged")
+
+
+@query("model_store_weights", f"""WITH {_DOC_TF}
+SELECT tag, bucket, ({sql.md5_int("tag || ':' || CAST(bucket AS VARCHAR)")} % 2001 - 1000) / 1000.0 AS w,
+       ({sql.md5_int('tag')} % 200 - 150) / 100.0 AS b
+FROM (SELECT DISTINCT label AS tag, bucket FROM tf JOIN dl USING (Id))""")
+def model_store_weights(spark, sf):
+    """S13 + S14: fixed-formula models written to a store as one version, and
+    its weights and intercepts read back through the store."""
+    w, b = _formula_weights(_doc_arrays(spark, sf))
     store = ModelStore(shared_path(spark, "tag-models"))
-    _all_tags(spark, sf, store)
-    return store.manifest(spark).select("tag", "n_pos", "n", "nnz", "intercept")
+    store.write_weights(w, b, b.select("tag"))
+    w, b = store.weights(spark, store.latest(spark))
+    return w.join(b, "tag")
 
 
 @query("predicted_tags")
 def predicted_tags(spark, sf):
-    """M4 + S14 with trained models: the models are saved to a model store,
-    their weights read back by one distributed scan of the store, and every
-    model is scored over every document in one job."""
+    """M4 + S14 with trained models: the models are committed to a store,
+    their weights read back by one distributed scan of it, and every model is
+    scored over every document in one job."""
+    docs = _doc_arrays(spark, sf)
     store = ModelStore(shared_path(spark, "tag-models"))
-    feats, _, _ = _all_tags(spark, sf, store)
-    w, b = store.weights(spark)
-    long = C.vector_entries(feats, "Id", "features")
-    return C.score_linear(long, w, b, posts=feats.select("Id"))
+    C.train_all_tags(docs, _vocabulary(docs), store=store)
+    return score_posts(docs, *store.weights(spark))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -99,14 +100,46 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    out._staged = path
+    return out
 
 
-def collect_bounded(df, column: str, limit: int, what: str = "values") -> list:
-    """Collect one column of a result that is small by nature (a vocabulary,
-    a model list), counting it first and refusing more than ``limit`` rows."""
-    n = df.count()
-    if n > limit:
-        raise ValueError(f"{n} {what} exceed the limit of {limit}; "
-                         "keep them as a DataFrame instead")
-    return [r[0] for r in df.select(column).collect()]
+def discard(df) -> None:
+    """Delete the staged table that ``materialize`` returned as ``df``.  For
+    tables that nothing reads any more: a job that still does would fail."""
+    fs, path = _hadoop(df.sparkSession, df._staged)
+    fs.delete(path, True)
+
+
+_SHIPPED: set[str] = set()    # applications that have the package
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers (once per application), so
+    that it need not be installed on the executors.  The driver serves the
+    archive."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(), f"{os.path.basename(root)}.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if not f.endswith(".pyc"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, path = _hadoop(spark, path)
+    return fs.exists(path)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(sc._jsc.hadoopConfiguration()), path

@@ -8,6 +8,7 @@ from forumlens.operators import classify as C
 from forumlens.operators import graph as G
 from forumlens.operators import scores as S
 from forumlens.operators import text as X
+from forumlens.operators.joint import score_posts
 from forumlens.operators.posts import questions, training_set
 from forumlens.operators.recommend import recommend_users
 from forumlens.sources import formats as fmt
@@ -43,19 +44,14 @@ def test_recipes_end_to_end(spark, tmp_path):
     assert edges.count() == 6  # 3 answerers x 2 tags
     assert G.power_iteration_vector(edges, 3).count() == 5
 
-    # per-tag models on questions + answers (text = title + plain body)
-    train = X.clean_text(training_set(posts, text="Body").withColumn("Title", F.lit("")),
-                         "Title", "Body")
-    feats = X.vectorizer("Text", num_features=1 << 10).fit(train).transform(train)
-    store = sinks.ModelStore(str(tmp_path / "models"))
-    C.train_all_tags(feats.select("Id", "Tags", "features"), ["spark", "python"],
-                     kind="lr", store=store)
-    w, b = store.weights(spark)
+    # per-tag models on questions + answers, then all of them over the questions
+    def arrays(df):
+        words = X.remove_stop_words(X.tokenize(X.clean_text(df, "Title", "Body"), "Text"))
+        return X.hashed_tf_arrays(words.select("Id", "Tags", "words"), "words", 1 << 10)
 
-    # score every model over the questions, then recommend experts per predicted tag
-    q = X.clean_text(questions(posts), "Title", "Body")
-    qf = X.vectorizer("Text", num_features=1 << 10).fit(q).transform(q)
-    pred = C.score_linear(C.vector_entries(qf, "Id", "features"), w, b)
+    store = sinks.ModelStore(str(tmp_path / "models"))
+    C.train_all_tags(arrays(training_set(posts, "Title", "Body")), tags, store=store, num_features=1 << 10)
+    pred = score_posts(arrays(questions(posts)), *store.weights(spark))
     got = {(r["Id"], r["tag"]) for r in pred.collect()}
     truth = {(r["Id"], t) for r in questions(posts).select("Id", tag_array("Tags").alias("t"))
              .collect() for t in r["t"]}
