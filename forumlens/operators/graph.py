@@ -11,11 +11,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.constants import PIC_K, PIC_MAX_ITER
+from forumlens.operators.ranking import with_place
 from forumlens.session import materialize
 
 # edges are dealt to so many partitions before clustering, whatever the number
 # of cores: PIC's answer follows the partition layout
 PIC_PARTITIONS = 16
+EMBEDDING_DIGITS = 9
+KMEANS_ROUNDS = 20            # of k-means on the vector, at most
 
 
 def user_vertex(id: Column) -> Column:
@@ -113,6 +116,46 @@ def pic_assign(edges: DataFrame, k: int = PIC_K, max_iter: int = PIC_MAX_ITER,
     return pic.assignClusters(e)
 
 
+def communities(edges: DataFrame, k: int = PIC_K, steps: int = PIC_MAX_ITER, rounds: int = KMEANS_ROUNDS) -> DataFrame:
+    """M8, the same on every layout: ``(id, cluster)`` by k-means on the
+    power-iteration vector (PIC's embedding, degree init), times the number
+    of vertices and rounded to ``EMBEDDING_DIGITS`` digits, so that the order
+    of summation decides nothing.
+
+    The seeds are the distinct values in the middle of k equal parts of
+    their order.  A vertex goes to the nearest centre, between two at one
+    distance to the lower one; a centre without vertices stays.  Clusters are
+    numbered by ascending centre.  Only the k centres pass through the driver;
+    a round is one grouped sum.  Fewer than k distinct values give one
+    cluster each; no edges, no rows.
+    """
+    v = materialize(power_iteration_vector(edges, steps), "embedding")
+    v = materialize(v.select("id", F.round(F.col("v") * F.lit(v.count()), EMBEDDING_DIGITS).alias("v")), "embedding")
+    values = materialize(with_place(v.select("v").distinct(), "v"), "values")
+    n = values.count()
+    if n == 0:
+        return v.select("id", F.lit(0).alias("cluster"))
+    k = min(k, n)
+    places = [(2 * i + 1) * n // (2 * k) + 1 for i in range(k)]
+    centres = [r["v"] for r in values.where(F.col("place").isin(places)).orderBy("v").collect()]
+    sizes = None
+    for _ in range(rounds):
+        got = {r["cluster"]: (r["n"], r["m"]) for r in v.groupBy(_nearest("v", centres).alias("cluster")).agg(
+            F.count(F.lit(1)).alias("n"), F.avg("v").alias("m")).collect()}
+        # clusters are intervals: equal sizes are equal clusters
+        now = [got.get(i, (0, None))[0] for i in range(k)]
+        centres = [got[i][1] if i in got else c for i, c in enumerate(centres)]
+        if now == sizes:
+            break
+        sizes = now
+    return v.select("id", _nearest("v", centres).alias("cluster"))
+
+
+def _nearest(v: str, centres: list[float]) -> Column:
+    above = [F.when(F.col(v) > (a + b) / 2, 1).otherwise(0) for a, b in zip(centres, centres[1:])]
+    return sum(above, F.lit(0)).cast("int")
+
+
 def cluster_tags(assignments: DataFrame, tags: DataFrame) -> DataFrame:
     """J5 + P11 + A6: keep the members that are tags, name them, and list
     each cluster's tag names ``(cluster, tags)``.

@@ -1,18 +1,15 @@
 """Classifier evaluation (A8-A12, P9) as distributed aggregates.
 
-Inputs are rows ``(label, prediction[, score])`` with 0/1 labels.  Curve
-metrics need prefix sums over the distinct scores in descending order; they
-are computed without a single-partition window (see ``cumulative_by_score``).
+Inputs are rows ``(label, prediction[, score])`` with 0/1 labels.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# number of score ranges for the two-level prefix sum
-PREFIX_BUCKETS = 64
+from forumlens.operators.ranking import running_sums
+from forumlens.session import materialize
 
 
 def confusion_matrix(df: DataFrame, label: str = "label",
@@ -72,84 +69,35 @@ def score_counts(df: DataFrame, label: str = "label",
         F.count_if(F.col(label) != 1).alias("neg"))
 
 
-def cumulative_by_score(counts: DataFrame, buckets: int = PREFIX_BUCKETS) -> DataFrame:
-    """Prefix sums of ``pos``/``neg`` over scores in descending order.
+def curve_areas(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """A11 + A12: ``(auc_roc, auc_pr)`` as one row, exact, from one scan of
+    the input.
 
-    Two levels instead of one global window: distinct scores are cut into
-    ``buckets`` ranges at approximate quantiles (a bounded list on the
-    driver), each range's totals are summed (``buckets`` rows), their
-    offsets are a window over those few rows, and the prefix inside a range
-    is a window partitioned by the range.  Adds ``cum_pos``/``cum_neg``.
+    Positives and negatives are counted per distinct score and written; the
+    running sums over the descending scores come from ``running_sums``, and
+    both areas are sums over that table.  ROC: trapezoids between
+    consecutive distinct scores (ties get half credit, as Mann-Whitney with
+    mid-ranks).  PR: the curve starts at (recall 0, first precision).  Where
+    a class is absent the areas are null.
     """
-    qs = [i / buckets for i in range(1, buckets)]
-    cuts = sorted(set(counts.approxQuantile("score", qs, 0.001))) if qs else []
-    if cuts:
-        splits = [-float("inf")] + cuts + [float("inf")]
-        b = Bucketizer(splits=splits, inputCol="score", outputCol="_range",
-                       handleInvalid="keep").transform(counts)
-    else:
-        b = counts.withColumn("_range", F.lit(0.0))
-    b = b.withColumn("_range", -F.col("_range"))  # descending score order
-    totals = b.groupBy("_range").agg(F.sum("pos").alias("_rp"),
-                                     F.sum("neg").alias("_rn"))
-    # at most ``buckets`` rows: a global window over them is cheap
-    w_off = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select("_range",
-                         F.coalesce(F.sum("_rp").over(w_off), F.lit(0)).alias("_op"),
-                         F.coalesce(F.sum("_rn").over(w_off), F.lit(0)).alias("_on"))
-    w_in = (Window.partitionBy("_range").orderBy(F.desc("score"))
-            .rowsBetween(Window.unboundedPreceding, 0))
-    inner = b.select("score", "pos", "neg", "_range",
-                     F.sum("pos").over(w_in).alias("_ip"),
-                     F.sum("neg").over(w_in).alias("_in"))
-    return (inner.join(F.broadcast(offs), "_range")
-            .select("score", "pos", "neg",
-                    (F.col("_ip") + F.col("_op")).alias("cum_pos"),
-                    (F.col("_in") + F.col("_on")).alias("cum_neg")))
-
-
-def _curve(df: DataFrame, label: str, score: str, buckets: int):
-    """Cumulative curve table, or None when a class is absent (the curve is
-    undefined; returning null avoids an ANSI divide-by-zero)."""
-    counts = score_counts(df, label, score)
-    # class totals: one aggregate row, read as two literals
-    tot = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
-    P, N = tot["P"] or 0, tot["N"] or 0
-    if P == 0 or N == 0:
-        return None
-    return cumulative_by_score(counts, buckets).select(
-        "*", F.lit(float(P)).alias("P"), F.lit(float(N)).alias("N"))
-
-
-def _undefined(df: DataFrame, name: str) -> DataFrame:
-    return df.sparkSession.range(1).select(F.lit(None).cast("double").alias(name))
-
-
-def auc_roc(df: DataFrame, label: str = "label", score: str = "score",
-            buckets: int = PREFIX_BUCKETS) -> DataFrame:
-    """Exact area under ROC, trapezoids between consecutive distinct
-    scores (ties get half credit, as Mann-Whitney with mid-ranks)."""
-    c = _curve(df, label, score, buckets)
-    if c is None:
-        return _undefined(df, "auc_roc")
-    tpr, fpr = F.col("cum_pos") / F.col("P"), F.col("cum_neg") / F.col("N")
-    ptpr = (F.col("cum_pos") - F.col("pos")) / F.col("P")
-    pfpr = (F.col("cum_neg") - F.col("neg")) / F.col("N")
-    return c.agg(F.sum((fpr - pfpr) * (tpr + ptpr) / 2).alias("auc_roc"))
-
-
-def auc_pr(df: DataFrame, label: str = "label", score: str = "score",
-           buckets: int = PREFIX_BUCKETS) -> DataFrame:
-    """Area under the precision-recall curve; the curve starts at
-    (recall 0, first precision) and trapezoids join consecutive points."""
-    c = _curve(df, label, score, buckets)
-    if c is None:
-        return _undefined(df, "auc_pr")
-    prec = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
-    rec = F.col("cum_pos") / F.col("P")
-    prev_tp = F.col("cum_pos") - F.col("pos")
-    prev_all = prev_tp + F.col("cum_neg") - F.col("neg")
-    pprec = F.when(prev_all == 0, prec).otherwise(
-        prev_tp / F.when(prev_all != 0, prev_all))
-    prec_ = prev_tp / F.col("P")
-    return c.agg(F.sum((rec - prec_) * (prec + pprec) / 2).alias("auc_pr"))
+    counts = materialize(score_counts(df, label, score), "score-counts")
+    c = running_sums(counts, [F.desc("score")], {"cum_pos": F.col("pos"), "cum_neg": F.col("neg")})
+    pos, neg, tp, fp = (F.col(x).cast("double") for x in ("pos", "neg", "cum_pos", "cum_neg"))
+    before_tp, before_all = tp - pos, tp - pos + fp - neg
+    precision = tp / (tp + fp)
+    before = F.when(before_all == 0, precision).otherwise(before_tp / F.when(before_all != 0, before_all))
+    t = c.agg(F.sum("pos").cast("double").alias("P"), F.sum("neg").cast("double").alias("N"),
+              F.sum(neg * (2 * tp - pos)).alias("roc"), F.sum(pos * (precision + before)).alias("pr"))
+    both = (F.col("P") > 0) & (F.col("N") > 0)
+    return t.select(F.when(both, F.col("roc") / F.when(both, 2 * F.col("P") * F.col("N"))).alias("auc_roc"),
+                    F.when(both, F.col("pr") / F.when(both, 2 * F.col("P"))).alias("auc_pr"))
+
+
+def auc_roc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """A11 alone, see ``curve_areas``."""
+    return curve_areas(df, label, score).select("auc_roc")
+
+
+def auc_pr(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """A12 alone, see ``curve_areas``."""
+    return curve_areas(df, label, score).select("auc_pr")

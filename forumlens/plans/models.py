@@ -190,11 +190,10 @@ def train_svm(spark, sf):
 def svm_metrics(spark, sf):
     """A11 + A12 on the SVM's held-out margins, plus accuracy."""
     _, pred = C.train_one_tag(_docs(spark, sf), "de", kind="svm")
-    roc = M.auc_roc(pred).first()[0]
-    pr = M.auc_pr(pred).first()[0]
-    out = M.binary_metrics(pred).select(
-        "accuracy", F.lit(roc).alias("auc_roc"), F.lit(pr).alias("auc_pr"))
-    return out
+    pred = materialize(pred, "svm-pred")
+    areas = M.curve_areas(pred).first()
+    return M.binary_metrics(pred).select(
+        "accuracy", F.lit(areas["auc_roc"]).alias("auc_roc"), F.lit(areas["auc_pr"]).alias("auc_pr"))
 
 
 def _vocabulary(docs):

@@ -15,6 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forumlens.operators.ranking import with_place
+from forumlens.session import materialize
+
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations"]
@@ -113,20 +116,14 @@ def event_user_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.sum("value").alias("Score")))
 
 
-def event_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tags vocabulary (Id, TagName, Count) from distinct event types.
-
-    The vocabulary is small by nature (distinct labels); the id is its rank
-    in name order, so it is deterministic.
-    """
-    e = read_table(spark, sf_dir, "events")
-    vocab = e.groupBy(F.col("event_type").alias("TagName")).agg(
-        F.count(F.lit(1)).alias("Count"))
-    return vocab.select(
-        F.row_number().over(_by_name()).cast("bigint").alias("Id"),
-        "TagName", "Count")
+def with_ids(names: DataFrame) -> DataFrame:
+    """A vocabulary ``(TagName, ...)`` with ``Id``: each name's place in name
+    order, counted range by range."""
+    cols = [c for c in names.columns if c != "TagName"]
+    return with_place(materialize(names, "names"), "TagName", out="Id").select("Id", "TagName", *cols)
 
 
-def _by_name():
-    from pyspark.sql import Window
-    return Window.orderBy("TagName")
+def event_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags vocabulary (Id, TagName, Count) from distinct event types."""
+    e = read_table(spark, sf_dir, "events")
+    return with_ids(e.groupBy(F.col("event_type").alias("TagName")).agg(F.count(F.lit(1)).alias("Count")))

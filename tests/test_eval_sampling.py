@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
@@ -24,8 +25,30 @@ def test_auc_matches_evaluator(spark):
     for metric, fn in (("areaUnderROC", M.auc_roc), ("areaUnderPR", M.auc_pr)):
         ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label",
                                            metricName=metric, numBins=0).evaluate(df)
-        for b in (1, 4, 64):
-            assert abs(fn(df, buckets=b).first()[0] - ev) < 1e-12
+        assert abs(fn(df).first()[0] - ev) < 1e-12
+
+
+@pytest.mark.parametrize("rows", [1, 7, 1000])
+def test_curve_areas_in_ranges_of_any_size(spark, monkeypatch, rows):
+    from forumlens.operators import ranking
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", rows)
+    df = _scored(spark).limit(60) if rows == 1 else _scored(spark)
+    got = M.curve_areas(df).first()
+    for metric, value in (("areaUnderROC", got["auc_roc"]), ("areaUnderPR", got["auc_pr"])):
+        ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", metricName=metric, numBins=0).evaluate(df)
+        assert abs(value - ev) < 1e-12
+
+
+def test_places_and_running_sums(spark, monkeypatch):
+    from forumlens.operators import ranking
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 9)
+    names = [None, ""] + [f"n{i:03d}" for i in range(100)]
+    df = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, x int").repartition(5)
+    got = {r["name"]: r["place"] for r in ranking.with_place(df, "name").collect()}
+    assert got == {n: i + 1 for i, n in enumerate(names)}
+    sums = ranking.running_sums(df, [F.desc("x")], {"s": F.col("x"), "n": F.lit(1)})
+    assert {r["x"]: (r["s"], r["n"]) for r in sums.collect()} == {x: (sum(range(x, 102)), 102 - x) for x in range(102)}
+    assert ranking.with_place(df.limit(0), "name").collect() == []
 
 
 def test_auc_of_hard_predictions_is_balanced_accuracy(spark):
