@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,18 +77,29 @@ def avg_by_key(df: DataFrame, key: str, value: str) -> DataFrame:
         F.avg(F.col(value).cast("double")).alias("mean"))
 
 
-# Largest keyed result folded into one map row by ``as_key_map``.
-MAX_MAP_ENTRIES = 100_000
+# keys of one map row, about
+KEYS_PER_MAP = 10_000
+
 
+def as_key_map(df: DataFrame, key: str, value: str) -> DataFrame:
+    """A keyed result of any size as rows ``(bucket, buckets, map)``, each
+    a map of the keys that hash to it; ``buckets`` is their number.
 
-def as_key_map(df: DataFrame, key: str, value: str,
-               limit: int = MAX_MAP_ENTRIES) -> DataFrame:
-    """One-row key -> value map of a *small* keyed result (the
-    reference's ``collectAsMap``).  The row count is checked first; larger
-    results stay a keyed DataFrame."""
-    n = df.count()
-    if n > limit:
-        raise ValueError(f"{n} keys exceed the map limit {limit}; "
-                         "keep the keyed DataFrame instead")
-    return df.agg(F.map_from_entries(F.collect_list(F.struct(
-        F.col(key), F.col(value)))).alias("map"))
+    A null key has no entry.  Keys must differ, or the map can't be built.
+    """
+    buckets = max(1, math.ceil(df.count() / KEYS_PER_MAP))
+    rows = df.where(F.col(key).isNotNull()).select(
+        F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket"), F.struct(F.col(key), F.col(value)).alias("e"))
+    return rows.groupBy("bucket").agg(F.map_from_entries(F.collect_list("e")).alias("map")).select(
+        "bucket", F.lit(buckets).alias("buckets"), "map")
+
+
+def look_up(df: DataFrame, maps: DataFrame, key: str, out: str = "value") -> DataFrame:
+    """``df`` with the value of each row's ``key`` in ``as_key_map``'s rows,
+    null where there is none.  ``key`` needs the type of the maps' keys."""
+    n = maps.agg(F.max("buckets")).first()[0]
+    if n is None:
+        return df.withColumn(out, F.lit(None))
+    bucket = F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    rows = df.withColumn("_b", bucket).join(maps.select(F.col("bucket").alias("_b"), F.col("map").alias("_m")), "_b", "left")
+    return rows.withColumn(out, F.col("_m")[F.col(key)]).drop("_b", "_m")

@@ -53,6 +53,26 @@ def remove_stop_words(df: DataFrame, tokens: str = "tokens",
                             caseSensitive=False).transform(df)
 
 
+def remove_stop_words_table(df: DataFrame, words: DataFrame, id_col: str = "Id", tokens: str = "tokens",
+                            out: str = "words", word: str = "word") -> DataFrame:
+    """X2 for a word list of any size, ``words (word)``, as a table: tokens are
+    laid out with their places, those whose lower case is that of a listed
+    word leave in an anti-join, and each row's rest is put together in order.
+
+    ``id_col`` tells the rows of ``df`` apart; the result has it and ``out``,
+    an empty array where no token is left, null for null tokens.  A frequent
+    token is a hot key of the anti-join, which Spark's skew join splits, as
+    each word is on the other side once.
+    """
+    stop = words.select(F.lower(word).alias("_w")).where(F.col("_w").isNotNull()).distinct()
+    rows = explode_tokens(df, id_col, tokens, "_pos", "_token")
+    left = rows.join(stop, F.lower("_token") == F.col("_w"), "left_anti")
+    lists = left.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("_pos", "_token"))).alias("_l"))
+    none = F.when(F.col(tokens).isNotNull(), F.array().cast("array<string>"))
+    return df.select(id_col, tokens).join(lists, id_col, "left").select(
+        id_col, F.coalesce(F.col("_l")["_token"], none).alias(out))
+
+
 def hashed_tf(df: DataFrame, id_col: str = "Id", words: str = "words",
               num_features: int = NUM_FEATURES,
               keep: tuple[str, ...] = ()) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from forumlens.operators import mining as MN
 from forumlens.plans.registry import query
-from forumlens.session import materialize
+from forumlens.session import materialize, shared_path
 from forumlens.sources import fixtures as fx
 from forumlens.sources import formats as fmt
 
@@ -70,3 +70,16 @@ def association_rules(spark, sf):
     model = MN.fit_fpgrowth(materialize(fx.order_baskets(spark, sf), "baskets"), min_support=MIN_SUPPORT,
                             min_confidence=MIN_CONFIDENCE)
     return MN.association_rules(model)
+
+
+@query("basket_file", """SELECT '[' || array_to_string(t, ',') || ']' AS items, count(*) AS n FROM (
+  SELECT id, string_split(trim(array_to_string(list_sort(list(DISTINCT item)), ' ')), ' ') AS t
+  FROM (SELECT l_orderkey AS id, p_name AS item FROM lineitem JOIN part ON l_partkey = p_partkey) GROUP BY id)
+GROUP BY ALL""")
+def basket_file(spark, sf):
+    """The baskets written as text lines in the shared folder, read back
+    and counted."""
+    path = shared_path(spark, "baskets")
+    fx.order_baskets(spark, sf).select(fmt.basket_line()).write.text(path)
+    items = F.concat(F.lit("["), F.array_join("items", ","), F.lit("]")).alias("items")
+    return fmt.read_baskets(spark, path).groupBy(items).agg(F.count(F.lit(1)).alias("n"))

@@ -56,6 +56,16 @@ def nb_label_stats(spark, sf):
     return C.label_feature_sums_long(_parsed(spark, sf))
 
 
+@query("nb_file", f"""SELECT label, pos, count(*) AS n, sum(value) AS total
+FROM ({_NB_ROWS}) GROUP BY label, pos""")
+def nb_file(spark, sf):
+    """The multi-label lines written as text in the shared folder, read
+    back and summed per label."""
+    path = shared_path(spark, "multilabel")
+    _lines(spark, sf).select("value").write.text(path)
+    return C.label_feature_sums_long(C.explode_labels(fmt.read_multilabel_vectors(spark, path)))
+
+
 _DOC_TF = f"""tf AS (SELECT Id, {sql.md5_bucket('w', V)} AS bucket, count(*) AS tf
   FROM (SELECT doc_id AS Id, unnest({_sql_words(_CLEAN_DOC)}) AS w FROM documents)
   GROUP BY ALL),
@@ -196,6 +206,31 @@ def svm_metrics(spark, sf):
         "accuracy", F.lit(areas["auc_roc"]).alias("auc_roc"), F.lit(areas["auc_pr"]).alias("auc_pr"))
 
 
+_SAMPLED = {0.0: K.CLASS_SAMPLE_FRACTION, 1.0: K.CLASS_SAMPLE_FRACTION}
+# (kind, tag, how it is labelled and trained): the programs' three estimators
+CERTIFIED = [("lr_lbfgs", "en", {}), ("svm", "de", {}),
+             ("lr", "src1", {"match": "substring", "sample": _SAMPLED, "num_features": K.PIPELINE_NUM_FEATURES})]
+
+
+@query("model_certificates", " UNION ALL ".join(f"""
+SELECT '{kind}' AS model, '{tag}' AS tag, count(*) AS n, count_if({label}) AS n_pos, TRUE AS near_optimal, TRUE AS loss_fell
+FROM documents WHERE {sql.md5_unit('doc_id')} < {part}""" for kind, tag, label, part in (
+    ("lr_lbfgs", "en", "lang = 'en' OR source = 'en'", K.HOLDOUT_WEIGHTS[0]),
+    ("svm", "de", "lang = 'de' OR source = 'de'", K.HOLDOUT_WEIGHTS[0]),
+    ("lr", "src1", "contains('<' || lang || '><' || source || '>', 'src1')", K.CLASS_SAMPLE_FRACTION))))
+def model_certificates(spark, sf):
+    """M1, M2, M5 with X4-X6: each estimator's training rows counted, and its
+    gradient at the fitted coefficients against the one at 0."""
+    docs = materialize(_docs(spark, sf), "clean-docs")
+    rows = []
+    for kind, tag, how in CERTIFIED:
+        model, _ = C.train_one_tag(docs, tag, kind=kind, **how)
+        train, _ = C.training_rows(docs, tag, **{k: v for k, v in how.items() if k != "num_features"})
+        c = C.certificate(model, train, kind)
+        rows.append((kind, tag, c["n"], c["n_pos"], c["near_optimal"], c["loss"] < c["start_loss"]))
+    return spark.createDataFrame(rows, "model string, tag string, n long, n_pos long, near_optimal boolean, loss_fell boolean")
+
+
 def _vocabulary(docs):
     return docs.select(F.explode(tag_array("Tags")).alias("TagName")).distinct()
 

@@ -75,12 +75,9 @@ def qa_join(spark, sf):
     return P.qa_join(fx.qa_posts(spark, sf), sort=True)
 
 
-@query("answers_inherit_tags", f"""WITH {sql.POSTS_CTE},
-a AS (SELECT Id, PostTypeId, ParentId, OwnerUserId, Score FROM posts
-      WHERE PostTypeId = 2 AND ParentId IS NOT NULL),
-q AS (SELECT Id AS qid, Tags FROM posts WHERE Id IS NOT NULL)
-SELECT a.Id, a.PostTypeId, a.ParentId, q.Tags, a.OwnerUserId, a.Score
-FROM a JOIN q ON a.ParentId = q.qid""")
+@query("answers_inherit_tags", f"""SELECT CAST(NULL AS BIGINT) AS Id, 2 AS PostTypeId, l_orderkey AS ParentId,
+       {sql.ORDER_TAGS} AS Tags, l_suppkey AS OwnerUserId, CAST(l_quantity AS DOUBLE) AS Score
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def answers_inherit_tags(spark, sf):
     return P.answers_inherit_tags(fx.qa_posts(spark, sf))
 
@@ -185,6 +182,28 @@ def avg_by_key(spark, sf):
                       F.round("mean", 6).alias("mean"))
 
 
+@query("key_map", """SELECT l_orderkey, l_linenumber, value FROM lineitem LEFT JOIN (
+  SELECT o_custkey, round(sum(o_totalprice), 2) AS value FROM orders GROUP BY o_custkey) ON l_suppkey = o_custkey""")
+def key_map(spark, sf):
+    """All order prices of each customer as hash-bucketed maps, looked up by
+    another table's keys (suppliers read as customers; some have no order)."""
+    o = fx.read_table(spark, sf, "orders")
+    maps = materialize(S.as_key_map(S.avg_by_key(o, "o_custkey", "o_totalprice"), "o_custkey", "total"), "key-map")
+    li = fx.read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey")
+    return S.look_up(li, maps, "l_suppkey").select("l_orderkey", "l_linenumber", F.round("value", 2).alias("value"))
+
+
+@query("literal_tag_scores", """SELECT TagId, CAST(n AS BIGINT) AS n FROM (VALUES ('1-urgent'), ('o'), ('no-such-tag')) v(TagId)
+LEFT JOIN (SELECT replace(lower(o_orderpriority), ' ', '-') AS TagId, count(*) AS n FROM orders GROUP BY ALL
+           UNION ALL SELECT lower(o_orderstatus), count(*) FROM orders GROUP BY ALL) USING (TagId)""")
+def literal_tag_scores(spark, sf):
+    """A literal list of tags as a source, joined to the questions' tag
+    counts."""
+    tags = spark.createDataFrame([("1-urgent",), ("o",), ("no-such-tag",)], "TagId string")
+    counts = TG.explode_tags(P.questions(fx.qa_posts(spark, sf)).select("Tags")).groupBy("TagId").agg(F.count(F.lit(1)).alias("n"))
+    return tags.join(counts, "TagId", "left")
+
+
 _TRIM_SQL = ("regexp_replace(regexp_replace(line, '^[\\x00-\\x20]+', ''), "
              "'[\\x00-\\x20]+$', '')")
 
@@ -243,6 +262,16 @@ def xml_tags(spark, sf):
     return fmt.typed_tags(fmt.parse_tags_xml_lines(lines, "value"))
 
 
+@query("xml_tags_file", """SELECT CAST(row_number() OVER (ORDER BY event_type) AS BIGINT) AS Id,
+       event_type AS TagName, count(*) AS Count FROM events GROUP BY event_type""")
+def xml_tags_file(spark, sf):
+    """The tags written as an XML dump in the shared folder, read back
+    with the XML data source."""
+    path = shared_path(spark, "tags-xml")
+    sinks.write_tags_xml(fx.event_tags(spark, sf), path)
+    return fmt.typed_tags(fmt.read_tags_xml(spark, path))
+
+
 _JSON_Q = """SELECT CAST(o_orderkey AS VARCHAR) AS Id, CAST(o_custkey AS VARCHAR) AS OwnerUserId,
          {tags} AS Tags, CAST(NULL AS VARCHAR) AS AcceptedAnswerId,
          CAST(NULL AS VARCHAR) AS Body, CAST(NULL AS VARCHAR) AS AnswerCount

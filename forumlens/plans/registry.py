@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
 
 def _load() -> None:
     # importing the modules registers their queries
-    from forumlens.plans import qa, text, evaluation, models, mining, graph  # noqa: F401
+    from forumlens.plans import chain, evaluation, graph, mining, models, qa, text  # noqa: F401
 
 
 def all_queries() -> dict[str, QueryFn]:

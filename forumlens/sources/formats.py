@@ -14,10 +14,7 @@ from forumlens.constants import USER_TAG_CSV, POSTS_WRAPPER, XML_PROLOG_PREFIX
 from forumlens.schemas import (JSON_POSTS, POST_FIELDS, RAW_POSTS, RAW_TAGS,
                                TAG_FIELDS, USER_TAG)
 
-_XML_OPTS = {"attributePrefix": "", "mode": "FAILFAST"}
-
-# Upper bound on the rows of a word list collected to the driver.
-MAX_WORD_LIST = 100_000
+_XML_OPTS = {"attributePrefix": "", "mode": "FAILFAST", "ignoreSurroundingSpaces": "false"}
 
 
 # ---- XML -------------------------------------------------------------------
@@ -27,7 +24,9 @@ def _xml_escape(c: Column) -> Column:
     c = F.replace(c, F.lit("<"), F.lit("&lt;"))
     c = F.replace(c, F.lit(">"), F.lit("&gt;"))
     c = F.replace(c, F.lit('"'), F.lit("&quot;"))
-    return F.replace(c, F.lit("\n"), F.lit("&#xA;"))
+    for char, ref in (("\t", "&#x9;"), ("\n", "&#xA;"), ("\r", "&#xD;")):
+        c = F.replace(c, F.lit(char), F.lit(ref))
+    return c
 
 
 def xml_row_line(columns: list[str]) -> Column:
@@ -52,6 +51,7 @@ def read_posts_xml(spark: SparkSession, path: str, mode: str = "FAILFAST") -> Da
     """
     df = (spark.read.format("xml").option("rowTag", "row")
           .option("attributePrefix", "").option("mode", mode)
+          .option("ignoreSurroundingSpaces", "false")
           .schema(RAW_POSTS).load(path))
     return raw_defaults(df, POST_FIELDS)
 
@@ -60,6 +60,7 @@ def read_tags_xml(spark: SparkSession, path: str, mode: str = "FAILFAST") -> Dat
     """A ``Tags.xml`` -> raw ``(Id, TagName, Count)`` strings."""
     df = (spark.read.format("xml").option("rowTag", "row")
           .option("attributePrefix", "").option("mode", mode)
+          .option("ignoreSurroundingSpaces", "false")
           .schema(RAW_TAGS).load(path))
     return raw_defaults(df, TAG_FIELDS)
 
@@ -155,19 +156,10 @@ def typed_user_tag(df: DataFrame) -> DataFrame:
                      F.expr("try_cast(nullif(Score, '') AS DOUBLE)").alias("TotalScore"))
 
 
-def read_word_list(spark: SparkSession, path: str,
-                   limit: int = MAX_WORD_LIST) -> list[str]:
-    """One word per line -> a Python list (for StopWordsRemover).
-
-    The list is counted before it is collected and refused above ``limit``.
-    """
-    df = spark.read.text(path).select(java_trim_col("value").alias("w")).where(
-        F.col("w") != "")
-    n = df.count()
-    if n > limit:
-        raise ValueError(f"word list has {n} entries (> {limit}); "
-                         "use an anti-join against the table instead")
-    return [r["w"] for r in df.collect()]
+def read_word_list(spark: SparkSession, path: str) -> DataFrame:
+    """One word per line -> ``(word)``, trimmed, without empty lines; for
+    ``text.remove_stop_words_table``."""
+    return spark.read.text(path).select(java_trim_col("value").alias("word")).where(F.col("word") != "")
 
 
 def java_trim_col(c: str) -> Column:
@@ -186,6 +178,11 @@ def read_baskets(spark: SparkSession, path: str) -> DataFrame:
     return parse_basket_lines(spark.read.text(path))
 
 
+def basket_line(items: str = "items") -> Column:
+    """One basket as a line of ``read_baskets``."""
+    return F.array_join(items, " ")
+
+
 def parse_multilabel_lines(df: DataFrame, col: str = "value") -> DataFrame:
     """``l1,l2#f1 f2 f3`` -> ``(labels array<double>, features array<double>)``
     (other columns kept)."""

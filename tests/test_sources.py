@@ -1,7 +1,9 @@
 """Hand-written XML / JSON / CSV / text inputs (FIXTURES.md section 2)."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from forumlens.operators import text as X
 from forumlens.sources import formats as fmt
 from forumlens.sources import sinks
 
@@ -91,12 +93,49 @@ def test_user_tag_csv_keeps_every_string(spark, tmp_path):
     assert {r["UserId"]: r["TagId"] for r in back.collect()} == dict(enumerate(tags))
 
 
-def test_word_list_and_limit(spark, tmp_path):
+def test_word_list(spark, tmp_path):
     p = tmp_path / "en.txt"
     p.write_text("a\nthe \n\n\tof\n")
-    assert sorted(fmt.read_word_list(spark, str(p))) == ["a", "of", "the"]
-    with pytest.raises(ValueError):
-        fmt.read_word_list(spark, str(p), limit=2)
+    assert sorted(r["word"] for r in fmt.read_word_list(spark, str(p)).collect()) == ["a", "of", "the"]
+
+
+def test_stop_words_of_any_number(spark, tmp_path):
+    """More words than the driver list of earlier versions could take."""
+    p = tmp_path / "many.txt"
+    p.write_text("\n".join(f"w{i}" for i in range(120_000)) + "\nThe\n")
+    rows = [(1, ["the", "W7", "keep", "THE", "keep", "w119999"]), (2, []), (3, None), (4, ["w5"])]
+    df = spark.createDataFrame(rows, "Id long, tokens array<string>")
+    got = {r["Id"]: r["words"] for r in X.remove_stop_words_table(df, fmt.read_word_list(spark, str(p))).collect()}
+    assert got == {1: ["keep", "keep"], 2: [], 3: None, 4: []}
+
+
+def test_xml_keeps_every_character(spark, tmp_path):
+    texts = ["  lead and trail ", "a\nb\tc\rd", "<p>x &amp; \"y\"</p>", "\u00e9\U0001f600", ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "Id long, Body string")
+    sinks.write_posts_xml(df, str(tmp_path / "x"))
+    back = {int(r["Id"]): r["Body"] for r in fmt.read_posts_xml(spark, str(tmp_path / "x")).collect()}
+    lines = fmt.parse_posts_xml_lines(df.select(fmt.xml_row_line(["Id", "Body"]).alias("value")))
+    assert back == dict(enumerate(texts)) == {int(r["Id"]): r["Body"] for r in lines.collect()}
+
+
+def test_store_readers_see_whole_versions(spark, tmp_path):
+    store = sinks.ModelStore(str(tmp_path / "v"))
+
+    def tables(x):
+        w = spark.createDataFrame([("a", 1, x), ("b", 2, x)], "tag string, bucket int, w double")
+        return w, w.select("tag", F.col("w").alias("b")), w.select("tag")
+
+    first = store.write_weights(*tables(1.0))
+    w, b = store.weights(spark)                               # a reader, pinned to the first version
+    other = sinks.ModelStore(str(tmp_path / "v"))             # a retrain, under way
+    tables(2.0)[0].write.parquet(other._path(other.run, "weights"))
+    assert store.latest(spark) == first
+    assert {r["w"] for r in store.weights(spark)[0].collect()} == {1.0}
+    second = store.write_weights(*tables(3.0))
+    assert store.latest(spark) == second != first
+    assert {r["w"] for r in w.collect()} == {1.0} == {r["b"] for r in b.collect()}
+    assert {r["w"] for r in store.weights(spark)[0].collect()} == {3.0}
+    assert {r["w"] for r in store.weights(spark, first)[0].collect()} == {1.0}
 
 
 def test_baskets_and_multilabel(spark, tmp_path):

@@ -78,6 +78,19 @@ def test_avg_by_key_combiner_literal(spark):
     assert m == {"Fred": 3, "Wilma": 3}
 
 
+def test_key_map_of_any_size(spark, monkeypatch):
+    monkeypatch.setattr(S, "KEYS_PER_MAP", 50)
+    df = spark.range(1000).select(F.concat(F.lit("k"), F.col("id")).alias("k"), F.col("id").alias("v"))
+    df = df.union(spark.createDataFrame([(None, 5)], "k string, v long"))
+    maps = S.as_key_map(df, "k", "v")
+    assert maps.count() > 10 and maps.agg(F.sum(F.size("map"))).first()[0] == 1000
+    asked = spark.createDataFrame([("k7",), ("k999",), ("no",), (None,), ("k7",)], "k string")
+    assert sorted((r["k"] or "", r["value"]) for r in S.look_up(asked, maps, "k").collect()) == [
+        ("", None), ("k7", 7), ("k7", 7), ("k999", 999), ("no", None)]
+    empty = S.look_up(asked, S.as_key_map(df.limit(0), "k", "v"), "k")
+    assert {r["value"] for r in empty.collect()} == {None}
+
+
 def test_top_experts_ties_and_numeric_order(spark):
     df = spark.createDataFrame([(1, "t", 9.0), (2, "t", 10.0), (3, "t", 10.0), (4, "u", 1.0)],
                                "UserId long, TagId string, TotalScore double")
