@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -85,12 +86,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+_STAGING: list[str] = []      # folders of the open ``staging`` blocks
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
+    base = _STAGING[-1] if _STAGING else ensure_checkpoint_dir(spark)
     return os.path.join(base.rstrip("/"), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+@contextmanager
+def staging(spark: SparkSession, name: str):
+    """Tables staged in this block lie in one folder, which it yields, to be
+    deleted by ``delete_path`` once what was built from them is written."""
+    _STAGING.append(shared_path(spark, name))
+    try:
+        yield _STAGING[-1]
+    finally:
+        _STAGING.pop()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, path = _hadoop(spark, path)
+    fs.delete(path, True)
+
+
 def materialize(df, name: str = "stage"):
     """Compute ``df`` once and cut its lineage: written as a Parquet table in
     the shared checkpoint folder and read back.  Survives executor loss
@@ -108,8 +128,7 @@ def materialize(df, name: str = "stage"):
 def discard(df) -> None:
     """Delete the staged table that ``materialize`` returned as ``df``.  For
     tables that nothing reads any more: a job that still does would fail."""
-    fs, path = _hadoop(df.sparkSession, df._staged)
-    fs.delete(path, True)
+    delete_path(df.sparkSession, df._staged)
 
 
 _SHIPPED: set[str] = set()    # applications that have the package
