@@ -3,17 +3,12 @@ row structs and connected components."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.session import ensure_checkpoint_dir, materialize, shared_path
+from forumlens.session import ensure_checkpoint_dir, materialize, shared_path, ship_package
 
 __all__ = ["arrow_session", "connected_components", "held_out", "materialize",
            "row_struct", "shared_path", "read_table", "struct_field"]
@@ -21,32 +16,12 @@ __all__ = ["arrow_session", "connected_components", "held_out", "materialize",
 # an Arrow batch sent to a Python worker holds at most so many bytes (or one
 # row): very long texts then never gather in one batch
 ARROW_BATCH_BYTES = "8m"
-_SHIPPED: set[str] = set()   # applications that have the package
-
-
-def ship_package(sc: SparkContext) -> None:
-    """Send this package to the Python workers (once per application), so
-    that it need not be installed on the executors."""
-    name = f"{__name__.split('.')[0]}.zip"
-    if sc.applicationId in _SHIPPED:
-        return
-    _SHIPPED.add(sc.applicationId)
-    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    path = os.path.join(tempfile.mkdtemp(), name)      # the driver serves it
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-        for folder, _, files in os.walk(os.path.join(root, name[:-4])):
-            for f in files:
-                if not f.endswith(".pyc"):
-                    full = os.path.join(folder, f)
-                    z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(path)
-
 
 def arrow_session(df: DataFrame) -> SparkSession:
     """The session, with the package on its workers, Arrow batches bounded in
     bytes and the shared checkpoint folder known."""
     spark = df.sparkSession
-    ship_package(spark.sparkContext)
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH_BYTES)
     ensure_checkpoint_dir(spark)
     return spark

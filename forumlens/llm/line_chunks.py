@@ -11,7 +11,9 @@ doc_id, then place in the text) and removed everywhere else.
 Repeats are found by a 128-bit hash of each chunk (an aggregate that is
 partial in every task, so a chunk that a third of all documents hold does
 not gather in one), then compared byte by byte: a hash whose chunks differ is
-resolved by the chunks' text.
+resolved by the chunks' text.  What is joined with all texts grows in
+proportion to them, so these joins are sort-merge joins at every size; the
+places of one chunk are salted.
 
 Defined results: a null text stays null, an empty one empty; a text whose
 chunks all repeat earlier ones becomes empty; single lines are never removed;
@@ -38,6 +40,7 @@ from forumlens.plans.sql import md5_int
 DIVISOR = 3                   # a chunk has about three lines
 MIN_LINES = 2                 # "multi-line"
 MODULUS, FACTOR = 1_000_003, 31   # of the rolling hash
+SALTS = 16                    # tasks that share the places of a chunk
 WORDS, COPY = 5, (4, 5)       # words of a shingle, Jaccard similarity of a copy
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -85,6 +88,14 @@ def _places(texts: DataFrame) -> DataFrame:
     return materialize(places, "chunks")
 
 
+def _salted(places: DataFrame, again: DataFrame) -> DataFrame:
+    """``places`` of the chunks in ``again``; the places of one chunk go to
+    ``SALTS`` tasks."""
+    left = places.withColumn("_salt", F.pmod(F.xxhash64("r1", "pos"), F.lit(SALTS)))
+    right = again.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return left.join(right, ["c1", "c2", "_salt"]).drop("_salt")
+
+
 def _again(places: DataFrame) -> DataFrame:
     """(c1, c2, first): the first place of each chunk that occurs again."""
     return (places.groupBy("c1", "c2").agg(F.count("*").alias("n"), F.min(F.struct("d", "r1", "r2", "pos")).alias("first"))
@@ -108,11 +119,11 @@ def without_copies(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
     docs = _keyed(docs, f"_c{names.index(doc_id)}", f"_c{names.index(text)}")
     texts = docs.select("text", "d", "r1", "r2")
     places = _places(texts)
-    pairs = places.join(_again(places), ["c1", "c2"]).select(
+    pairs = _salted(places, _again(places)).select(
         "r1", "r2", F.col("first.r1").alias("f1"), F.col("first.r2").alias("f2"))
     pairs = materialize(pairs.where("r1 <> f1 or r2 <> f2").distinct(), "pairs")
     some = pairs.select("r1", "r2").union(pairs.select("f1", "f2")).distinct()
-    sets = _with_shingles(texts.join(some, ["r1", "r2"]).dropDuplicates(["r1", "r2"]), F.col("text"))
+    sets = _with_shingles(texts.join(some.hint("merge"), ["r1", "r2"]).dropDuplicates(["r1", "r2"]), F.col("text"))
     sets = materialize(sets.select("r1", "r2", "s", F.size("s").alias("n")), "shingles")
     # sizes first: a pair that can be a copy has two sets of about one size
     sizes = sets.select("r1", "r2", "n")
@@ -124,7 +135,7 @@ def without_copies(documents: DataFrame, *, doc_id: str = "doc_id", text: str =
         sets.select(F.col("r1").alias("f1"), F.col("r2").alias("f2"), F.col("s").alias("fs")), ["f1", "f2"])
     both = both.select("r1", "r2", "n", "fn", F.size(F.array_intersect("s", "fs")).alias("i"))
     copies = both.where(q * F.col("i") >= p * (F.col("n") + F.col("fn") - F.col("i"))).select("r1", "r2").distinct()
-    left = docs.join(materialize(copies, "copies"), ["r1", "r2"], "left_anti")
+    left = docs.join(materialize(copies, "copies").hint("merge"), ["r1", "r2"], "left_anti")
     return left.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(names)))
 
 
@@ -144,11 +155,11 @@ def dedup(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -
     texts = docs.select("text", "d", "r1", "r2")
     places = _places(texts)
     place = F.struct("d", "r1", "r2", "pos")
-    found = materialize(places.join(_again(places), ["c1", "c2"])
+    found = materialize(_salted(places, _again(places))
                         .withColumn("extra", place != F.col("first")).drop("first"), "repeats")
     # byte comparison of all repeats of a hash
     at = found.groupBy("r1", "r2").agg(F.collect_set(F.struct("pos", "c1", "c2")).alias("at"))
-    whole = with_chunks(texts.join(at, ["r1", "r2"]), F.col("text"))
+    whole = with_chunks(texts.join(at.hint("merge"), ["r1", "r2"]), F.col("text"))
     same = whole.select("d", "r1", "r2", F.inline(F.transform("at", lambda a: F.struct(
         a["pos"].alias("pos"), a["c1"].alias("c1"), a["c2"].alias("c2"),
         F.get("chunks", a["pos"])["chunk"].alias("chunk")))))
@@ -164,7 +175,7 @@ def dedup(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -
             odd.join(lines, ["r1", "r2", "pos"]))
     drop = extra.groupBy("r1", "r2").agg(F.collect_set("pos").alias("drop"))
     # one shuffle of the texts; only texts with something to remove are cut
-    rows = docs.drop("d", "text").join(drop, ["r1", "r2"], "left")
+    rows = docs.drop("d", "text").join(drop.hint("merge"), ["r1", "r2"], "left")
     rows = with_chunks(rows, F.when(F.col("drop").isNotNull(), F.col(body)))
     rows = _once(rows, F.filter("chunks", lambda c, i: ~F.array_contains("drop", i)), "_kept")
     size = F.aggregate("chunks", F.lit(0).cast("long"), lambda s, c: s + c["lines"])

@@ -28,7 +28,7 @@ from forumlens.llm.common import arrow_session, row_struct, struct_field
 from forumlens.llm.lattice import Lattice, Sampler, units, vocabulary
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-BLOCK_BYTES = 6 << 20        # text bytes handled at once (one longer text alone)
+BLOCK_BYTES = 2 << 20        # text bytes handled at once (one longer text alone)
 
 
 def encode_batch(texts, keys, vocab, logp, seed: int):

@@ -281,7 +281,7 @@ def prefix_entries(docs: DataFrame, order, n_buckets: int, chosen: DataFrame, ki
     texts = docs.select("text", "th2", "th1", F.coalesce("doc_id", F.lit(-1)).alias("d"))
     # rows that repeat id and text go before the join
     rest = texts.mapInArrow(_in_bloom(bloom, True), texts.schema).dropDuplicates(["d", "th1", "th2"])
-    rest = rest.join(chosen.select("d", "th1", "th2"), ["d", "th1", "th2"])
+    rest = rest.join(chosen.select("d", "th1", "th2").hint("merge"), ["d", "th1", "th2"])
     run, outside = _prefixes(order, n_buckets, threshold), _in_bloom(bloom, False)
 
     def alone(batches):                  # one Python worker filters and shingles
@@ -386,7 +386,7 @@ def _texts_of(cids: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     bloom = _bloom(chosen)
     kept = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("d"), "text", "th1", "th2")
     kept = kept.mapInArrow(_in_bloom(bloom, True), kept.schema)
-    return materialize(kept.join(chosen, ["d", "th1", "th2"]).select("cid", "text")
+    return materialize(kept.join(chosen.hint("merge"), ["d", "th1", "th2"]).select("cid", "text")
                        .dropDuplicates(["cid"]), "texts")
 
 
@@ -399,8 +399,9 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words=WORDS,
         pairs = _possible(pairs, sets, threshold)
     cids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
     t = _texts_of(cids, sets, docs)
-    both = (pairs.join(t.select(F.col("cid").alias("a"), F.col("text").alias("ta")), "a")
-            .join(t.select(F.col("cid").alias("b"), F.col("text").alias("tb")), "b")
+    # texts grow with the input: the same joins at every size
+    both = (pairs.join(t.select(F.col("cid").alias("a"), F.col("text").alias("ta")).hint("merge"), "a")
+            .join(t.select(F.col("cid").alias("b"), F.col("text").alias("tb")).hint("merge"), "b")
             .select("a", "b", "ta", "tb"))
     return materialize(both.mapInArrow(_verify(words, threshold), "a long, b long"), "links")
 
