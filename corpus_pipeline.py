@@ -15,11 +15,16 @@ again; all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
+import gc
+import os
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.llm import decontaminate, language_id, line_chunks, sampling_tokenizer, signature_join
 from forumlens.llm.common import held_out, materialize, read_table
+from forumlens.session import delete_path, discard, staging
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,12 +53,38 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
                       "lossless", "ids")
 
 
+_LEFT: list[str] = []          # folders of tables that earlier stages staged
+
+
+def _tidy(spark: SparkSession, docs: DataFrame) -> None:
+    """Delete what earlier stages staged, once their output is written: as
+    long as the rows of ``docs`` still come from it, it stays."""
+    files = docs.inputFiles()
+    for path in [p for p in _LEFT if not any(os.path.basename(p) in f for f in files)]:
+        delete_path(spark, path)
+        _LEFT.remove(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()        # Spark then drops the shuffles of finished stages
+
+
+def _stage(name: str, function):
+    """The stage in a folder of its own for what it stages."""
+    @wraps(function)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        _tidy(spark, docs)
+        with staging(spark, name) as path:
+            out = function(spark, docs, sf_dir)
+        _LEFT.append(path)
+        return out
+    return name, run
+
+
 STAGES = [
-    ("language_id", identify_language),
-    ("line_dedup", dedup_lines),
-    ("ngram_jaccard_join", join_near_duplicates),
-    ("benchmark_decontamination", remove_benchmark),
-    ("sentencepiece", encode_pieces),
+    _stage("language_id", identify_language),
+    _stage("line_dedup", dedup_lines),
+    _stage("ngram_jaccard_join", join_near_duplicates),
+    _stage("benchmark_decontamination", remove_benchmark),
+    _stage("sentencepiece", encode_pieces),
 ]
 
 # language ID and sampled segmentations are not expressible in SQL; tests
@@ -63,7 +94,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole of ``documents``."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
