@@ -46,8 +46,8 @@ from forumlens.llm.common import arrow_session, materialize
 LEAST = 30                    # occurrences of a candidate
 TOP = 2000                    # candidates reported per language (the report's size)
 SCALE = 2_000_000             # of the score
-BUNDLE_BYTES = 16 << 20       # text of a bundle, about
-SHARD = 1 << 20               # occurrences per shard, about
+BUNDLE_BYTES = 6 << 20        # text of a bundle, about
+SHARD = 1 << 19               # occurrences per shard, about
 IDS_PER_BUCKET = 100_000      # ids dealt out by one task, about
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\x0d\t",
                         b"abcdefghijklmnopqrstuvwxyz\n\n\n\n\n\n\n\n\n ")
@@ -63,7 +63,7 @@ def _numbered(texts: list[str | None], offset: int) -> tuple[pa.Array, np.ndarra
     words = pc.list_flatten(pc.split_pattern(pa.array([data.decode()], pa.large_string()), " "))
     coded = words.dictionary_encode()
     numbers, names = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
-    number_of = np.full(len(names), -2, np.int64)
+    number_of = np.full(len(names), -2, np.int32)
     real = np.array([n not in ("", "\n") for n in names.to_pylist()], bool)
     number_of[real] = offset + np.arange(int(real.sum()))
     at = pc.index(names, pa.scalar("\n", names.type)).as_py()
@@ -89,16 +89,17 @@ def _bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, texts in held.items():
             names, numbers = _numbered(texts, offset)
             offset += len(names)
-            langs += [lang] * len(names)
+            langs.append(pa.repeat(pa.scalar(lang, pa.string()), len(names)))
             words.append(names)
             at += [numbers, np.array([-1], np.int32)]
         at = np.concatenate(at) if at else np.zeros(0, np.int32)
         counts = np.bincount(at[at >= 0], minlength=offset)
         made, size, held = made + 1, 0, {}
-        return pa.RecordBatch.from_arrays([
-            pa.array([base + made - 1]), pa.array([langs], pa.list_(pa.string())),
-            pa.array([[w for x in words for w in x.to_pylist()]], pa.list_(pa.string())),
-            pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([at.tobytes()], pa.binary())], schema=BUNDLES)
+        ends = pa.array([0, offset], pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, x) for x in (
+            pa.concat_arrays(langs), pa.concat_arrays(words), pa.array(counts.astype(np.int64)))]
+        return pa.RecordBatch.from_arrays([pa.array([base + made - 1]), *lists, pa.array([at.tobytes()], pa.binary())],
+                                          schema=BUNDLES)
 
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
