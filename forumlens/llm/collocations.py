@@ -222,13 +222,10 @@ def _filters(n: int, a: np.ndarray, b: np.ndarray, bits: int, shard_bits: int) -
         schema=_FILTER)
 
 
-def _ids(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per bundle: its positions, and two lists of its map (keys, ids)."""
-    for bundle, at, entries in zip(*(batch.column(i) for i in range(3))):
-        known = entries.values
-        key, id_ = ((known.field(i).to_numpy(zero_copy_only=False) for i in (0, 1)) if known is not None
-                    else (np.zeros(0, np.int64),) * 2)
-        yield bundle.as_py(), at.as_py(), key, id_
+def _known(at: pa.Table, known: pa.Table) -> tuple[int, bytes, np.ndarray, np.ndarray]:
+    """A bundle with its positions, and its part of the ids (keys, ids)."""
+    key, id_ = (known.column(c).to_numpy() if known.num_rows else np.zeros(0, np.int64) for c in ("key", "id"))
+    return at.column("bundle")[0].as_py(), at.column("at")[0].as_py(), key, id_
 
 
 def _of_pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -260,10 +257,13 @@ def frequent(filters: DataFrame, bits: int, shard_bits: int, least: int) -> Data
     return materialize(rows.groupBy("n", "shard").applyInArrow(one, "n int, a long, b long, f long"), "frequent")
 
 
-def _mapped(bundles: DataFrame, known: DataFrame) -> DataFrame:
-    """(bundle, at, ids): each bundle with its own part of the ids."""
-    ids = known.groupBy("bundle").agg(F.collect_list(F.struct("key", "id")).alias("ids"))
-    return bundles.select("bundle", "at").join(ids, "bundle")
+def _each_bundle(bundles: DataFrame, known: DataFrame, run) -> DataFrame:
+    """``run`` on each bundle (bundle, at) together with its own part of the
+    ids (bundle, key, id)."""
+    def one(at: pa.Table, ids: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(list(run(*_known(at, ids))) if at.num_rows else [], schema=_FILTER)
+
+    return bundles.select("bundle", "at").groupBy("bundle").cogroup(known.toDF("of", "key", "id").groupBy("of")).applyInArrow(one, _FILTER_DDL)
 
 
 def count_phrases(bundles: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
@@ -279,21 +279,19 @@ def count_phrases(bundles: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
     vocabulary, bits = with_ids(words.where(F.col("f") >= least), "lang", "word")
     bits = max(bits, -(-shard_bits // 2) + 1)
 
-    def first_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for bundle, at, key, id_ in _ids(batch):
-                local = np.frombuffer(at, np.int32)
-                to = np.zeros(max(int(local.max(initial=0)), int(key.max(initial=0))) + 2, np.int32)
-                to[key + 1] = id_
-                a = to[local + 1]                       # 0 between pieces and for rare words
-                start, _ = _pairs(a)
-                yield _filters(2, a[start], a[start + 1], bits, shard_bits)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(1, f.type) for f in _FILTER][:7] + [pa.array([bundle]), pa.array([a.tobytes()])], schema=_FILTER)
+    def first_round(bundle: int, at: bytes, key: np.ndarray, id_: np.ndarray) -> Iterator[pa.RecordBatch]:
+        local = np.frombuffer(at, np.int32)
+        to = np.zeros(max(int(local.max(initial=0)), int(key.max(initial=0))) + 2, np.int32)
+        to[key + 1] = id_
+        a = to[local + 1]                       # 0 between pieces and for rare words
+        start, _ = _pairs(a)
+        yield _filters(2, a[start], a[start + 1], bits, shard_bits)
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, f.type) for f in _FILTER][:7] + [pa.array([bundle]), pa.array([a.tobytes()])], schema=_FILTER)
 
     word = vocabulary.select("lang", "word", "id")
     known = held.join(word, (F.col("w.langs") == F.col("lang")) & (F.col("w.words") == F.col("word"))).select("bundle", "key", "id")
-    round1 = materialize(_mapped(bundles, known).mapInArrow(first_round, _FILTER_DDL), "pairs")
+    round1 = materialize(_each_bundle(bundles, known, first_round), "pairs")
     pairs, pair_bits = with_ids(frequent(round1, bits, shard_bits, least), "a", "b")
     pair_bits = max(pair_bits, -(-shard_bits // 2) + 1)
     coded = round1.where("bundle is not null").select("bundle", "at")
@@ -307,25 +305,23 @@ def count_phrases(bundles: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), bundle, np.int64)), pa.array(part)],
                                                      names=["bundle", "key"])
 
-    def second_round(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, at, key, id_ in _ids(batch):
-                a = np.frombuffer(at, np.int32)
-                order = np.argsort(key)
-                key, id_ = key[order], id_[order]
-                start, pair = _pairs(a)
-                spot = np.minimum(np.searchsorted(key, pair), max(len(key) - 1, 0))
-                p = np.zeros(len(a) + 3, np.int64)      # ids of the frequent pairs, by place
-                if len(key):
-                    p[start] = np.where(key[spot] == pair, id_[spot], 0)
-                two = np.flatnonzero((p[:-1] > 0) & (p[1:] > 0))
-                yield _filters(3, p[two], p[two + 1], pair_bits, shard_bits)
-                three = two[p[two + 2] > 0]
-                yield _filters(4, p[three], p[three + 2], pair_bits, shard_bits)
+    def second_round(_: int, at: bytes, key: np.ndarray, id_: np.ndarray) -> Iterator[pa.RecordBatch]:
+        a = np.frombuffer(at, np.int32)
+        order = np.argsort(key)
+        key, id_ = key[order], id_[order]
+        start, pair = _pairs(a)
+        p = np.zeros(len(a) + 3, np.int64)      # ids of the frequent pairs, by place
+        if len(key):
+            spot = np.minimum(np.searchsorted(key, pair), len(key) - 1)
+            p[start] = np.where(key[spot] == pair, id_[spot], 0)
+        two = np.flatnonzero((p[:-1] > 0) & (p[1:] > 0))
+        yield _filters(3, p[two], p[two + 1], pair_bits, shard_bits)
+        three = two[p[two + 2] > 0]
+        yield _filters(4, p[three], p[three + 2], pair_bits, shard_bits)
 
     keyed = pairs.select(((F.shiftleft("a", 31)).bitwiseOR(F.col("b"))).alias("key"), "id")
     known = coded.mapInArrow(different, "bundle long, key long").join(keyed, "key").select("bundle", "key", "id")
-    round2 = materialize(_mapped(coded, known).mapInArrow(second_round, _FILTER_DDL), "longer")
+    round2 = materialize(_each_bundle(coded, known, second_round), "longer")
     longer = frequent(round2, pair_bits, shard_bits, least)
 
     # back to words
