@@ -15,7 +15,8 @@ no two phrases share a counter.  The quotient's first bits name the shard;
 in a shard, the other quotient bits are a bit vector (runs in unary), the
 remainders are packed to whole bytes and the counts to one byte, larger ones
 aside (``encode``, ``decode``).  The sorted filters of a shard from all
-bundles are merged, and the frequent counters decoded and inverted back.
+bundles are merged, the frequent counters decoded and inverted back, and each
+bundle told which of its pairs are among them.
 
 Scale: a task holds one bundle, or the filters of one shard (about
 ``SHARD`` occurrences, as many shards as the corpus needs); one phrase that
@@ -122,18 +123,22 @@ def bundle(documents: DataFrame, lang: str = "lang", text: str = "text") -> Data
     return materialize(rows.mapInArrow(_bundle, _BUNDLES_DDL), "bundles")
 
 
-def with_ids(df: DataFrame, *key: str) -> tuple[DataFrame, int]:
+def with_ids(df: DataFrame, *key: str) -> DataFrame:
     """``df`` with a dense-enough ``id`` from 1 on for each of its rows, which
-    differ in ``key``: dealt out in buckets by hash, row by row within each.
-    Returns the written table and the bits that ids take."""
+    differ in ``key``: dealt out in buckets by hash, row by row within each."""
     buckets = max(1, math.ceil(df.count() / IDS_PER_BUCKET))
     rows = df.withColumn("_b", F.pmod(F.xxhash64(*key), F.lit(buckets)))
     place = F.row_number().over(Window.partitionBy("_b").orderBy(*key))
     out = materialize(rows.withColumn("id", (place.cast("long") - 1) * buckets + F.col("_b") + 1).drop("_b"), "ids")
-    bits = max(1, int(out.agg(F.max("id")).first()[0] or 1).bit_length())
+    return out
+
+
+def _bits(ids: DataFrame, least: int) -> int:
+    """Bits of the largest ``id``, ``least`` or more."""
+    bits = max(least, int(ids.agg(F.max("id")).first()[0] or 1).bit_length())
     if bits > 31:
         raise ValueError(f"ids of {bits} bits; a packed pair holds 31 bits each")
-    return out, bits
+    return bits
 
 
 # ---- counting quotient filters -------------------------------------------------
@@ -206,7 +211,7 @@ _FILTER = pa.schema([("n", pa.int32()), ("shard", pa.int64()), ("q", pa.int32())
 _FILTER_DDL = "n int, shard long, q int, unary binary, rest binary, small binary, large binary, bundle long, at binary"
 
 
-def _filters(n: int, a: np.ndarray, b: np.ndarray, bits: int, shard_bits: int) -> pa.RecordBatch:
+def _filters(n: int, bundle: int, a: np.ndarray, b: np.ndarray, bits: int, shard_bits: int) -> pa.RecordBatch:
     """The filters of one bundle, one per shard."""
     keys, counts = np.unique(permute(a.astype(np.uint64), b.astype(np.uint64), bits), return_counts=True)
     low = 2 * bits - shard_bits
@@ -215,17 +220,10 @@ def _filters(n: int, a: np.ndarray, b: np.ndarray, bits: int, shard_bits: int) -
     rows = [(int(shard[x]), encode(keys[x:y] & np.uint64((1 << low) - 1), counts[x:y], low))
             for x, y in zip(cuts[:-1], cuts[1:])]
     parts = list(zip(*(r[1] for r in rows))) or [()] * 5
-    none = [None] * len(rows)
     return pa.RecordBatch.from_arrays(
         [pa.array([n] * len(rows), pa.int32()), pa.array([r[0] for r in rows], pa.int64()), pa.array(parts[0], pa.int32()),
-         *(pa.array(p, pa.binary()) for p in parts[1:]), pa.array(none, pa.int64()), pa.array(none, pa.binary())],
-        schema=_FILTER)
-
-
-def _known(at: pa.Table, known: pa.Table) -> tuple[int, bytes, np.ndarray, np.ndarray]:
-    """A bundle with its positions, and its part of the ids (keys, ids)."""
-    key, id_ = (known.column(c).to_numpy() if known.num_rows else np.zeros(0, np.int64) for c in ("key", "id"))
-    return at.column("bundle")[0].as_py(), at.column("at")[0].as_py(), key, id_
+         *(pa.array(p, pa.binary()) for p in parts[1:]), pa.array([bundle] * len(rows), pa.int64()),
+         pa.nulls(len(rows), pa.binary())], schema=_FILTER)
 
 
 def _of_pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -238,30 +236,54 @@ def _pairs(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, _of_pair(a[at], a[at + 1])
 
 
-def frequent(filters: DataFrame, bits: int, shard_bits: int, least: int) -> DataFrame:
-    """(n, a, b, f): the merged counters of ``least`` or more, inverted."""
-    low = 2 * bits - shard_bits
-    out = pa.schema([("n", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("f", pa.int64())])
+def _whole(t: pa.Table, column: str, kind: str = "<i8") -> np.ndarray:
+    return np.frombuffer(b"".join(t.column(column).to_pylist()), kind)
+
+
+_FREQUENT = pa.schema([("n", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("f", pa.int64()), ("id", pa.int64()),
+                       ("bundle", pa.int64()), ("key", pa.binary()), ("ids", pa.binary())])
+_FREQUENT_DDL = "n int, a long, b long, f long, id long, bundle long, key binary, ids binary"
+
+
+def frequent(filters: DataFrame, bits: int, shard_bits: int, least: int, back: bool = False) -> DataFrame:
+    """(n, a, b, f, id): the merged counters of ``least`` or more, inverted,
+    each with an id from 1 on (its place in the shard times the number of
+    shards, plus the shard).  With ``back``, also a row per bundle and shard
+    that tells the bundle which of its pairs are frequent, and their ids."""
+    low, shards = 2 * bits - shard_bits, 1 << shard_bits
 
     def one(t: pa.Table) -> pa.Table:
-        cols = [t.column(c).to_pylist() for c in ("q", "unary", "rest", "small", "large")]
-        keys, counts = merge([decode(*row, low) for row in zip(*cols)])
+        n, shard = t.column("n")[0].as_py(), t.column("shard")[0].as_py()
+        parts = [decode(*row, low) for row in zip(*(t.column(c).to_pylist() for c in ("q", "unary", "rest", "small", "large")))]
+        keys, counts = merge(parts)
         keep = counts >= least
-        shard = np.uint64(t.column("shard")[0].as_py())
-        a, b = invert(keys[keep] | (shard << np.uint64(low) if shard else np.uint64(0)), bits)
-        return pa.Table.from_arrays([pa.array(np.full(len(a), t.column("n")[0].as_py(), np.int32)),
-                                     pa.array(a.astype(np.int64)), pa.array(b.astype(np.int64)),
-                                     pa.array(counts[keep])], schema=out)
-
-    rows = filters.where("shard is not null").select("n", "shard", "q", "unary", "rest", "small", "large")
-    return materialize(rows.groupBy("n", "shard").applyInArrow(one, "n int, a long, b long, f long"), "frequent")
+        keys, counts = keys[keep], counts[keep]
+        a, b = (x.astype(np.int64) for x in invert(keys | np.uint64(shard << low), bits))
+        ids = np.arange(len(keys), dtype=np.int64) * shards + shard + 1
+        size = len(keys)
+        out = [pa.Table.from_arrays([pa.array(np.full(size, n, np.int32)), pa.array(a), pa.array(b), pa.array(counts), pa.array(ids),
+                                     pa.nulls(size, pa.int64()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.binary())],
+                                    schema=_FREQUENT)]
+        if back and size:
+            pair, told = _of_pair(a, b), []
+            for bundle, (own, _) in zip(t.column("bundle").to_pylist(), parts):
+                at = np.minimum(np.searchsorted(keys, own), size - 1)
+                at = at[keys[at] == own]
+                told.append({"n": n, "bundle": bundle, "key": pair[at].tobytes(), "ids": ids[at].tobytes()})
+            out.append(pa.Table.from_pylist(told, schema=_FREQUENT))
+        return pa.concat_tables(out)
+
+    rows = filters.where("shard is not null").select("n", "shard", "bundle", "q", "unary", "rest", "small", "large")
+    return materialize(rows.groupBy("n", "shard").applyInArrow(one, _FREQUENT_DDL), "frequent")
 
 
 def _each_bundle(bundles: DataFrame, known: DataFrame, run) -> DataFrame:
     """``run`` on each bundle (bundle, at) together with its own part of the
     ids (bundle, key, id)."""
     def one(at: pa.Table, ids: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(list(run(*_known(at, ids))) if at.num_rows else [], schema=_FILTER)
+        if not at.num_rows:
+            return _FILTER.empty_table()
+        return pa.Table.from_batches(list(run(at.column("bundle")[0].as_py(), at.column("at")[0].as_py(), ids)), schema=_FILTER)
 
     return bundles.select("bundle", "at").groupBy("bundle").cogroup(known.toDF("of", "key", "id").groupBy("of")).applyInArrow(one, _FILTER_DDL)
 
@@ -276,36 +298,30 @@ def count_phrases(bundles: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     tokens = int(totals.agg(F.sum("n")).first()[0] or 0)
     shard_bits = max(0, math.ceil(math.log2(max(tokens, 1) / SHARD)))
-    vocabulary, bits = with_ids(words.where(F.col("f") >= least), "lang", "word")
-    bits = max(bits, -(-shard_bits // 2) + 1)
+    vocabulary = with_ids(words.where(F.col("f") >= least), "lang", "word")
+    bits = _bits(vocabulary, -(-shard_bits // 2) + 1)
 
-    def first_round(bundle: int, at: bytes, key: np.ndarray, id_: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def first_round(bundle: int, at: bytes, ids: pa.Table) -> Iterator[pa.RecordBatch]:
+        key, id_ = (np.asarray(ids.column(c)) for c in ("key", "id"))
         local = np.frombuffer(at, np.int32)
         to = np.zeros(max(int(local.max(initial=0)), int(key.max(initial=0))) + 2, np.int32)
         to[key + 1] = id_
         a = to[local + 1]                       # 0 between pieces and for rare words
         start, _ = _pairs(a)
-        yield _filters(2, a[start], a[start + 1], bits, shard_bits)
+        yield _filters(2, bundle, a[start], a[start + 1], bits, shard_bits)
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(1, f.type) for f in _FILTER][:7] + [pa.array([bundle]), pa.array([a.tobytes()])], schema=_FILTER)
 
     word = vocabulary.select("lang", "word", "id")
     known = held.join(word, (F.col("w.langs") == F.col("lang")) & (F.col("w.words") == F.col("word"))).select("bundle", "key", "id")
     round1 = materialize(_each_bundle(bundles, known, first_round), "pairs")
-    pairs, pair_bits = with_ids(frequent(round1, bits, shard_bits, least), "a", "b")
-    pair_bits = max(pair_bits, -(-shard_bits // 2) + 1)
-    coded = round1.where("bundle is not null").select("bundle", "at")
-
-    def different(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for bundle, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                keys = np.unique(_pairs(np.frombuffer(at, np.int32))[1])
-                for x in range(0, len(keys), 1 << 16):
-                    part = keys[x:x + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), bundle, np.int64)), pa.array(part)],
-                                                     names=["bundle", "key"])
-
-    def second_round(_: int, at: bytes, key: np.ndarray, id_: np.ndarray) -> Iterator[pa.RecordBatch]:
+    merged = frequent(round1, bits, shard_bits, least, back=True)
+    pairs = merged.where("bundle is null").select("a", "b", "f", "id")
+    pair_bits = _bits(pairs, -(-shard_bits // 2) + 1)
+    coded = round1.where("at is not null").select("bundle", "at")
+
+    def second_round(bundle: int, at: bytes, ids: pa.Table) -> Iterator[pa.RecordBatch]:
+        key, id_ = _whole(ids, "key"), _whole(ids, "id")
         a = np.frombuffer(at, np.int32)
         order = np.argsort(key)
         key, id_ = key[order], id_[order]
@@ -315,12 +331,11 @@ def count_phrases(bundles: DataFrame, least: int = LEAST) -> tuple[DataFrame, Da
             spot = np.minimum(np.searchsorted(key, pair), len(key) - 1)
             p[start] = np.where(key[spot] == pair, id_[spot], 0)
         two = np.flatnonzero((p[:-1] > 0) & (p[1:] > 0))
-        yield _filters(3, p[two], p[two + 1], pair_bits, shard_bits)
+        yield _filters(3, bundle, p[two], p[two + 1], pair_bits, shard_bits)
         three = two[p[two + 2] > 0]
-        yield _filters(4, p[three], p[three + 2], pair_bits, shard_bits)
+        yield _filters(4, bundle, p[three], p[three + 2], pair_bits, shard_bits)
 
-    keyed = pairs.select(((F.shiftleft("a", 31)).bitwiseOR(F.col("b"))).alias("key"), "id")
-    known = coded.mapInArrow(different, "bundle long, key long").join(keyed, "key").select("bundle", "key", "id")
+    known = merged.where("bundle is not null").select("bundle", "key", "ids")
     round2 = materialize(_each_bundle(coded, known, second_round), "longer")
     longer = frequent(round2, pair_bits, shard_bits, least)
 
