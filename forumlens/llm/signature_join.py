@@ -48,6 +48,7 @@ from pyspark.sql import functions as F
 
 from forumlens.llm import textbytes as tb
 from forumlens.llm.common import arrow_session, connected_components, materialize
+from forumlens.session import discard
 
 WORDS = 5                     # words of a shingle
 THRESHOLD = (4, 5)            # similarity 0.8 as a fraction
@@ -403,7 +404,9 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words=WORDS,
     both = (pairs.join(t.select(F.col("cid").alias("a"), F.col("text").alias("ta")).hint("merge"), "a")
             .join(t.select(F.col("cid").alias("b"), F.col("text").alias("tb")).hint("merge"), "b")
             .select("a", "b", "ta", "tb"))
-    return materialize(both.mapInArrow(_verify(words, threshold), "a long, b long"), "links")
+    links = materialize(both.mapInArrow(_verify(words, threshold), "a long, b long"), "links")
+    discard(t)                           # the texts have been compared
+    return links
 
 
 def _possible(pairs: DataFrame, sets: DataFrame, threshold) -> DataFrame:
