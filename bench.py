@@ -22,7 +22,7 @@ HEADLINE = [
     "clean_text", "tok_stopwords", "hashed_tf", "nb_train",
     "score_linear_models", "frequent_itemsets", "association_rules",
     "pic_edges", "power_iteration_vector", "pic_assign", "auc_roc", "auc_pr",
-    "xml_posts", "json_qa_join", "train_one_tag",
+    "xml_posts", "json_qa_join", "train_one_tag", "predict_and_recommend", "train_all_tags",
 ]
 
 
