@@ -4,15 +4,19 @@ A page is cut into tags and text, a tree builder adds implied end tags, and
 the tree is rendered: block elements start lines (paragraph-like ones with a
 blank line), list items get their marker and indentation, table cells are
 padded to columns, ``pre`` keeps its white space, everything else collapses
-it.  Only what is never shown is left out: head, scripts, styles, templates,
-comments, form state, closed ``details`` and ``dialog`` content, and elements
-with ``hidden``, ``display:none`` or ``visibility:hidden``.
+it.  Options of a list, labels of their groups and the values of buttons are
+text too.  Only what is never shown is left out: head, scripts, styles,
+templates, comments, typed form values, closed ``details`` and ``dialog``
+content, elements with ``hidden`` or ``display:none``, and the text of those
+with ``visibility:hidden`` except in parts that are ``visibility:visible``.
 
 Building and rendering use explicit stacks, so nesting depth is not limited.
 
 Defined results: null html gives null, empty or invisible html an empty
 text; unclosed tags, quotes and comments end with the page; unknown tags are
-inline; repeated rows are each extracted; other columns are ignored.
+inline; a very long page is one value of one row; an empty table gives an
+empty one; repeated rows are each extracted; other columns are ignored.  If a
+key is called as the output column, that gets underscores until it is free.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from forumlens.llm.common import arrow_session
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style template noscript iframe noembed noframes title textarea xmp".split())
 NEVER = frozenset("head script style template noscript iframe noembed noframes title object audio video canvas "
-                  "svg datalist select map".split())
+                  "svg datalist map".split())
 HEAD = frozenset("base link meta title style script template noscript head".split())
 SPACED = frozenset("p blockquote pre ul ol dl table h1 h2 h3 h4 h5 h6 figure hr menu".split())
 BLOCK = SPACED | frozenset("address article aside body center dd details dialog dir div dt fieldset figcaption "
@@ -53,6 +57,8 @@ ENDS = {
     "thead": (frozenset("tbody thead tfoot tr td th caption".split()), frozenset(["table"])),
     "tfoot": (frozenset("tbody thead tfoot tr td th caption".split()), frozenset(["table"])),
     "body": (frozenset(["head"]), frozenset()),
+    "option": (frozenset(["option"]), frozenset("select optgroup datalist".split())),
+    "optgroup": (frozenset("option optgroup".split()), frozenset("select datalist".split())),
 }
 TABLE_PARTS = frozenset("table tr td th tbody thead tfoot caption".split())
 MAX_COLSPAN = 1000            # the standard's limit
@@ -63,15 +69,18 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)|([^<]+|<)", re.S)
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
 _WS = re.compile(r"[ \t\n\r\f]+")
-_UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-_NEEDS_ATTRS = frozenset("ol li td th details dialog textarea".split())
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(hidden|collapse|visible|initial)", re.I)
+_NEEDS_ATTRS = frozenset("ol li td th details dialog textarea input option optgroup".split())
+BUTTONS = frozenset("submit reset button".split())
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "kids", "seen")
+    __slots__ = ("tag", "attrs", "kids", "seen", "shown")
 
-    def __init__(self, tag, attrs, seen=True):
+    def __init__(self, tag, attrs, seen=True, shown=None):
         self.tag, self.attrs, self.kids, self.seen = tag, attrs, [], seen
+        self.shown = shown               # its own visibility; None: its parent's
 
 
 def _attributes(raw: str) -> dict:
@@ -136,11 +145,13 @@ def build(html: str) -> Node:
             pop_to(len(stack) - 1)
         low = raw.lower()
         attrs = _attributes(raw) if raw and (tag in _NEEDS_ATTRS or "hidden" in low or "none" in low
-                                             or "collapse" in low) else {}
+                                             or "visibility" in low) else {}
         seen = tag not in NEVER and "hidden" not in attrs and not _UNSEEN.search(attrs.get("style", ""))
         if tag == "dialog" and "open" not in attrs:
             seen = False
-        node = Node(tag, attrs, seen)
+        style = _VISIBILITY.findall(attrs.get("style", ""))
+        shown = style[-1].lower() in ("visible", "initial") if style else None
+        node = Node(tag, attrs, seen, shown)
         stack[-1].kids.append(node)
         if tag in VOID:
             continue
@@ -268,11 +279,13 @@ def table_lines(rows: list[list]) -> list[str]:
 def render(root: Node) -> str:
     pages, tables, lists = [Page()], [], []
     pre = 0
-    todo = [(root, False)]
+    todo = [(root, False, True)]
     while todo:
-        node, leaving = todo.pop()
+        node, leaving, shown = todo.pop()
         page = pages[-1]
         if isinstance(node, str):
+            if not shown:
+                continue
             if pre:
                 page.verbatim(node)
             else:
@@ -282,10 +295,18 @@ def render(root: Node) -> str:
         if not leaving:
             if not node.seen:
                 continue
+            shown = shown if node.shown is None else node.shown
             if tag == "br":
-                page.line_break()
+                if shown:
+                    page.line_break()
+                continue
+            if tag == "input":
+                if shown and node.attrs.get("type", "").strip().lower() in BUTTONS:
+                    page.text(node.attrs.get("value", ""))
                 continue
             if tag in ("textarea", "xmp"):
+                if not shown:
+                    continue
                 page.block(0)
                 page.verbatim(node.kids[0])
                 page.block(0)
@@ -319,8 +340,14 @@ def render(root: Node) -> str:
                     kids = [kids[0].removeprefix("\n"), *kids[1:]]
             elif tag == "img" or tag == "hr":
                 continue
-            todo.append((node, True))
-            todo.extend((k, False) for k in reversed(kids))
+            elif tag == "optgroup" and shown:
+                page.text(node.attrs.get("label", ""))
+                page.block(0)
+            elif tag == "option" and shown and node.attrs.get("label"):
+                page.text(node.attrs["label"])
+                kids = []                # the label is shown in its place
+            todo.append((node, True, shown))
+            todo.extend((k, False, shown) for k in reversed(kids))
             continue
         if tag in ("ul", "ol", "menu"):
             page.indent.pop()
@@ -359,13 +386,15 @@ def html_to_text(html: str) -> str:
 def extract(pages: DataFrame, *, html: str = "html", keys=("page_id",)) -> DataFrame:
     """``keys`` and ``text``, the rendered page, of every row."""
     arrow_session(pages)
-    n = len(keys)
+    n, name = len(keys), "text"
+    while name in keys:
+        name += "_"
     kept = pages.select(*keys, F.col(html))
 
     def run(batches):
         for b in batches:
             out = [None if h is None else html_to_text(h) for h in b.column(n).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(out, pa.string())],
-                                             names=[*keys, "text"])
+                                             names=[*keys, name])
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields[:n], T.StructField("text", T.StringType())]))
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields[:n], T.StructField(name, T.StringType())]))
