@@ -97,12 +97,11 @@ class TestSet:
         left = np.repeat(w.first[1:], count) - np.arange(len(code))
         need = np.minimum(window, np.repeat(count, count))
         at = np.flatnonzero(left >= need)
-        # equal windows are searched once; ``owner`` lists their items
         self.code, self.left, self.need, self.item = code, left, need, item
         self.start = at
 
 
-def search(sa, words, test_words, starts, left, doc_left):
+def search(sa, words, test_words, starts, left):
     """Longest match of every test suffix in the suffix array.
 
     The range [lo, hi) of suffixes that share the first d words narrows word
@@ -165,7 +164,7 @@ def shard_matches(texts, test: TestSet, longest: bool = True):
     best = np.zeros(len(test.start), np.int64)
     best_lo, best_hi = np.zeros_like(best), np.zeros_like(best)
     top = int(test.need.max())
-    for d, live, lo, hi in search(sa, words, test_words, test.start, test.left, count):
+    for d, live, lo, hi in search(sa, words, test_words, test.start, test.left):
         hit = test.need[test.start[live]] == d
         if hit.any():
             found.append((live[hit], lo[hit], hi[hit]))
@@ -182,6 +181,45 @@ def _expand(lo, hi):
     return np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size) + lo[which], which
 
 
+def covering_max(lo, hi, value, n):
+    """The largest ``value`` of the ranges lo..hi-1 around each of n places, 0
+    where there is none.  A range is two overlapping ones of a power of two in
+    length; these are handed down to half their length, longest first, so no
+    range is ever written out."""
+    out = np.zeros(n, np.int64)
+    level = np.frexp((hi - lo).astype(np.float64))[1] - 1      # log2, rounded down
+    for k in range(int(level.max()) if len(level) else 0, -1, -1):
+        at = level == k
+        np.maximum.at(out, lo[at], value[at])
+        np.maximum.at(out, hi[at] - (1 << k), value[at])
+        if k:
+            half = 1 << (k - 1)
+            down = out.copy()
+            np.maximum(down[half:], out[:n - half], out=down[half:])
+            out = down
+    return out
+
+
+def _occurrences(found, test, row_of):
+    """(row, item), distinct.  Equal windows have the same range of suffixes,
+    so their places are looked up once; windows with the same items count once
+    in a row."""
+    live, lo, hi = (np.concatenate(x) for x in zip(*found))
+    item = test.item[test.start[live]]
+    window, which = np.unique(np.stack([lo, hi, test.need[test.start[live]]], 1), axis=0, return_inverse=True)
+    owner = np.unique(np.stack([which.ravel(), item], 1), axis=0)
+    first = np.searchsorted(owner[:, 0], np.arange(len(window) + 1))
+    sets, kind = {}, np.zeros(len(window), np.int64)
+    for w, (a, b) in enumerate(zip(first[:-1], first[1:])):
+        kind[w] = sets.setdefault(owner[a:b, 1].tobytes(), len(sets))
+    members = [np.frombuffer(x, np.int64) for x in sets]
+    seen = set()
+    for at in range(0, len(window), 4096):           # ranges are written out in slices
+        place, w = _expand(window[at:at + 4096, 0], window[at:at + 4096, 1])
+        seen.update(np.unique(row_of[place] * len(members) + kind[at + w]).tolist())
+    return {(x // len(members), i) for x in seen for i in members[x % len(members)].tolist()}
+
+
 def merge_spans(spans):
     """Sorted, disjoint union of (start, stop) pairs."""
     out = []
@@ -203,16 +241,16 @@ def report(texts, test: TestSet):
         sa, found, best, best_lo, best_hi = got
         starts_sep = first[:-1] + np.arange(rows)        # with separators
         total = int(first[-1]) + rows
+        row_of = np.searchsorted(starts_sep, sa, "right") - 1
         cover = np.zeros(total + 1, np.int64)
-        for live, lo, hi in found:
-            place, which = _expand(lo, hi)
-            pos = sa[place]
-            suffix = test.start[live[which]]
-            np.add.at(cover, pos, 1)
-            np.add.at(cover, pos + test.need[suffix], -1)
-            row = np.searchsorted(starts_sep, pos, "right") - 1
-            for pair in np.unique(row * len(test.ids) + test.item[suffix]):
-                items[pair // len(test.ids)].add(test.ids[pair % len(test.ids)])
+        if found:
+            live, lo, hi = (np.concatenate(x) for x in zip(*found))
+            # the longest window that starts at each place
+            need = covering_max(lo, hi, test.need[test.start[live]], total)
+            np.add.at(cover, sa, need > 0)
+            np.add.at(cover, sa + need, -(need > 0).astype(np.int64))
+            for r, i in _occurrences(found, test, row_of):
+                items[r].add(test.ids[i])
         hit = np.cumsum(cover)[:-1] > 0
         edge = np.diff(np.concatenate([[False], hit, [False]]).astype(np.int8))
         for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
@@ -220,9 +258,7 @@ def report(texts, test: TestSet):
             spans[r].append((int(a - starts_sep[r]), int(b - starts_sep[r])))
         # every location of a test suffix's longest match
         at = np.flatnonzero(best >= test.need[test.start])
-        place, which = _expand(best_lo[at], best_hi[at])
-        row = np.searchsorted(starts_sep, sa[place], "right") - 1
-        np.maximum.at(longest, row, best[at][which])
+        np.maximum.at(longest, row_of, covering_max(best_lo[at], best_hi[at], best[at], total))
     return count, longest, spans, items
 
 
