@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from forumlens.llm.common import arrow_session, materialize, shared_path
 
 REVISIT_BYTES = 1000
+READ_BYTES = 64 << 20         # archive bytes that one task reads back
 ARCHIVE_BYTES = 64 << 20      # compressed bytes of an archive file
 BLOCK_LINES = 1000            # index lines in a block
 LEVEL = 1                     # zlib level of records and blocks
@@ -282,7 +283,11 @@ def read(archive: Archive) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     at = (archive.directory.select("file", "offset", "length").repartition(parts, "file", "offset")
           .mapInArrow(lines, "file string, offset long, length long"))
-    return (at.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    # the places are small, what they point to is not: partitions by the bytes
+    # of the records (a stated number is not coalesced)
+    size = archive.lines.agg(F.sum("length")).first()[0] or 0
+    parts = max(parts, -(-size // READ_BYTES))
+    return (at.repartitionByRange(parts, "file", "offset").sortWithinPartitions("file", "offset")
             .mapInArrow(_captures, _CAPTURE))
 
 
