@@ -111,15 +111,35 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs.delete(path, True)
 
 
+_DELETE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_deleted(spark: SparkSession):
+    """Spark deletes the shuffle files of a query that runs in this block as
+    soon as the query ends, not when the driver next collects garbage."""
+    before = spark.conf.get(_DELETE_SHUFFLES, None)
+    spark.conf.set(_DELETE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_DELETE_SHUFFLES)
+        else:
+            spark.conf.set(_DELETE_SHUFFLES, before)
+
+
 def materialize(df, name: str = "stage"):
     """Compute ``df`` once and cut its lineage: written as a Parquet table in
     the shared checkpoint folder and read back.  Survives executor loss
     (unlike a local checkpoint or an in-memory cache), is columnar and
     compressed (faster than a serialized RDD checkpoint), and the read-back
-    carries file statistics for the planner."""
+    carries file statistics for the planner.  The shuffle files of the write
+    go when it is done: nothing reads them again."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    with _shuffles_deleted(spark):
+        df.write.mode("overwrite").parquet(path)
     out = spark.read.parquet(path)
     out._staged = path
     return out
