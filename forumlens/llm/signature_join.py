@@ -4,7 +4,8 @@ Documents are sets of word 5-grams; two link when their Jaccard similarity is
 at least ``threshold``.  The join returns each document's component.
 
 1. Every text becomes its set of 64-bit shingle hashes.  Documents with equal
-   sets form one class (128 bits of the set); only classes are joined.
+   sets form one class (128 bits of the set); only classes are joined.  A
+   class is named by the first 64 bits, or, where these clash, by the others.
 2. Candidate buckets: under one global order of shingles (commonest last, by a
    fixed-size count of hashed shingles), linked sets share a shingle among
    their first ``n - ceil(t n) + 1``.  One text of each class is put into
@@ -92,10 +93,11 @@ def shingle_sets(texts, words: int = WORDS):
     return out
 
 
-def class_key(s: np.ndarray) -> tuple[int, int]:
-    """128 bits that name a shingle set."""
+def class_key(s: np.ndarray, id_bits: int = 64) -> tuple[int, int]:
+    """64 and another 64 bits that name a shingle set.  ``id_bits``: how many
+    of the first 64 are used (tests use few, so that they clash)."""
     with np.errstate(over="ignore"):
-        a = tb.mix(s ^ _K1).sum(dtype=np.uint64)
+        a = tb.mix(s ^ _K1).sum(dtype=np.uint64) >> np.uint64(64 - id_bits)
         b = tb.mix(s ^ _K2).sum(dtype=np.uint64)
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
@@ -122,14 +124,14 @@ def prefix_length(n: int, threshold=THRESHOLD) -> int:
 
 # ---------------------------------------------------------------- set table
 
-def _sets(batches):
+def _sets(batches, id_bits=64):
     """Rows of the set table, and this task's share of the shingle counts."""
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
     for t in tb.table_slices(batches, lambda b: b.column(1), BLOCK_BYTES):
         sets = shingle_sets(t.column(1))
         counts += np.bincount((np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64),
                               minlength=len(counts)) if sets else 0
-        keys = [class_key(s) if len(s) else (None, None) for s in sets]
+        keys = [class_key(s, id_bits) if len(s) else (None, None) for s in sets]
         yield _set_rows(len(sets), doc_id=t.column(0).combine_chunks(),
                         n=pa.array([len(s) for s in sets], pa.int64()),
                         cid=pa.array([k[0] for k in keys], pa.int64()),
@@ -185,7 +187,7 @@ def shingle_order(sets: DataFrame) -> np.ndarray:
 _BLOB_DDL = "bucket long, tokens binary, counts binary, cids binary, sizes binary"
 
 
-def _prefixes(order, n_buckets, threshold):
+def _prefixes(order, n_buckets, threshold, id_bits, clashes):
     def run(batches):
         level = order.value
         for t in tb.table_slices(batches, lambda b: b.column(0), BLOCK_BYTES):
@@ -199,7 +201,8 @@ def _prefixes(order, n_buckets, threshold):
                 take = np.argpartition(key, p - 1)[:p] if p < len(s) else np.arange(len(s))
                 tokens.append(s[take])
                 owner.append(np.full(p, len(cids)))
-                cids.append(class_key(s)[0])
+                cid, check = class_key(s, id_bits)
+                cids.append(check if cid in clashes else cid)
                 sizes.append(len(s))
             if not tokens:
                 continue
@@ -273,7 +276,7 @@ def _gather(order):
 
 
 def prefix_entries(docs: DataFrame, order, n_buckets: int, chosen: DataFrame, kinds: DataFrame,
-                   threshold=THRESHOLD) -> DataFrame:
+                   threshold=THRESHOLD, id_bits: int = 64, clashes: frozenset = frozenset()) -> DataFrame:
     """Prefix shingles of one text of each class.  A fixed-size Bloom filter
     holds the texts of classes with several rows: texts outside it are alone
     in their class and stay where they are, the others are joined with the
@@ -283,7 +286,7 @@ def prefix_entries(docs: DataFrame, order, n_buckets: int, chosen: DataFrame, ki
     # rows that repeat id and text go before the join
     rest = texts.mapInArrow(_in_bloom(bloom, True), texts.schema).dropDuplicates(["d", "th1", "th2"])
     rest = rest.join(chosen.select("d", "th1", "th2").hint("merge"), ["d", "th1", "th2"])
-    run, outside = _prefixes(order, n_buckets, threshold), _in_bloom(bloom, False)
+    run, outside = _prefixes(order, n_buckets, threshold, id_bits, clashes), _in_bloom(bloom, False)
 
     def alone(batches):                  # one Python worker filters and shingles
         return run(outside(batches))
@@ -291,7 +294,8 @@ def prefix_entries(docs: DataFrame, order, n_buckets: int, chosen: DataFrame, ki
     return texts.mapInArrow(alone, _BLOB_DDL).union(rest.select("text").mapInArrow(run, _BLOB_DDL))
 
 
-def buckets(texts: DataFrame, sets: DataFrame, threshold=THRESHOLD) -> DataFrame:
+def buckets(texts: DataFrame, sets: DataFrame, threshold=THRESHOLD, id_bits: int = 64,
+            clashes: frozenset = frozenset()) -> DataFrame:
     """(token, cid, n): classes that share a prefix shingle with others.  Of
     buckets with the same classes (the shingles of one shared passage) one is
     kept."""
@@ -307,11 +311,15 @@ def buckets(texts: DataFrame, sets: DataFrame, threshold=THRESHOLD) -> DataFrame
     at_least = int(spark.conf.get("spark.sql.shuffle.partitions")) // 4
     n_buckets = max(1, at_least, -(-int(entries) // BUCKET_ENTRIES))
     rows = materialize(
-        prefix_entries(texts, order, n_buckets, chosen, kinds, threshold)
+        prefix_entries(texts, order, n_buckets, chosen, kinds, threshold, id_bits, clashes)
         .groupBy("bucket").applyInArrow(_gather(order), "token long, cid long, n long, h1 long, h2 long"),
         "shared")
+    discard(kinds)
+    discard(chosen)
     one = rows.groupBy("h1", "h2").agg(F.min("token").alias("token"))
-    return rows.join(one, ["h1", "h2", "token"]).select("token", "cid", "n")
+    out = materialize(rows.join(one, ["h1", "h2", "token"]).select("token", "cid", "n"), "buckets")
+    discard(rows)
+    return out
 
 
 # ------------------------------------------------------------- verification
@@ -387,8 +395,10 @@ def _texts_of(cids: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     bloom = _bloom(chosen)
     kept = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("d"), "text", "th1", "th2")
     kept = kept.mapInArrow(_in_bloom(bloom, True), kept.schema)
-    return materialize(kept.join(chosen.hint("merge"), ["d", "th1", "th2"]).select("cid", "text")
-                       .dropDuplicates(["cid"]), "texts")
+    out = materialize(kept.join(chosen.hint("merge"), ["d", "th1", "th2"]).select("cid", "text")
+                      .dropDuplicates(["cid"]), "texts")
+    discard(chosen)
+    return out
 
 
 def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words=WORDS,
@@ -397,7 +407,8 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words=WORDS,
     have been compared already."""
     pairs = materialize(pairs, "candidates")
     if not screened:
-        pairs = _possible(pairs, sets, threshold)
+        pairs, all_pairs = _possible(pairs, sets, threshold), pairs
+        discard(all_pairs)
     cids = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
     t = _texts_of(cids, sets, docs)
     # texts grow with the input: the same joins at every size
@@ -406,6 +417,7 @@ def verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, words=WORDS,
             .select("a", "b", "ta", "tb"))
     links = materialize(both.mapInArrow(_verify(words, threshold), "a long, b long"), "links")
     discard(t)                           # the texts have been compared
+    discard(pairs)
     return links
 
 
@@ -453,7 +465,7 @@ def _fold_one(x: np.ndarray, words: int) -> np.ndarray:
 
 # --------------------------------------------------------------- star round
 
-def star_pairs(bucket: DataFrame, seed: int) -> DataFrame:
+def star_pairs(bucket: DataFrame, seed: int, threshold=THRESHOLD) -> DataFrame:
     """(a, b): every class of a bucket with its centres.  Within a band of
     set sizes (a factor of 1.25) the centre is the class of smallest hash, one
     per component of the bucket that is not the centre's; centres of
@@ -467,7 +479,7 @@ def star_pairs(bucket: DataFrame, seed: int) -> DataFrame:
     one = bucket.select("token", "band", "cid", "n", "comp").unionByName(below)
     pairs = one.join(centre, ["token", "band"]).where(
         (F.col("comp") != F.col("ca")) & (F.col("a") != F.col("cid"))
-        & (F.least("n", "na") * THRESHOLD[1] >= F.greatest("n", "na") * THRESHOLD[0]))
+        & (F.least("n", "na") * threshold[1] >= F.greatest("n", "na") * threshold[0]))
     return pairs.select(F.least("a", "cid").alias("a"), F.greatest("a", "cid").alias("b")).distinct()
 
 
@@ -551,7 +563,7 @@ def _first_shared(token: int, x: np.ndarray, y: np.ndarray) -> bool:
 
 
 def _trees(threshold):
-    """Traverse the trees of each (token, i, j) run of sorted rows.  A pair
+    """Traverse the trees of each (token, low, high) run of sorted rows.  A pair
     that shares several buckets comes from that of its smallest token only."""
     def one(cols, lo, hi):
         """Linked sets differ by at most 1.25 in size, so by at most 2 in
@@ -585,8 +597,7 @@ def _trees(threshold):
         for b in batches:
             t = pa.Table.from_batches([b])
             held = t if held is None else pa.concat_tables([held, t])
-            group = held["group"].combine_chunks().to_numpy()
-            cut = np.flatnonzero(group[1:] != group[:-1]) + 1
+            cut = borders(held)
             if not len(cut):
                 continue
             yield from emit(held.slice(0, int(cut[-1])))
@@ -594,9 +605,15 @@ def _trees(threshold):
         if held is not None and held.num_rows:
             yield from emit(held)
 
+    def borders(t):
+        new = np.zeros(max(t.num_rows - 1, 0), bool)
+        for c in ("token", "low", "high"):
+            x = t[c].combine_chunks().to_numpy()
+            new |= x[1:] != x[:-1]
+        return np.flatnonzero(new) + 1
+
     def emit(t):
-        group = t["group"].combine_chunks().to_numpy()
-        cut = np.concatenate([[0], np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]])
+        cut = np.concatenate([[0], borders(t), [t.num_rows]])
         cols = [t[c].combine_chunks().to_numpy() for c in ("cid", "n", "side", "comp")]
         cols += [t["bits"].to_pylist(), t["two"].combine_chunks().to_numpy(zero_copy_only=False)]
         tokens = t["tokens"].combine_chunks()
@@ -625,33 +642,34 @@ def tree_pairs(bucket: DataFrame, sets: DataFrame, threshold=THRESHOLD) -> DataF
     rows = rows.select(
         "token", "cid", "n", "comp", (F.col("block") > F.col("m")).cast("int").alias("side"),
         (F.col("block") != F.col("m")).alias("two"),
-        F.struct("token", F.least("block", "m"), F.greatest("block", "m")).alias("k"))
+        F.least("block", "m").alias("low"), F.greatest("block", "m").alias("high"))
     bits = _bits(bucket.select("cid").distinct(), sets).select("cid", "bits")
     # the tokens of a class are at most its own prefix
     own = bucket.groupBy("cid").agg(F.sort_array(F.collect_set("token")).alias("tokens"))
     bits = bits.join(own, "cid")
-    rows = (rows.join(bits, "cid").withColumn("group", F.xxhash64("k"))
-            .repartition("k").sortWithinPartitions("group", "k"))
-    return rows.select("group", "cid", "n", "comp", "side", "two", "bits", "token", "tokens").mapInArrow(
+    run = ("token", "low", "high")
+    rows = rows.join(bits, "cid").repartition(*run).sortWithinPartitions(*run)
+    return rows.select(*run, "cid", "n", "comp", "side", "two", "bits", "tokens").mapInArrow(
         _trees(threshold), "a long, b long").distinct()
 
 
 # -------------------------------------------------------------------- joins
 
-def _band() -> Column:
-    """Sets that link differ by a factor of 1.25 in size at most, so by one
+def _band(threshold) -> Column:
+    """Sets that link differ by a factor of q / p in size at most, so by one
     band."""
-    return F.floor(F.log(F.col("n").cast("double")) / math.log(1.25)).alias("band")
+    p, q = threshold
+    return F.floor(F.log(F.col("n").cast("double")) / math.log(q / p)).alias("band")
 
 
-def _with_comp(bucket: DataFrame, comps: DataFrame | None) -> DataFrame:
+def _with_comp(bucket: DataFrame, comps: DataFrame | None, threshold=THRESHOLD) -> DataFrame:
     """(token, cid, n, comp, band): the rows of buckets that meet another
     component among the sizes near their own."""
     if comps is None:
-        b = bucket.select("token", "cid", "n", F.col("cid").alias("comp"), _band())
+        b = bucket.select("token", "cid", "n", F.col("cid").alias("comp"), _band(threshold))
     else:
         b = (bucket.join(comps.withColumnRenamed("node", "cid"), "cid", "left")
-             .select("token", "cid", "n", F.coalesce("comp", "cid").alias("comp"), _band()))
+             .select("token", "cid", "n", F.coalesce("comp", "cid").alias("comp"), _band(threshold)))
     # bands k - 1, k and k + 1 matter to band k
     per = b.groupBy("token", "band").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
     per = per.select("token", F.explode(F.array(*(F.col("band") + d for d in (-1, 0, 1)))).alias("band"), "x", "y")
@@ -659,33 +677,48 @@ def _with_comp(bucket: DataFrame, comps: DataFrame | None) -> DataFrame:
     return b.join(mixed.select("token", "band"), ["token", "band"])
 
 
-def components(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every row."""
+def _classes(documents: DataFrame, doc_id: str, text: str, threshold, id_bits: int):
+    """(texts, rows of the set table, buckets).
+
+    Two sets may share their first 64 bits; about n * n / 2**65 do (24 among
+    3 * 10**10 sets), so their ids are held by the driver.  Such classes are
+    named by their other 64 bits."""
     arrow_session(documents)
     docs = documents.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"),
         F.xxhash64(F.col(text)).alias("th1"), F.xxhash64(F.lit(1), F.col(text)).alias("th2"))
-    sets = materialize(docs.mapInArrow(_sets, _SET_DDL), "sets")
-    rows = sets.where("slice is null")
-    if rows.groupBy("cid").agg(F.min("check").alias("x"), F.max("check").alias("y")).where("x <> y").head(1):
-        raise RuntimeError("two shingle sets share a 64-bit class id")
-    bucket = materialize(buckets(docs, sets), "buckets")
+    sets = materialize(docs.mapInArrow(lambda batches: _sets(batches, id_bits), _SET_DDL), "sets")
+    both = sets.where("n > 0").groupBy("cid").agg(F.min("check").alias("x"), F.max("check").alias("y"))
+    clashes = frozenset(r["cid"] for r in both.where("x <> y").select("cid").collect())
+    if clashes:
+        sets = sets.withColumn("cid", F.when(F.col("cid").isin(*clashes), F.col("check"))
+                               .otherwise(F.col("cid")))
+    return docs, sets.where("slice is null"), buckets(docs, sets, threshold, id_bits, clashes)
+
+
+def components(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
+               threshold=THRESHOLD, id_bits: int = 64) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every row."""
+    docs, rows, bucket = _classes(documents, doc_id, text, threshold, id_bits)
     links, comps = None, None
-    left = materialize(_with_comp(bucket, comps), "mixed")
+    left = materialize(_with_comp(bucket, comps, threshold), "mixed")
     n_left = left.count()
     for k in range(STAR_ROUNDS):
-        found = verified(star_pairs(left, k), rows, docs)
+        found = verified(star_pairs(left, k, threshold), rows, docs, threshold=threshold)
         if found.isEmpty():
             break
+        discard(left)
         links = found if links is None else links.union(found)
         comps = materialize(connected_components(links), "comps")
-        left = materialize(_with_comp(bucket, comps), "mixed")
+        left = materialize(_with_comp(bucket, comps, threshold), "mixed")
         before, n_left = n_left, left.count()
         if n_left > (1 - SETTLED) * before:
             break
-    found = verified(tree_pairs(left, rows), rows, docs, screened=True)
+    found = verified(tree_pairs(left, rows, threshold), rows, docs, threshold=threshold, screened=True)
     if not found.isEmpty():
         comps = connected_components(found if links is None else links.union(found))
+    discard(left)
+    discard(bucket)
     classes = rows.groupBy("cid").agg(F.min("doc_id").alias("least")).where("cid is not null")
     if comps is not None:
         classes = classes.join(comps.withColumnRenamed("node", "cid"), "cid", "left")
@@ -694,13 +727,38 @@ def components(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         classes = classes.join(names, "comp")
     else:
         classes = classes.withColumnRenamed("least", "component_id")
-    return (rows.select("doc_id", "n", "cid")
+    # rows without shingles have no class; their keys only spread them
+    key = F.coalesce("cid", F.xxhash64("doc_id")).alias("cid")
+    return (rows.select("doc_id", "n", key)
             .join(classes.select("cid", "component_id"), "cid", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
                     .alias("component_id")))
 
 
+def link_counts(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
+                threshold=THRESHOLD, id_bits: int = 64) -> DataFrame:
+    """(doc_id, n_shingles, class_id, n_links) of every row: the class of equal
+    sets (null without shingles) and the number of other rows that it links
+    with, those of its own class included.  The signature trees run over all
+    buckets, without star rounds: every linked pair of classes is found and
+    verified, also within a component; copies are counted, not paired."""
+    docs, rows, bucket = _classes(documents, doc_id, text, threshold, id_bits)
+    pairs = tree_pairs(bucket.withColumn("comp", F.col("cid")), rows, threshold)
+    links = verified(pairs, rows, docs, threshold=threshold, screened=True)
+    discard(bucket)
+    size = materialize(rows.where("n > 0").groupBy("cid").agg(F.count("*").alias("size")), "sizes")
+    both = links.select("a", "b").union(links.select("b", "a"))
+    far = (both.join(size.withColumnRenamed("cid", "b"), "b")
+           .groupBy("a").agg(F.sum("size").alias("far")).withColumnRenamed("a", "cid"))
+    per = size.join(far, "cid", "left").select(
+        "cid", (F.col("size") - 1 + F.coalesce("far", F.lit(0))).alias("n_links"))
+    key = F.coalesce("cid", F.xxhash64("doc_id")).alias("cid")
+    return (rows.select("doc_id", "n", F.col("cid").alias("class_id"), key).join(per, "cid", "left")
+            .select("doc_id", F.col("n").alias("n_shingles"), "class_id",
+                    F.when(F.col("n") > 0, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links")))
+
+
 def keep_one(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component (its smallest id), columns unchanged.
     Rows that repeat an id stay or go together; rows without id stay."""

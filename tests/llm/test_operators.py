@@ -117,6 +117,40 @@ def test_jaccard_join_buckets_one_text_of_a_class(spark, monkeypatch):
     assert got == _components(rows)
 
 
+def _link_rows():
+    base = [f"w{i}" for i in range(60)]
+    rows = [(i, " ".join(base)) for i in range(12)]                       # a class of copies
+    rows += [(50 + k, " ".join(base[:k] + [f"new{k}"] + base[k + 1:])) for k in range(0, 60, 2)]
+    rows += [(100 + k, " ".join(base[:50] + [f"v{k}x{i}" for i in range(k)])) for k in range(30)]
+    return rows + [(None, " ".join(base)), (200, None), (201, ""), (202, "one two"), (203, "One  two")]
+
+
+@pytest.mark.parametrize("block", [512, 4])
+def test_link_counts_from_the_trees_alone(spark, monkeypatch, block):
+    monkeypatch.setattr(SJ, "TREE_BLOCK", block)
+    rows = _link_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets = [_shingles(t) for _, t in rows]
+    want = []
+    for i, (d, _) in enumerate(rows):
+        n = sum(1 for j, b in enumerate(sets) if j != i and sets[i] & b
+                and 100 * len(sets[i] & b) >= 80 * len(sets[i] | b))
+        want.append((str(d), len(sets[i]), n))
+    got = SJ.link_counts(df).collect()
+    assert sorted((str(r["doc_id"]), r["n_shingles"], r["n_links"]) for r in got) == sorted(want)
+    assert len({r["class_id"] for r in got} - {None}) == len(set(map(frozenset, sets)) - {frozenset()})
+    assert SJ.link_counts(df.limit(0)).count() == 0
+
+
+def test_class_ids_that_clash(spark):
+    rows = _link_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sets = set(map(frozenset, (_shingles(t) for _, t in rows)))
+    assert len(sets) > 2 ** 4                 # so 4 bits clash
+    got = sorted((str(r[0]), r[1], str(r[2])) for r in SJ.components(df, id_bits=4).collect())
+    assert got == _components(rows)
+
+
 def test_signature_tree_loses_no_pair():
     rng = np.random.default_rng(0)
     sets = []
@@ -162,6 +196,45 @@ def test_decontamination(spark, edge):
     assert DC.scan(edge, bench.limit(0)).where("size(items) > 0").count() == 0
 
 
+def test_covering_max():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 7, 64, 65):
+        for q in (0, 1, 9):
+            lo = rng.integers(0, n, q)
+            hi = np.array([rng.integers(a + 1, n + 1) for a in lo], np.int64)
+            value, want = rng.integers(1, 9, q), np.zeros(n, int)
+            for a, b, v in zip(lo, hi, value):
+                want[a:b] = np.maximum(want[a:b], v)
+            assert (DC.covering_max(lo, hi, value, n) == want).all()
+
+
+def test_decontamination_of_repeated_words_and_items(spark):
+    rng = np.random.default_rng(3)
+    word = lambda k: " ".join(rng.choice(["a", "b"], k))                  # noqa: E731
+    items = [("i1", "w " * 300), ("i2", "w " * 300), ("i3", "a"), ("i4", "w w w"), ("i5", word(40)), ("i6", "!")]
+    items += [(f"r{k}", word(12)) for k in range(6)]
+    docs = [(1, "w " * 5000), (2, "x " + "w " * 9 + "y"), (3, word(3000)), (4, None), (5, ""), (6, "w " * 12 + word(60))]
+    got = DC.scan(spark.createDataFrame(docs, "doc_id long, text string"),
+                  spark.createDataFrame(items, "item_id string, text string")).collect()
+    for r in got:
+        words = re.findall(r"[0-9a-z]+", r["row"]["text"] or "")
+        hit, ids = set(), set()
+        places = {k: {} for k in range(1, 11)}
+        for k in places:
+            for at in range(len(words) - k + 1):
+                places[k].setdefault(tuple(words[at:at + k]), []).append(at)
+        for i, t in items:
+            w = re.findall(r"[0-9a-z]+", t)
+            k = min(10, len(w))
+            for x in {tuple(w[a:a + k]) for a in range(len(w) - k + 1)} if w else ():
+                for at in places[k].get(x, ()):
+                    ids.add(i)
+                    hit.update(range(at, at + k))
+        assert {x for s in r["spans"] for x in range(s["start"], s["stop"])} == hit
+        assert r["items"] == sorted(ids) and r["n_words"] == len(words)
+    assert max(r["longest"] for r in got) == 300
+
+
 def test_suffix_array():
     rng = np.random.default_rng(1)
     for n, k in ((1, 1), (40, 2), (300, 3), (500, 1)):
@@ -350,6 +423,22 @@ def test_html_layout():
     assert HT.html_to_text("<p style='display: none'>x<p>y") == "y"
 
 
+def test_html_lists_buttons_and_visibility(spark):
+    page = ('<form>Size<select><optgroup label="Small"><option>S<option selected>M</optgroup><option label="Large">L'
+            '</select><input type="submit" value="Buy &amp; go"><input value="typed"></form>'
+            '<div style="visibility:hidden">gone<p style="visibility: visible">back</p>gone<br>gone</div>'
+            '<table><tr><td>1<td style="visibility:hidden">2<td>3</table><p style="display:none">never<b '
+            'style="visibility:visible">never</b>')
+    assert HT.html_to_text(page) == "Size\nSmall\nS\nM\nLarge\nBuy & go\n\nback\n\n1  3"
+    df = spark.createDataFrame([(1, "k", page), (1, "k", page), (2, None, None), (3, "x", ""), (None, "y", "<p>z")],
+                               "page_id long, text string, html string")
+    got = HT.extract(df, keys=("page_id", "text")).collect()
+    assert got[0].asDict().keys() == {"page_id", "text", "text_"} and got[0] == got[1]
+    assert [r["text_"] for r in got[2:]] == [None, "", "z"]
+    assert HT.extract(df.limit(0)).count() == 0
+    assert HT.html_to_text("<p>" + "word " * 200_000) == ("word " * 200_000).strip()
+
+
 def test_html_keeps_all_visible_words(spark):
     pages = spark.read.parquet(f"{SMALL}/pages.parquet")
     text = {r["page_id"]: r["text"] for r in HT.extract(pages).collect()}
