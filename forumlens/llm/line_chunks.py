@@ -2,21 +2,29 @@
 SQL functions only).
 
 A text is cut into lines at newlines.  A chunk ends after a line if the
-rolling hash of the last two lines' hashes is divisible by ``DIVISOR``, so a
-border depends on two lines only and moves along when lines are inserted
-before it.  Chunks of ``MIN_LINES`` lines or more that occur several times in
-the corpus, in one document or in many, are kept at their first place (least
-doc_id, then place in the text) and removed everywhere else.
+rolling hash of the last two lines' hashes is less than that of the line before
+and not more than that of the line after it (a local minimum, so two such
+borders are two lines or more apart), and around every long line (a paragraph
+of ``LONG`` spaces or more, over 50 words).  A border depends on four lines
+only and moves along when lines are inserted before it.  Chunks of
+``MIN_LINES`` lines or more, and long lines, that occur several times in the
+corpus, in one document or in many, are kept at their first place (least
+doc_id, then place in the text) and removed everywhere else.  A removed chunk
+grows by the lines next to it that are also next to its first place, up to the
+end of the neighbouring chunk; of a chunk that is the first place of a repeated
+one, it takes all lines or none.  Lines beyond that, at the edge of a passage
+whose outer chunks differ from text to text, stay.
 
 Repeats are found by a 128-bit hash of each chunk (an aggregate that is
 partial in every task, so a chunk that a third of all documents hold does
-not gather in one), then compared byte by byte: a hash whose chunks differ is
-resolved by the chunks' text.  What is joined with all texts grows in
-proportion to them, so these joins are sort-merge joins at every size; the
-places of one chunk are salted.
+not gather in one), then compared byte by byte with their first place: a hash
+whose chunks differ is resolved by the chunks' text (these do not grow).  What
+is joined with all texts grows in proportion to them, so these joins are
+sort-merge joins at every size; the places of one chunk are salted.
 
 Defined results: a null text stays null, an empty one empty; a text whose
-chunks all repeat earlier ones becomes empty; single lines are never removed;
+lines all go becomes empty; a repeated line that is not long stays unless it is
+next to a repeated chunk in both places;
 null doc_ids come last in the order of places; rows that repeat both doc_id
 and text are one document and are edited alike; other columns are unchanged,
 whatever their names.
@@ -37,10 +45,11 @@ from pyspark.sql import functions as F
 from forumlens.llm.common import arrow_session, materialize
 from forumlens.plans.sql import md5_int
 
-DIVISOR = 3                   # a chunk has about three lines
 MIN_LINES = 2                 # "multi-line"
+LONG = 50                     # spaces of a line that is a chunk of its own
 MODULUS, FACTOR = 1_000_003, 31   # of the rolling hash
 SALTS = 16                    # tasks that share the places of a chunk
+SHARE = 4096                  # texts of one chunk that a task compares
 WORDS, COPY = 5, (4, 5)       # words of a shingle, Jaccard similarity of a copy
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -55,12 +64,24 @@ def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def _is_long(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) >= LONG
+
+
 def with_chunks(df: DataFrame, text: Column) -> DataFrame:
     """Add ``chunks`` array<struct<lines, chunk>>, null for a null text."""
+    none = F.array(F.lit(-1).cast("long"))
     df = _once(df, F.split(text, "\n", -1), "_lines")
     df = _once(df, F.transform("_lines", _line_hash), "_hash")
     before = F.concat(F.array(F.lit(0).cast("long")), F.slice("_hash", 1, F.size("_hash") - 1))
-    cut = F.zip_with(before, "_hash", lambda p, h: (p * FACTOR + h) % MODULUS % DIVISOR == 0)
+    df = _once(df, F.zip_with(before, "_hash", lambda p, h: (p * FACTOR + h) % MODULUS), "_roll")
+    df = _once(df, F.transform("_lines", _is_long), "_long")
+    last = F.size("_roll") - 1
+    cut = F.transform(F.arrays_zip(
+        F.col("_roll").alias("r"), F.concat(none, F.slice("_roll", 1, last)).alias("p"),
+        F.concat(F.slice("_roll", 2, last), none).alias("n"), F.col("_long").alias("long"),
+        F.concat(F.slice("_long", 2, last), F.array(F.lit(False))).alias("then")),
+        lambda x: ((x["r"] < x["p"]) & (x["r"] <= x["n"])) | x["long"] | x["then"])
     ends = F.filter(F.transform(cut, lambda c, i: F.when(c, i + 1)), lambda x: x.isNotNull())
     df = _once(df, F.array_distinct(F.concat(ends, F.array(F.size("_lines")))), "_ends")
     starts = F.concat(F.array(F.lit(0)), F.slice("_ends", 1, F.size("_ends") - 1))
@@ -68,7 +89,7 @@ def with_chunks(df: DataFrame, text: Column) -> DataFrame:
         F.arrays_zip(starts.alias("a"), F.col("_ends").alias("b")),
         lambda s: F.struct((s["b"] - s["a"]).alias("lines"),
                            F.array_join(F.slice("_lines", s["a"] + 1, s["b"] - s["a"]), "\n").alias("chunk")))
-    return _once(df, chunks, "chunks").drop("_lines", "_hash", "_ends")
+    return _once(df, chunks, "chunks").drop("_lines", "_hash", "_roll", "_long", "_ends")
 
 
 def _keyed(docs: DataFrame, key: str, body: str) -> DataFrame:
@@ -80,11 +101,13 @@ def _keyed(docs: DataFrame, key: str, body: str) -> DataFrame:
 
 
 def _places(texts: DataFrame) -> DataFrame:
-    """(d, r1, r2, pos, lines, c1, c2) of every chunk of several lines."""
-    hashed = F.transform("chunks", lambda c, i: F.struct(
-        i.alias("pos"), c["lines"].alias("lines"),
-        F.xxhash64(F.lit(1), c["chunk"]).alias("c1"), F.xxhash64(F.lit(2), c["chunk"]).alias("c2")))
-    places = (with_chunks(texts, F.col("text")).select("d", "r1", "r2", F.inline(F.filter(hashed, lambda c: c["lines"] >= MIN_LINES))))
+    """(d, r1, r2, pos, c1, c2) of every chunk of several lines or a long one."""
+    hashed = F.transform("chunks", lambda c, i: F.when(
+        (c["lines"] >= MIN_LINES) | _is_long(c["chunk"]),
+        F.struct(i.alias("pos"), F.xxhash64(F.lit(1), c["chunk"]).alias("c1"),
+                 F.xxhash64(F.lit(2), c["chunk"]).alias("c2"))))
+    places = with_chunks(texts, F.col("text")).select(
+        "d", "r1", "r2", F.inline(F.filter(hashed, lambda c: c.isNotNull())))
     return materialize(places, "chunks")
 
 
@@ -97,9 +120,34 @@ def _salted(places: DataFrame, again: DataFrame) -> DataFrame:
 
 
 def _again(places: DataFrame) -> DataFrame:
-    """(c1, c2, first): the first place of each chunk that occurs again."""
+    """(c1, c2, n, first): the first place of each chunk that occurs again."""
     return (places.groupBy("c1", "c2").agg(F.count("*").alias("n"), F.min(F.struct("d", "r1", "r2", "pos")).alias("first"))
-            .where("n > 1").select("c1", "c2", "first"))
+            .where("n > 1"))
+
+
+def _common(a: Column, b: Column, all_or_none: Column, last: bool = False) -> Column:
+    """Number of lines of ``a`` that ``b`` has too at its start, or at its end."""
+    a, b = F.split(a, "\n", -1), F.split(b, "\n", -1)
+    if last:
+        a, b = F.reverse(a), F.reverse(b)
+    other = F.array_position(F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False))), False)
+    n = F.when(other > 0, other - 1).when(other == 0, F.size(a))
+    return F.coalesce(F.when(~all_or_none | (n == F.size(a)), n), F.lit(0)).cast("int")
+
+
+def _compared(repeats: DataFrame) -> DataFrame:
+    """(c1, c2, r1, r2, pos, same, up, down) of the later places in ``repeats``:
+    whether their bytes equal those of the first one, and by how many lines
+    they grow.  The later places of one chunk go to tasks by ``SHARE``."""
+    parts = F.ceil(F.col("n") / SHARE).cast("long")
+    first = repeats.where("not extra").select(
+        "c1", "c2", F.col("chunk").alias("fchunk"), F.col("prev").alias("fprev"), F.col("next").alias("fnext"),
+        F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("_salt"))
+    later = repeats.where("extra").withColumn("_salt", F.pmod(F.xxhash64("r1", "pos"), parts))
+    return later.join(first.hint("merge"), ["c1", "c2", "_salt"]).select(
+        "c1", "c2", "r1", "r2", "pos", (F.col("chunk") == F.col("fchunk")).alias("same"),
+        _common(F.col("prev"), F.col("fprev"), F.col("prev_first"), True).alias("up"),
+        _common(F.col("next"), F.col("fnext"), F.col("next_first")).alias("down"))
 
 
 def _with_shingles(df: DataFrame, text: Column) -> DataFrame:
@@ -157,27 +205,45 @@ def dedup(documents: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -
     place = F.struct("d", "r1", "r2", "pos")
     found = materialize(_salted(places, _again(places))
                         .withColumn("extra", place != F.col("first")).drop("first"), "repeats")
-    # byte comparison of all repeats of a hash
-    at = found.groupBy("r1", "r2").agg(F.collect_set(F.struct("pos", "c1", "c2")).alias("at"))
+    # byte comparison of all repeats with their first places; a neighbour that
+    # goes itself is not carried along
+    at = found.groupBy("r1", "r2").agg(F.collect_set(F.struct("pos", "c1", "c2", "n", "extra")).alias("at"))
     whole = with_chunks(texts.join(at.hint("merge"), ["r1", "r2"]), F.col("text"))
-    same = whole.select("d", "r1", "r2", F.inline(F.transform("at", lambda a: F.struct(
-        a["pos"].alias("pos"), a["c1"].alias("c1"), a["c2"].alias("c2"),
-        F.get("chunks", a["pos"])["chunk"].alias("chunk")))))
-    differ = materialize(same.groupBy("c1", "c2").agg(F.min("chunk").alias("x"), F.max("chunk").alias("y"))
-                         .where("x <> y").select("c1", "c2"), "differ")
-    extra = found.where("extra").select("c1", "c2", "r1", "r2", "pos", "lines")
+
+    def beside(x, step, name):
+        here = F.filter("at", lambda y: y["pos"] == x["pos"] + step)
+        chunk = F.get("chunks", x["pos"] + step)["chunk"]
+        return (F.when(~x["extra"] | ~F.exists(here, lambda y: y["extra"]), chunk).alias(name),
+                (F.size(here) > 0).alias(f"{name}_first"))
+
+    repeats = materialize(whole.select("d", "r1", "r2", F.inline(F.transform("at", lambda x: F.struct(
+        x["pos"].alias("pos"), x["c1"].alias("c1"), x["c2"].alias("c2"), x["n"].alias("n"), x["extra"].alias("extra"),
+        F.get("chunks", x["pos"])["chunk"].alias("chunk"), *beside(x, -1, "prev"), *beside(x, 1, "next"))))),
+        "texts")
+    extra = materialize(_compared(repeats), "later")
+    differ = materialize(extra.where("not same").select("c1", "c2").distinct(), "differ")
+    extra = extra.drop("same")
     if differ.head(1):                       # chunks of one hash that are not equal
-        odd = same.join(differ, ["c1", "c2"])
+        odd = repeats.join(differ, ["c1", "c2"])
         first = odd.groupBy("chunk").agg(F.min(place).alias("first"))
-        odd = odd.join(first, "chunk").where(place != F.col("first")).select("c1", "c2", "r1", "r2", "pos")
-        lines = found.select("r1", "r2", "pos", "lines").distinct()
-        extra = extra.join(differ, ["c1", "c2"], "left_anti").unionByName(
-            odd.join(lines, ["r1", "r2", "pos"]))
-    drop = extra.groupBy("r1", "r2").agg(F.collect_set("pos").alias("drop"))
+        odd = odd.join(first, "chunk").where(place != F.col("first")).select(
+            "c1", "c2", "r1", "r2", "pos", F.lit(0).alias("up"), F.lit(0).alias("down"))
+        extra = extra.join(differ, ["c1", "c2"], "left_anti").unionByName(odd)
+    drop = extra.groupBy("r1", "r2").agg(F.collect_set(F.struct("pos", "up", "down")).alias("drop"))
     # one shuffle of the texts; only texts with something to remove are cut
     rows = docs.drop("d", "text").join(drop.hint("merge"), ["r1", "r2"], "left")
     rows = with_chunks(rows, F.when(F.col("drop").isNotNull(), F.col(body)))
-    rows = _once(rows, F.filter("chunks", lambda c, i: ~F.array_contains("drop", i)), "_kept")
+
+    def grown(i, name):                      # lines that the repeat at place i takes beside it
+        return F.coalesce(F.array_max(F.transform(F.filter("drop", lambda x: x["pos"] == i), lambda x: x[name])), F.lit(0))
+
+    def rest(c, i):
+        head, tail = grown(i - 1, "down"), grown(i + 1, "up")
+        left = F.when(F.array_contains(F.col("drop.pos"), i), 0).otherwise(c["lines"] - head - tail)
+        return F.struct(left.alias("lines"), F.when(left == c["lines"], c["chunk"]).when(left > 0, F.array_join(
+            F.slice(F.split(c["chunk"], "\n", -1), head + 1, F.greatest(left, F.lit(0))), "\n")).alias("chunk"))
+
+    rows = _once(rows, F.filter(F.transform("chunks", rest), lambda c: c["lines"] > 0), "_kept")
     size = F.aggregate("chunks", F.lit(0).cast("long"), lambda s, c: s + c["lines"])
     left = F.aggregate("_kept", F.lit(0).cast("long"), lambda s, c: s + c["lines"])
     edited = F.array_join(F.transform("_kept", lambda c: c["chunk"]), "\n")
@@ -193,20 +259,39 @@ WITH x AS (
          generate_subscripts(string_split(text, chr(10)), 1) AS pos
   FROM documents WHERE text IS NOT NULL),
 h AS (SELECT *, {md5_int('line')} AS h FROM x),
-c AS (SELECT *, ((coalesce(lag(h) OVER w, 0) * {FACTOR} + h) % {MODULUS}) % {DIVISOR} = 0 AS cut
+l AS (SELECT *, (coalesce(lag(h) OVER w, 0) * {FACTOR} + h) % {MODULUS} AS r,
+             length(line) - length(replace(line, ' ', '')) >= {LONG} AS long
       FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+c AS (SELECT *, coalesce(r < lag(r) OVER w AND r <= lead(r) OVER w, false) OR long
+             OR coalesce(lead(long) OVER w, false) AS cut
+      FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
 g AS (SELECT *, coalesce(sum(CAST(cut AS INTEGER)) OVER (
         PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
       FROM c),
-k AS (SELECT doc_id, chunk, string_agg(line, chr(10) ORDER BY pos) AS body, count(*) AS n
+k AS (SELECT doc_id, chunk, list(line ORDER BY pos) AS ls, count(*) >= {MIN_LINES} OR bool_or(long) AS counts
       FROM g GROUP BY doc_id, chunk),
-r AS (SELECT *, n >= {MIN_LINES} AND row_number() OVER (PARTITION BY body, n ORDER BY doc_id, chunk) > 1 AS gone
-      FROM k),
+r AS (SELECT *, counts AND row_number() OVER s > 1 AS gone,
+             counts AND count(*) OVER (PARTITION BY counts, ls) > 1 AS again,
+             lag(ls) OVER d AS up, lead(ls) OVER d AS down
+      FROM k WINDOW s AS (PARTITION BY counts, ls ORDER BY doc_id, chunk), d AS (PARTITION BY doc_id ORDER BY chunk)),
+f AS (SELECT *, first_value(up) OVER s AS fup, first_value(down) OVER s AS fdown
+      FROM r WINDOW s AS (PARTITION BY counts, ls ORDER BY doc_id, chunk)),
+e AS (SELECT *, CASE WHEN gone THEN len(list_filter(range(1, least(len(up), len(fup)) + 1),
+                  lambda i: list_reverse(up)[1:i] = list_reverse(fup)[1:i])) END AS grow_up,
+             CASE WHEN gone THEN len(list_filter(range(1, least(len(down), len(fdown)) + 1),
+                  lambda i: down[1:i] = fdown[1:i])) END AS grow_down
+      FROM f),
+n AS (SELECT *, coalesce(lag(grow_down) OVER d, 0) AS below, coalesce(lead(grow_up) OVER d, 0) AS above
+      FROM e WINDOW d AS (PARTITION BY doc_id ORDER BY chunk)),
+t AS (SELECT *, CASE WHEN again AND below < len(ls) THEN 0 ELSE below END AS head,
+             CASE WHEN again AND above < len(ls) THEN 0 ELSE above END AS tail
+      FROM n),
 o AS (SELECT doc_id,
-             coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (WHERE NOT gone), '') AS text,
+             array_to_string(flatten(list(CASE WHEN gone OR head + tail >= len(ls) THEN []
+                                          ELSE ls[1 + head:len(ls) - tail] END ORDER BY chunk)), chr(10)) AS text,
              CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS chunks_removed,
-             CAST(coalesce(sum(n) FILTER (WHERE gone), 0) AS BIGINT) AS lines_removed
-      FROM r GROUP BY doc_id)
+             CAST(sum(CASE WHEN gone THEN len(ls) ELSE least(len(ls), head + tail) END) AS BIGINT) AS lines_removed
+      FROM t GROUP BY doc_id)
 SELECT d.doc_id, o.text, coalesce(o.chunks_removed, 0) AS chunks_removed,
        coalesce(o.lines_removed, 0) AS lines_removed
 FROM documents d LEFT JOIN o USING (doc_id)"""

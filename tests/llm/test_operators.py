@@ -352,10 +352,32 @@ def test_line_chunks(spark, edge):
                                "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in LC.dedup(df).select("row.*").collect()}
     assert got[1] == f"head\n{block}\ntail" and got[3] is None and got[4] == ""
-    assert len(got[2]) < len(block) / 2 and got[2].startswith("other") and got[2].endswith("end")
+    assert got[2] == "other\nmore\nend"
     assert LC.dedup(df.limit(0)).count() == 0
 
 
+def test_line_chunks_take_passages_whole(spark, monkeypatch):
+    monkeypatch.setattr(LC, "SHARE", 2)                 # the places of one chunk go to several tasks
+    words = " ".join(f"w{j}" for j in range(60))
+    passages = {"long": words, "lines": "\n".join(f"line {i} of the passage" for i in range(14)),
+                "mixed": f"a heading\n{words} more\na last line"}
+    rows, want = [], {}
+    for k, (name, p) in enumerate(passages.items()):
+        for i in range(9):
+            d = 100 * k + i
+            own = [f"{name} {i} before {x}" for x in range(3)], [f"{name} {i} after {x}" for x in range(3)]
+            rows.append((d, "\n".join([*own[0], p, *own[1]])))
+            want[d] = rows[-1][1] if i == 0 else "\n".join([*own[0], *own[1]])
+    rows += [(d, t) for d, t in ((900, "x\nz\ny\nz\ny\nz\ny\nz"), (901, "short line"), (902, "short line"))]
+    got = {r["doc_id"]: r["text"] for r in LC.dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+           .select("row.*").collect()}
+    # an edge cut in several ways may keep a line or two; nothing else differs
+    left = {d: [x for x in got[d].split("\n") if x not in t.split("\n")] for d, t in want.items()}
+    assert all(len(x) <= (2 if d // 100 == 1 else 0) for d, x in left.items()) and sum(map(len, left.values())) <= 3
+    assert {d: "\n".join(x for x in got[d].split("\n") if x not in left[d]) for d in want} == want
+    assert got[901] == got[902] == "short line" and {"x", "y", "z"} == set(got[900].split("\n"))
+
+
 def test_pivot_index(spark):
     rng = np.random.default_rng(2)
     base = rng.normal(size=(300, 16))
