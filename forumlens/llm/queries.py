@@ -64,8 +64,8 @@ def op8_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archive = warc.write(read_table(spark, sf_dir, "pages"))
-    return warc.read(archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    pages = read_table(spark, sf_dir, "pages")
+    return warc.lookup(warc.write(pages), pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,9 +8,12 @@ files (one file per task and ``ARCHIVE_BYTES``) and builds the index:
 * level 1: the sparse block directory, one row (first key, file, offset,
   length) per block, kept as a small table.
 
-``lookup`` binary-searches the directory, range-reads one block, binary-searches
-its lines and range-reads the records.  ``read`` goes through all blocks and
-reads every record back, in archive order.
+``lookup`` finds records by their URLs: a key is binary-searched among the
+bounds of the index files (one pair per ``FILE_LINES`` captures, the only part
+of the index that the driver sees), goes to the tasks of the files that may hold
+it, is binary-searched there in the file's part of the directory, then in the
+lines of the blocks it names, which are read by range, and so are the records.
+``read`` goes through all blocks and reads every record back, in archive order.
 
 Files are written by the tasks through ``pyarrow.fs`` into the shared folder
 (any URI it knows: file, hdfs, s3, gs).  A file's name holds a fresh id and is
@@ -46,6 +49,7 @@ REVISIT_BYTES = 1000
 READ_BYTES = 64 << 20         # archive bytes that one task reads back
 ARCHIVE_BYTES = 64 << 20      # compressed bytes of an archive file
 BLOCK_LINES = 1000            # index lines in a block
+FILE_LINES = 250_000          # index lines, about, of an index file
 LEVEL = 1                     # zlib level of records and blocks
 DATE = "1970-01-01T00:00:00Z"  # the tables have no capture time
 
@@ -214,7 +218,8 @@ def write(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html:
     # long runs of one key spread over several partitions: the page id and
     # the place are part of the order
     order = ["key", "page_id", "file", "offset"]
-    directory = materialize(lines.repartitionByRange(*order).sortWithinPartitions(*order)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lines.count() // FILE_LINES))
+    directory = materialize(lines.repartitionByRange(parts, *order).sortWithinPartitions(*order)
                             .mapInArrow(blocks, _DIRECTORY), "directory")
     return Archive(lines, directory)
 
@@ -283,57 +288,63 @@ def read(archive: Archive) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     at = (archive.directory.select("file", "offset", "length").repartition(parts, "file", "offset")
           .mapInArrow(lines, "file string, offset long, length long"))
-    # the places are small, what they point to is not: partitions by the bytes
-    # of the records (a stated number is not coalesced)
-    size = archive.lines.agg(F.sum("length")).first()[0] or 0
-    parts = max(parts, -(-size // READ_BYTES))
-    return (at.repartitionByRange(parts, "file", "offset").sortWithinPartitions("file", "offset")
-            .mapInArrow(_captures, _CAPTURE))
+    return _records(archive, at)
+
 
+def _records(archive: Archive, at: DataFrame) -> DataFrame:
+    """The captures at (file, offset, length).  The places are small, what they
+    point to is not: partitions by the bytes of all records (a stated number is
+    not coalesced)."""
+    parts = int(at.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = archive.lines.agg(F.sum("length")).first()[0] or 0
+    return (at.repartitionByRange(max(parts, -(-size // READ_BYTES)), "file", "offset")
+            .sortWithinPartitions("file", "offset").mapInArrow(_captures, _CAPTURE))
 
-def lookup(archive: Archive, urls: DataFrame, *, url: str = "url", directory_rows: int = 200_000) -> DataFrame:
-    """The captures of the given urls (distinct keys), by binary search.
 
-    The directory is searched in runs of at most ``directory_rows`` sorted
-    blocks, held by a task at once; every key meets every run's bounds only
-    through those, so nothing grows with the corpus but the number of runs."""
+def lookup(archive: Archive, urls: DataFrame, *, url: str = "url") -> DataFrame:
+    """The captures of the given urls (distinct keys), by binary search.  A key
+    with very many captures has lines in several index files, whose tasks each
+    find their part of them."""
     spark = arrow_session(urls)
-    sc = spark.sparkContext
-    keys = urls.select(F.col(url).alias("u")).distinct()
-    run, out = [], None
-    rows = archive.directory.orderBy("first_key", "last_key", "file", "offset")
-    for row in rows.toLocalIterator():
-        run.append(tuple(row))
-        if len(run) == directory_rows:
-            part = keys.mapInArrow(_search(sc.broadcast(run)), "file string, offset long, length long")
-            out, run = part if out is None else out.union(part), []
-    if run or out is None:
-        part = keys.mapInArrow(_search(sc.broadcast(run)), "file string, offset long, length long")
-        out = part if out is None else out.union(part)
-    return out.mapInArrow(_captures, _CAPTURE)
-
-
-def _search(directory):
-    def find(batches):
-        blocks = directory.value
-        last = [b[1] for b in blocks]
-        files, cache = _In(), (None, None)
+    bounds = sorted(tuple(r) for r in archive.directory.groupBy("file")
+                    .agg(F.min("first_key"), F.max("last_key")).select("min(first_key)", "max(last_key)", "file").collect())
+    known = spark.sparkContext.broadcast(bounds)
+
+    def files(batches):
+        first, last = [b[0] for b in known.value], [b[1] for b in known.value]
         for b in batches:
             rows = []
-            for key in sorted(map(url_key, b.column(0).to_pylist())):
-                i = bisect.bisect_left(last, key)      # first block that may hold it
-                while i < len(blocks) and blocks[i][0] <= key:
-                    if cache[0] != i:
-                        cache = i, read_block(files, *blocks[i][2:5])
-                    lines = cache[1]
-                    k = bisect.bisect_left(lines, (key,), key=lambda x: (x[0],))
-                    while k < len(lines) and lines[k][0] == key:
-                        rows.append(lines[k][2:])
-                        k += 1
-                    i += 1
-            yield _batch(list(zip(*rows)) or [[], [], []], (pa.string(), pa.int64(), pa.int64()),
-                         ("file", "offset", "length"))
-    return find
+            for key in map(url_key, b.column(0).to_pylist()):
+                # files are ranges of the order, so both bounds ascend
+                for i in range(bisect.bisect_left(last, key), bisect.bisect_right(first, key)):
+                    rows.append((key, known.value[i][2]))
+            yield _batch(list(zip(*rows)) or [[], []], (pa.string(), pa.string()), ("key", "file"))
+
+    keys = urls.select(F.col(url).alias("u")).distinct().mapInArrow(files, "key string, file string").distinct()
+    at = (keys.groupBy("file").cogroup(archive.directory.groupBy("file"))
+          .applyInArrow(_search, "file string, offset long, length long"))
+    return _records(archive, at)
+
+
+def _search(keys: pa.Table, directory: pa.Table) -> pa.Table:
+    """The lines of ``keys`` in one index file."""
+    blocks = sorted(zip(*(directory[c].to_pylist() for c in ("first_key", "last_key", "file", "offset", "length"))),
+                    key=lambda b: b[3])
+    last = [b[1] for b in blocks]
+    files, at, lines, rows = _In(), None, [], [[], [], []]
+    for key in sorted(keys["key"].to_pylist()):
+        i = bisect.bisect_left(last, key)              # first block that may hold it
+        while i < len(blocks) and blocks[i][0] <= key:
+            if at != i:
+                at, lines = i, read_block(files, *blocks[i][2:5])
+            k = bisect.bisect_left(lines, key, key=lambda x: x[0])
+            while k < len(lines) and lines[k][0] == key:
+                for x, y in zip(rows, lines[k][2:]):
+                    x.append(y)
+                k += 1
+            i += 1
+    return pa.table({"file": pa.array(rows[0], pa.string()), "offset": pa.array(rows[1], pa.int64()),
+                     "length": pa.array(rows[2], pa.int64())})
 
 
 ORACLE = f"""
