@@ -4,9 +4,10 @@ A text becomes a hashed vector of its byte 1-, 2- and 3-grams (A-Z
 lower-cased, runs of ASCII non-letters as one space), weighted by
 (1 + log tf) * idf and normalised.  Each language has several centroids
 (spherical k-means over a sample of its training texts); a text takes the
-language of the centroid with the largest cosine.  A text farther from every
-centroid than the training texts were (``reject_share`` of the ``reject_quantile``
-of their cosines) is rejected.
+language of the centroid with the largest cosine.  A text farther from its
+centroid than nearly all training texts of that centroid were (``REJECT_SHARE``
+of the ``REJECT_QUANTILE`` of their cosines) is rejected.  Texts of less than
+``SHORT_BYTES`` bytes lie farther out: half the limit holds for them.
 
 The model is fitted on a bounded sample of the labelled rows:
 ``PER_LANGUAGE`` distinct texts per language, chosen by hash.  Everything that leaves the
@@ -35,7 +36,9 @@ SPARE = 4                    # times as many hashes are ranked for the sample
 CENTROIDS = 4                # clusters per language
 ROUNDS = 8                   # of k-means
 REJECT_QUANTILE = 0.001      # of the training cosines ...
-REJECT_SHARE = 0.3           # ... times this is the least cosine accepted
+REJECT_SHARE = 0.85          # ... times this is the least cosine accepted
+SHORT_BYTES = 200            # texts below it are short ...
+SHORT_SHARE = 0.5            # ... and need this part of the least cosine
 ROWS = 256                   # rows of a dense block
 BLOCK_BYTES = 4 << 20
 UND = "und"
@@ -84,17 +87,22 @@ def _slices(batches, get):
 
 
 class Model:
-    """Languages, inverse document frequencies, centroids, least cosine."""
+    """Languages, inverse document frequencies, centroids, and the least
+    cosine that each centroid accepts."""
 
     def __init__(self, idf, langs, centroids, least):
         self.idf, self.langs, self.centroids, self.least = idf, langs, centroids, least
 
     def predict(self, texts):
-        """(language index, cosine) per text."""
+        """(centroid index, cosine) per text."""
         sim = vectors(texts, self.idf) @ self.centroids.T
         best = sim.argmax(1)
         return best, np.clip(sim[np.arange(len(best)), best], 0, 1)
 
+    def rejects(self, texts, best, cos):
+        short = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False) < SHORT_BYTES
+        return cos < self.least[best] * np.where(short, SHORT_SHARE, 1)
+
 
 def _cluster(x: np.ndarray, k: int) -> np.ndarray:
     """Spherical k-means from spread-out starting points."""
@@ -147,7 +155,7 @@ def fit(docs: DataFrame, *, train: Column, text: str = "text", lang: str = "lang
     total = (sample.select("text").mapInArrow(frequency, "i int, df long, n long")
              .groupBy("i").agg(F.sum("df").alias("df"), F.sum("n").alias("n")).orderBy("i").toPandas())
     if not len(total) or not total["n"].iloc[0]:
-        return Model(np.ones(dim), [], np.zeros((0, dim)), 0.0)
+        return Model(np.ones(dim), [], np.zeros((0, dim)), np.zeros(0))
     idf = np.log((total["n"].to_numpy() + 1) / (total["df"].to_numpy() + 1)) + 1
 
     def cluster(table: pa.Table) -> pa.Table:
@@ -159,15 +167,17 @@ def fit(docs: DataFrame, *, train: Column, text: str = "text", lang: str = "lang
 
     rows = sorted(sample.groupBy("lang").applyInArrow(cluster, "lang string, c binary").collect())
     model = Model(idf, [r["lang"] for r in rows],
-                  np.stack([np.frombuffer(bytes(r["c"]), np.float64) for r in rows]), 0.0)
+                  np.stack([np.frombuffer(bytes(r["c"]), np.float64) for r in rows]), np.zeros(len(rows)))
 
     def cosines(batches):
         for t in _slices(batches, lambda b: b.column(0)):
-            yield pa.RecordBatch.from_arrays([pa.array(model.predict(t.column(0))[1])], names=["x"])
+            best, x = model.predict(t.column(0))
+            yield pa.RecordBatch.from_arrays([pa.array(best, pa.int32()), pa.array(x)], names=["c", "x"])
 
-    low = (sample.select("text").mapInArrow(cosines, "x double")
-           .agg(F.percentile_approx("x", REJECT_QUANTILE, 10_000)).first()[0])
-    model.least = REJECT_SHARE * low
+    low = (sample.where(F.octet_length("text") >= SHORT_BYTES).select("text").mapInArrow(cosines, "c int, x double")
+           .groupBy("c").agg(F.percentile_approx("x", REJECT_QUANTILE, 10_000).alias("x")))
+    for r in low.collect():                     # one row per centroid
+        model.least[r["c"]] = REJECT_SHARE * r["x"]
     return model
 
 
@@ -184,11 +194,12 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
             letter = t.column("letter").to_numpy(zero_copy_only=False).astype(bool)
             if m.langs:
                 best, cos = m.predict(pc.struct_field(row, text))
+                far = m.rejects(pc.struct_field(row, text), best, cos)
             else:
-                best, cos, letter = np.zeros(n, int), np.zeros(n), np.zeros(n, bool)
+                best, cos, far, letter = np.zeros(n, int), np.zeros(n), np.ones(n, bool), np.zeros(n, bool)
             yield pa.RecordBatch.from_arrays(
                 [row, pa.array([m.langs[b] if on else UND for b, on in zip(best, letter)], pa.string()),
-                 pa.array(np.where(letter, cos, 0.0)), pa.array(~letter | (cos < m.least))],
+                 pa.array(np.where(letter, cos, 0.0)), pa.array(~letter | far)],
                 names=["row", "lang_pred", "score", "rejected"])
 
     rows = row_struct(docs, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("letter"))
