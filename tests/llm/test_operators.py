@@ -1,5 +1,6 @@
 """The training-data operators against brute force and on edge cases."""
 
+import base64
 import hashlib
 import math
 import re
@@ -262,6 +263,28 @@ def test_chat_format(spark):
     assert "".join(text[s[1]:s[2]] for s in spans) == "abc"
 
 
+def test_chat_rendering_of_long_conversations():
+    talk = [("user" if i % 2 else "assistant", f"text {i} <s>") for i in range(2000)]
+    drawn = [0]
+
+    def counted(turns):
+        drawn[0] += len(turns)
+        return CH.escaped_template(turns)
+
+    text, spans = CH.render(talk, counted)
+    assert text == CH.escaped_template(talk) and drawn[0] < 20 * len(talk)
+    assert [CH.unescape(text[a:b]) for _, a, b, _ in spans] == [t for _, t in talk]
+    assert spans[0][0] == len("<s>") and all(a[3] == b[0] for a, b in zip(spans, spans[1:])) and spans[-1][3] == len(text)
+    talk = talk[:40]
+
+    def numbered(turns):                    # append-only, but what a turn appends depends on all before it
+        return "".join(f"{i}. {t}\n" for i, (_, t) in enumerate(turns))
+
+    text, spans = CH.render(talk, numbered)
+    assert text == numbered(talk) and [text[a:b] for _, a, b, _ in spans] == [t for _, t in talk]
+    assert CH.render(talk, lambda turns: numbered(turns[-9:])) == (numbered(talk[-9:]), None)   # forgets old turns
+
+
 def test_language_id(spark, docs, edge):
     m = LI.fit(docs, train=~held_out("doc_id", 4, 2))
     p = LI.predict(docs, m).select("row.lang", "lang_pred", held_out("row.doc_id", 4, 2).alias("h")).where("h")
@@ -271,6 +294,17 @@ def test_language_id(spark, docs, edge):
     none = LI.fit(docs, train=F.lit(False))
     assert {r[0] for r in LI.predict(edge, none).select("lang_pred").collect()} == {"und"}
     assert LI.accepted(edge, m).columns == edge.columns
+    clean = LI.predict(docs.where(r"text rlike '\\p{L}'"), m).agg(F.avg(F.col("rejected").cast("double"))).first()[0]
+    assert clean <= 0.01
+    rng = np.random.default_rng(7)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz    "))
+    foreign = ["".join(rng.choice(letters, 600)) for _ in range(20)]
+    foreign += [base64.b64encode(rng.bytes(500)).decode() for _ in range(20)]
+    foreign += ["Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. " * 5,
+                "Все люди рождаются свободными и равными в своем достоинстве и правах. " * 5]
+    odd = docs.sparkSession.createDataFrame(list(enumerate(foreign)), "doc_id long, text string")
+    kept = LI.accepted(odd, m).count()
+    assert kept == 0
 
 
 def test_sampled_segmentation(spark, docs, edge):
@@ -344,6 +378,19 @@ def test_lattice_marginal_is_exact():
         assert math.isclose(got, _marginal(w, lm.logp, v, "▁") / math.log(10), rel_tol=1e-9)
 
 
+def test_lattice_document_score_is_exact(spark):
+    rows = [(1, "Hello world  hello"), (2, "zq é日本\nhello"), (3, ""), (4, None), (5, "unseen wordings here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    train = F.col("doc_id") < 5
+    pieces = LM.piece_counts(LM.word_counts(df.where(train), "text"), ST.MODEL).toPandas()
+    lm = LM.Model(ST.MODEL, pieces["piece"].to_numpy(np.int64), pieces["c"].to_numpy(np.float64), 4, LM.PRIOR)
+    v = vocabulary(ST.MODEL)
+    got = {r["doc_id"]: r["score"] for r in LM.score(df, train=train).collect()}
+    for d, t in rows:
+        want = sum(_marginal(w, lm.logp, v, "▁") for w in re.findall(r"[^\x20\x09-\x0D]+", _lower(t or "")))
+        assert math.isclose(got[d], want / math.log(10) + lm.end, rel_tol=1e-9)
+
+
 def test_line_chunks(spark, edge):
     out = LC.dedup(edge).select("row.*")
     assert sorted(out.columns) == sorted(edge.columns) and out.count() == len(EDGE)
@@ -430,6 +477,15 @@ def test_warc(spark):
         ("3", "response", None, 0), ("4", "response", None, 5), ("5", "response", None, 5),
         ("None", "revisit", 2, 1200), ("6", "response", None, 12)])
     assert {r["url"] for r in got} >= {"weird\r\n\t%0A url", ""}
+    found = W.lookup(a, df)                      # a key with lines in several blocks and index files is found whole
+    assert sorted(map(str, found.collect())) == sorted(map(str, got))
+    many = spark.range(400).select(F.col("id").alias("page_id"), F.lit("x").alias("html"),
+                                   F.when(F.col("id") % 3 == 0, "http://hot.example/").otherwise(F.concat(F.lit("http://h"), "id")).alias("url"))
+    b = W.write(many, block_lines=7)
+    assert b.directory.select("file").distinct().count() > 1
+    assert W.lookup(b, many.where("page_id % 3 = 0")).count() == 134
+    assert [r["page_id"] for r in W.lookup(b, many.where("page_id = 7")).collect()] == [7]
+    assert W.lookup(b, many.limit(0)).count() == 0
     some = spark.createDataFrame([("https://B.example.com/x#f",), ("u",), ("http://none.org/",)], "url string")
     assert sorted(str(r["page_id"]) for r in W.lookup(a, some).collect()) == ["1", "4", "5", "None"]
     assert W.read(W.write(df.limit(0))).count() == 0
