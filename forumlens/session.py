@@ -139,7 +139,7 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = shared_path(spark, name)
     with _shuffles_deleted(spark):
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     out = spark.read.parquet(path)
     out._staged = path
     return out
