@@ -285,6 +285,23 @@ def test_chat_rendering_of_long_conversations():
     assert CH.render(talk, lambda turns: numbered(turns[-9:])) == (numbered(talk[-9:]), None)   # forgets old turns
 
 
+def test_chat_format_looks_at_every_prefix(spark):
+    df = spark.createDataFrame([(c, i, "assistant", f"t{i}") for c, n in ((1, 40), (2, 10)) for i in range(n)],
+                               "conv_id long, turn int, role string, text string")
+
+    def late(turns):              # rewrites its start in prefixes of 21 to 30 turns only, between two powers of two
+        return ("!" if 20 < len(turns) <= 30 else ".") + "".join(t + "\n" for _, t in turns)
+
+    got = {r["conv_id"]: r for r in CH.conversations(df, template=late).collect()}
+    assert got[1]["rewrites_history"] and not got[1]["spans"] and not got[2]["rewrites_history"]
+    drawn = []
+    template = CH.Appending("<s>", lambda role, text: drawn.append(text) or f"{role}: {text}\n")
+    talk = [("user", f"text {i}") for i in range(3000)]
+    text, spans = CH.render(talk, template, every=True)
+    assert len(drawn) == 2 * len(talk) and text == template(talk)
+    assert [text[a:b] for _, a, b, _ in spans] == [t for _, t in talk]
+
+
 def test_language_id(spark, docs, edge):
     m = LI.fit(docs, train=~held_out("doc_id", 4, 2))
     p = LI.predict(docs, m).select("row.lang", "lang_pred", held_out("row.doc_id", 4, 2).alias("h")).where("h")
