@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from forumlens.operators import text as X
+from forumlens.sources import fixtures as fx
 from forumlens.sources import formats as fmt
 from forumlens.sources import sinks
 
@@ -192,3 +193,19 @@ def test_model_store_weights_distributed(spark, tmp_path):
         assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
         bias = {r["tag"]: r["b"] for r in b.collect()}
         assert all(abs(bias[t] - m.intercept) < 1e-12 for t, m in models.items())
+
+
+def test_rows_are_spread_by_bytes(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "a table, 100%")
+    spark.range(50000).coalesce(1).write.parquet(path)
+    par, size = spark.sparkContext.defaultParallelism, sum(f.stat().st_size for f in (tmp_path / "a table, 100%").glob("*.parquet"))
+    df = spark.read.parquet(path)
+    assert fx.spread_if_few_files(df).rdd.getNumPartitions() == par
+    monkeypatch.setattr(fx, "SPREAD_BYTES", size // 20)
+    assert fx.spread_if_few_files(df).rdd.getNumPartitions() >= 20
+    many = str(tmp_path / "many")
+    spark.range(50000).repartition(2 * par).write.parquet(many)
+    assert fx.spread_if_few_files(spark.read.parquet(many)).inputFiles() == spark.read.parquet(many).inputFiles()
+    monkeypatch.setattr(fx, "SPREAD_BYTES", 1 << 30)
+    df = spark.read.parquet(many)
+    assert fx.spread_if_few_files(df) is df
