@@ -117,7 +117,7 @@ def order_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_name")
     return (li.join(part, li.l_partkey == part.p_partkey)
             .groupBy(F.col("l_orderkey").alias("basket_id"))
-            .agg(F.array_sort(F.collect_set("p_name")).alias("items")))
+            .agg(F.sort_array(F.collect_set("p_name")).alias("items")))
 
 
 def event_user_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
