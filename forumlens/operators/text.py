@@ -14,7 +14,7 @@ from importlib import resources
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, RegexTokenizer, StopWordsRemover, Tokenizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens.constants import NUM_FEATURES
@@ -55,22 +55,33 @@ def remove_stop_words(df: DataFrame, tokens: str = "tokens",
 
 def remove_stop_words_table(df: DataFrame, words: DataFrame, id_col: str = "Id", tokens: str = "tokens",
                             out: str = "words", word: str = "word") -> DataFrame:
-    """X2 for a word list of any size, ``words (word)``, as a table: tokens are
-    laid out with their places, those whose lower case is that of a listed
-    word leave in an anti-join, and each row's rest is put together in order.
-
-    ``id_col`` tells the rows of ``df`` apart; the result has it and ``out``,
-    an empty array where no token is left, null for null tokens.  A frequent
-    token is a hot key of the anti-join, which Spark's skew join splits, as
-    each word is on the other side once.
+    """X2 for a word list of any size, ``words (word)``, as a table: each
+    row's distinct tokens are laid out, those whose lower case is that of a
+    listed word stay in a semi-join, and leave the row's tokens when they
+    come back to it.  Only the listed words of each row and, once, the tokens
+    themselves are shuffled by ``id_col``, not a row for every token.
+
+    ``id_col`` tells the rows of ``df`` apart (rows that share one get the
+    tokens of all of them, by place; rows without one keep none); the result
+    has it and ``out``, an empty array where no token is left, null for null
+    tokens.  A frequent token is a hot key of the semi-join, which Spark's
+    skew join splits, as each word is on the other side once.
     """
     stop = words.select(F.lower(word).alias("_w")).where(F.col("_w").isNotNull()).distinct()
-    rows = explode_tokens(df, id_col, tokens, "_pos", "_token")
-    left = rows.join(stop, F.lower("_token") == F.col("_w"), "left_anti")
-    lists = left.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("_pos", "_token"))).alias("_l"))
+    rows = explode_tokens(df.select(id_col, F.array_distinct(tokens).alias("_distinct")), id_col, "_distinct", "_pos", "_token")
+    listed = rows.join(stop, F.lower("_token") == F.col("_w"), "left_semi").groupBy(id_col).agg(F.collect_set("_token").alias("_listed"))
+    kept = F.filter(tokens, lambda t: t.isNotNull() & ~F.array_contains("_listed", t))
+    kept = F.when(F.col("_listed").isNull(), F.filter(tokens, lambda t: t.isNotNull())).otherwise(kept)
+    both = df.select(id_col, tokens).join(listed, id_col, "left")
+    same_id = Window.partitionBy(id_col)
+    places = F.filter(F.transform(tokens, lambda t, i: F.struct(i.alias("_pos"), t.alias("_token"))),
+                      lambda s: s["_token"].isNotNull() & ~F.coalesce(F.array_contains("_listed", s["_token"]), F.lit(False)))
+    both = both.withColumn("_n", F.count(F.lit(1)).over(same_id))
+    both = both.withColumn("_all", F.collect_list(F.when((F.col("_n") > 1) & F.col(id_col).isNotNull(), places)).over(same_id))
     none = F.when(F.col(tokens).isNotNull(), F.array().cast("array<string>"))
-    return df.select(id_col, tokens).join(lists, id_col, "left").select(
-        id_col, F.coalesce(F.col("_l")["_token"], none).alias(out))
+    merged = F.sort_array(F.flatten("_all"))["_token"]
+    return both.select(id_col, F.when(F.col(id_col).isNull(), none).when(F.col("_n") == 1, kept)
+                       .when(F.size(merged) > 0, merged).otherwise(none).alias(out))
 
 
 def hashed_tf(df: DataFrame, id_col: str = "Id", words: str = "words",

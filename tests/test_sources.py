@@ -209,3 +209,14 @@ def test_rows_are_spread_by_bytes(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(fx, "SPREAD_BYTES", 1 << 30)
     df = spark.read.parquet(many)
     assert fx.spread_if_few_files(df) is df
+
+
+def test_stop_word_table_shuffles_no_row_per_token(spark):
+    docs = [(1, ["the", "cat", "the", None, "Mat"]), (2, ["the"]), (3, None), (4, []), (None, ["cat"]), (5, ["b", "the"]), (5, ["a", "mat", "c"])]
+    df = spark.createDataFrame(docs, "Id long, tokens array<string>")
+    words = spark.createDataFrame([("THE",), ("mat",), (None,), ("the",)], "word string")
+    out = X.remove_stop_words_table(df, words)
+    got = sorted(((r["Id"], r["words"]) for r in out.collect()), key=str)
+    assert got == sorted([(1, ["cat"]), (2, []), (3, None), (4, []), (None, []), (5, ["a", "b", "c"]), (5, ["a", "b", "c"])], key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan and "array_distinct" in plan and "LeftAnti" not in plan
